@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
 def int_sum(a: Column, b: Column) -> Column:
@@ -17,7 +18,7 @@ def int_sum(a: Column, b: Column) -> Column:
     return a.try_cast("int") + b.try_cast("int")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def plus_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """F2 in UDF form (vectorised): ``int(a) + int(b)``; NULL if either is."""
     x = pd.to_numeric(a, errors="coerce").astype("Int64")

@@ -25,9 +25,10 @@ from basketflow.session import cut_lineage
 
 def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | None = None,
                    sums: dict[str, Column] | None = None, count_col: str = "rn",
-                   slices: int | None = None) -> DataFrame:
+                   slices: int | None = None, total_col: str | None = None) -> DataFrame:
     """Add ``count_col`` (1-based position in the order within ``keys``) and
-    one running sum per entry of ``sums`` (name -> value column)."""
+    one running sum per entry of ``sums`` (name -> value column); with
+    ``total_col`` also the key's row total (taken from the small frame)."""
     keys = list(keys or [])
     sums = dict(sums or {})
     spark = df.sparkSession
@@ -46,7 +47,9 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
     offsets = totals.select(
         *keys, "_slice",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_o_cnt"),
-        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
+        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
+        *([F.sum("_cnt").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
+           .alias(total_col)] if total_col else []))
 
     local = Window.partitionBy(*keys, "_slice").orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

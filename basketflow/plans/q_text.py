@@ -1 +1,121 @@
-"""Queries registered by this module."""
+"""Text queries over whole documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from basketflow.functions import text as T
+from basketflow.operators import text as X
+from basketflow.plans.catalog import query
+from basketflow.plans.oracle_views import with_views
+from basketflow.sources.tables import sentences, table
+
+# DuckDB spellings of the token rules in ``functions.text``.
+_TOKS = "list_filter(regexp_split_to_array({c}, '\\s+'), lambda x: x <> '')"
+_BODY = "split_part({c}, '##@@##', 1)"
+_SEGS = "list_filter(regexp_split_to_array({c}, '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) >= 2)"
+SENT_TOKS = ("v_toks", "select doc_id, " + _TOKS.format(c=_BODY.format(c="sentence"))
+             + " as toks from v_sentences")
+DOCFREQ = ("v_df", "select word, count(*) as df from "
+           "(select doc_id, unnest(list_distinct(toks)) as word from v_toks) t group by word")
+TERMFREQ = ("v_tf", "select doc_id, word, count(*) as tf from "
+            "(select doc_id, unnest(toks) as word from v_toks) t group by doc_id, word")
+NDOCS = "(select cast(count(*) as double) from v_sentences)"
+
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+@query("word_count", f"""
+select word, count(*) as cnt from (select unnest({_TOKS.format(c='text')}) as word from documents) t
+group by word""")
+def q_word_count(spark, sf):
+    return X.word_count(_docs(spark, sf), "text")
+
+
+@query("top_words", f"""
+select word, count(*) as cnt from (select unnest({_TOKS.format(c='text')}) as word from documents) t
+group by word order by cnt desc, word limit 20""")
+def q_top_words(spark, sf):
+    return X.top_words(X.word_count(_docs(spark, sf), "text"), 20)
+
+
+@query("sentence_tokens", with_views("""
+select doc_id, string_split(sentence, '##@@##')[-1] as label,
+       cast(len(toks) as integer) as n_tokens,
+       cast(len(list_distinct(toks)) as integer) as n_distinct,
+       cast(len(list_filter(toks, lambda x: length(x) > 1)) as integer) as n_long,
+       toks[1] as first_token, toks[-1] as last_token
+from (select doc_id, sentence, """ + _TOKS.format(c=_BODY.format(c="sentence")) + """ as toks
+      from v_sentences) t""", "v_sentences"))
+def q_sentence_tokens(spark, sf):
+    return X.sentence_tokens(sentences(spark, sf))
+
+
+@query("segment_tokens", "select doc_id, array_to_string(" + _SEGS.format(c="text")
+       + ", '/') as seg from documents")
+def q_segment_tokens(spark, sf):
+    return X.segment(_docs(spark, sf), "text").select("doc_id", "seg")
+
+
+@query("segment_index_terms", """
+with seg as (select doc_id, unnest(""" + _SEGS.format(c="text") + """) as tok from documents),
+vocab as (select distinct tok as term from seg where length(tok) between 2 and 3),
+subs as (
+  select doc_id, substr(tok, s, 2) as term
+  from (select doc_id, tok, unnest(range(1, length(tok))) as s from seg where length(tok) > 2) a
+  union all
+  select doc_id, substr(tok, s, 3) as term
+  from (select doc_id, tok, unnest(range(1, length(tok) - 1)) as s from seg where length(tok) > 3) b)
+select doc_id, term, count(*) as n from subs where term in (select term from vocab) group by doc_id, term""")
+def q_segment_index_terms(spark, sf):
+    return X.segment_index_terms(_docs(spark, sf), "text", "doc_id")
+
+
+@query("doc_freq", with_views("select word, df from v_df", "v_sentences", extra=[SENT_TOKS, DOCFREQ]))
+def q_doc_freq(spark, sf):
+    return X.doc_freq(sentences(spark, sf))
+
+
+@query("term_freq", with_views("select doc_id, word, tf from v_tf", "v_sentences", extra=[SENT_TOKS, TERMFREQ]))
+def q_term_freq(spark, sf):
+    return X.term_freq(sentences(spark, sf))
+
+
+VOCAB = ("v_vocab", "select word, df, row_number() over (order by word) - 1 as word_index, "
+         "count(*) over () as dict_size from v_df")
+
+
+@query("vocab_index", with_views("select word, df, word_index, dict_size from v_vocab", "v_sentences",
+                                 extra=[SENT_TOKS, DOCFREQ, VOCAB]))
+def q_vocab_index(spark, sf):
+    return X.vocab_index(X.doc_freq(sentences(spark, sf)))
+
+
+@query("tfidf_exact", with_views(f"""
+select t.doc_id, t.word, v.word_index, t.tf, v.df,
+       round(t.tf * log10({NDOCS} / (v.df + 1)), 9) as weight
+from v_tf t join v_vocab v on t.word = v.word""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ, VOCAB]))
+def q_tfidf_exact(spark, sf):
+    return X.tfidf_exact(sentences(spark, sf))
+
+
+@query("tfidf_smoothed", with_views(f"""
+select t.doc_id, t.word, t.tf, d.df,
+       case when d.df < 2 then 0.0 else round(t.tf * ln(({NDOCS} + 1) / (d.df + 1)), 9) end as weight
+from v_tf t join v_df d on t.word = d.word""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ]))
+def q_tfidf_smoothed(spark, sf):
+    return X.tfidf_smoothed(sentences(spark, sf))
+
+
+@query("tfidf_hashed")
+def q_tfidf_hashed(spark, sf):
+    """Rows-only: Spark ML HashingTF + IDF vectors, summarised per document."""
+    return X.tfidf_hashed(sentences(spark, sf))
+
+
+@query("lcs_pairs")
+def q_lcs_pairs(spark, sf):
+    """Rows-only (checked against a plain dynamic programme in the tests)."""
+    return X.lcs_pairs(table(spark, sf, "conversations").select("conv_id", "turn", "text"))
