@@ -1 +1,302 @@
-"""Queries registered by this module."""
+"""Streaming queries.
+
+Each stream query stages its input -- derived from the driver tables --
+as ordered files below the shared folder (``spark.checkpoint.dir``), runs a
+Structured Streaming job with ``availableNow`` over them, and returns the
+sink read back as a batch frame.  Several of them are the streaming twin
+of a batch query and are checked against the same SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from basketflow.plans.catalog import query
+from basketflow.plans.oracle_views import with_views
+from basketflow.plans.q_text import _TOKS
+from basketflow.session import scratch_path
+from basketflow.sources.tables import event_json, table
+from basketflow.streaming import offsets as OFF
+from basketflow.streaming import sinks as SK
+from basketflow.streaming import state as ST
+from basketflow.streaming import windows as WIN
+from basketflow.streaming.sources import as_kafka_frame, file_stream, kafka_values, stage_files
+from basketflow.functions.text import tokens
+
+N_FILES = 4  # micro-batches per staged stream
+HOUR_US = 3_600_000_000
+TUMBLE = "2 hours"
+SLIDE_LEN, SLIDE_STEP = "10 hours", "2 hours"
+WATERMARK = "1 day"
+GROUP = "g1"
+TOPIC = "events"
+
+_CHUNK_CTE = ("v_b", "select min(event_id) as lo, max(event_id) - min(event_id) + 1 as span from events")
+_CHUNK = f"cast(((e.event_id - v_b.lo) * {N_FILES}) // v_b.span as integer)"
+
+
+def _stream_of(spark, df, label, order_col="event_id", chunks=None, base=None):
+    base = base or scratch_path(spark, label)
+    stage_files(df, f"{base}/in", N_FILES, order_col, chunks)
+    return base, file_stream(spark, f"{base}/in/*", df.schema, max_files_per_trigger=1)
+
+
+def _events(spark, sf, *cols):
+    return table(spark, sf, "events").select(*cols)
+
+
+def _fmt(expr_us: str) -> str:
+    return f"strftime(make_timestamp({expr_us}), '%Y-%m-%d %H:%M:%S')"
+
+
+# --- event-time windows ---------------------------------------------------------
+
+@query("stream_tumbling_count", f"""
+select {_fmt(f'b * {2 * HOUR_US}')} as window_start, {_fmt(f'(b + 1) * {2 * HOUR_US}')} as window_end,
+       event_type, count(*) as cnt
+from (select event_type, epoch_us(ts) // {2 * HOUR_US} as b from events) t group by b, event_type""")
+def q_stream_tumbling(spark, sf):
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "ts", "event_type"), "tumbling")
+    out = f"{base}/out"
+    SK.run(WIN.tumbling_counts(s, "ts", "event_type", TUMBLE, WATERMARK), SK.overwrite_result(out),
+           f"{base}/ckpt", "tumbling_" + base[-12:], output_mode="complete")
+    return spark.read.parquet(out)
+
+
+@query("stream_sliding_count", f"""
+select {_fmt(f'(b - k) * {2 * HOUR_US}')} as window_start,
+       {_fmt(f'(b - k) * {2 * HOUR_US} + {10 * HOUR_US}')} as window_end, event_type, count(*) as cnt
+from (select event_type, epoch_us(ts) // {2 * HOUR_US} as b, unnest(range(0, 5)) as k from events) t
+group by 1, 2, 3""")
+def q_stream_sliding(spark, sf):
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "ts", "event_type"), "sliding")
+    out = f"{base}/out"
+    SK.run(WIN.sliding_counts(s, "ts", "event_type", SLIDE_LEN, SLIDE_STEP, WATERMARK), SK.overwrite_result(out),
+           f"{base}/ckpt", "sliding_" + base[-12:], output_mode="complete")
+    return spark.read.parquet(out)
+
+
+@query("stream_total_count", f"""
+select word, count(*) as cnt from (select unnest({_TOKS.format(c='text')}) as word from documents) t
+group by word""")
+def q_stream_total(spark, sf):
+    """Running word totals over a stream of documents = batch word count."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    base, s = _stream_of(spark, docs, "totals", order_col="doc_id")
+    words = s.select(F.explode(tokens(F.col("text"))).alias("word"))
+    out = f"{base}/out"
+    SK.run(WIN.total_counts(words, "word"), SK.overwrite_result(out), f"{base}/ckpt",
+           "totals_" + base[-12:], output_mode="complete")
+    return spark.read.parquet(out)
+
+
+@query("stream_restart", "select event_type, count(*) as cnt from events group by event_type")
+def q_stream_restart(spark, sf):
+    """Stop after half of the files, add the rest, restart from the same
+    checkpoint; the totals continue instead of starting over."""
+    ev = _events(spark, sf, "event_id", "event_type")
+    base = scratch_path(spark, "restart")
+    ckpt, out = f"{base}/ckpt", f"{base}/out"
+    for part in (range(0, N_FILES // 2), range(N_FILES // 2, N_FILES)):
+        _, s = _stream_of(spark, ev, "restart", chunks=part, base=base)
+        SK.run(WIN.total_counts(s, "event_type"), SK.overwrite_result(out), ckpt,
+               "restart_" + base[-12:], output_mode="complete")
+    return spark.read.parquet(out)
+
+
+@query("stream_batch_files", with_views(f"""
+select {_CHUNK} as batch_id, e.event_type, count(*) as cnt
+from events e join v_b on true group by 1, 2""", extra=[_CHUNK_CTE]))
+def q_stream_batch_files(spark, sf):
+    """K3 + T1: counts per micro-batch, one directory per batch."""
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type"), "perbatch")
+    out = f"{base}/out"
+    write = SK.per_batch_dirs(out)
+    # counted inside the batch: no state carried from one batch to the next
+    per_batch = lambda df, bid: write(WIN.total_counts(df, "event_type"), bid)
+    SK.run(s, per_batch, f"{base}/ckpt", "perbatch_" + base[-12:])
+    return spark.read.schema("event_type string, cnt long, batch_id int").parquet(out)
+
+
+@query("stream_file_source", "select event_id, user_id, event_type, value from events")
+def q_stream_file_source(spark, sf):
+    """Rows arriving as files, written by the exactly-once file sink."""
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "user_id", "event_type", "value"), "filesrc")
+    out = f"{base}/out"
+    SK.run(s, None, f"{base}/ckpt", "filesrc_" + base[-12:], sink_path=out)
+    return spark.read.parquet(out)
+
+
+# --- order-dependent state --------------------------------------------------------
+
+RUNNING_SQL = """
+select event_id, event_type,
+       count(*) over (partition by event_type order by event_id rows between unbounded preceding and current row)
+       as running_cnt
+from events"""
+COUNT_WINDOW_SQL = """
+select event_type, event_id, rn, cast(least(rn, 10) as bigint) as window_n, cast(s as double) as window_sum
+from (select event_type, event_id,
+             row_number() over (partition by event_type order by event_id) as rn,
+             sum(cast(value as decimal(18,2))) over (partition by event_type order by event_id
+                                                     rows between 9 preceding and current row) as s
+      from events) t
+where rn % 2 = 0"""
+
+
+@query("running_count", RUNNING_SQL)
+def q_running_count(spark, sf):
+    return ST.running_count(_events(spark, sf, "event_id", "event_type"), "event_type", "event_id")
+
+
+@query("stream_running_count", RUNNING_SQL)
+def q_stream_running_count(spark, sf):
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type"), "runcnt")
+    out = f"{base}/out"
+    SK.run(ST.running_count_stream(s, "event_type", "event_id"), None, f"{base}/ckpt",
+           "runcnt_" + base[-12:], sink_path=out)
+    return spark.read.parquet(out)
+
+
+@query("count_window", COUNT_WINDOW_SQL)
+def q_count_window(spark, sf):
+    return ST.count_window(_events(spark, sf, "event_id", "event_type", "value"), "event_type", "event_id", "value")
+
+
+@query("stream_count_window", COUNT_WINDOW_SQL)
+def q_stream_count_window(spark, sf):
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type", "value"), "cntwin")
+    out = f"{base}/out"
+    SK.run(ST.count_window_stream(s, "event_type", "event_id", "value"), None, f"{base}/ckpt",
+           "cntwin_" + base[-12:], sink_path=out)
+    return spark.read.parquet(out)
+
+
+@query("count_window_all", """
+select window_no, cnt, first_id, last_id, value_sum from (
+  select (rn - 1) // 5 as window_no, count(*) as cnt, min(event_id) as first_id, max(event_id) as last_id,
+         cast(sum(cast(value as decimal(18,2))) as double) as value_sum
+  from (select event_id, value, row_number() over (order by event_id) as rn from events) t
+  group by 1) g
+where cnt = 5""")
+def q_count_window_all(spark, sf):
+    return ST.count_window_all(_events(spark, sf, "event_id", "value"), "event_id", "value", 5)
+
+
+# --- messages, tables, offsets ----------------------------------------------------
+
+ORDER_MSG_SCHEMA = ("order_id string, user_id string, eval_set string, order_number string, "
+                    "order_dow string, hour string, day string")
+
+
+def parse_orders(df, col: str = "msg"):
+    """JSON messages -> all-string order records (NULL row if malformed)."""
+    return df.withColumn("m", F.from_json(F.col(col), ORDER_MSG_SCHEMA))
+
+
+@query("json_orders", with_views("""
+select event_id, json_extract_string(msg, '$.order_id') as order_id,
+       json_extract_string(msg, '$.user_id') as user_id, json_extract_string(msg, '$.eval_set') as eval_set
+from v_event_json""", "v_event_json"))
+def q_json_orders(spark, sf):
+    p = parse_orders(event_json(spark, sf))
+    return p.select("event_id", "m.order_id", "m.user_id", "m.eval_set")
+
+
+@query("partitioned_append", """
+select cast(event_id as varchar) as order_id, cast(user_id as varchar) as user_id, strftime(ts, '%Y%m%d') as dt
+from events""")
+def q_partitioned_append(spark, sf):
+    """JSON messages from a stream appended into a ``dt``-partitioned
+    table, batch by batch (idempotent per batch)."""
+    base, s = _stream_of(spark, _events(spark, sf, "event_id", "user_id", "event_type", "ts"), "partappend")
+    msgs = s.select(F.to_json(F.struct(F.col("event_id").alias("order_id"), "user_id",
+                                       F.col("event_type").alias("eval_set"))).alias("msg"), "ts")
+    rows = parse_orders(msgs).select("m.order_id", "m.user_id",
+                                     F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd").alias("dt"))
+    out = f"{base}/table"
+    SK.run(rows, SK.partitioned_append(out, ["dt"]), f"{base}/ckpt", "partappend_" + base[-12:])
+    return spark.read.schema("order_id string, user_id string, dt string, batch_id int").parquet(out) \
+        .select("order_id", "user_id", "dt")
+
+
+def _kafka_frame(spark, sf):
+    return as_kafka_frame(event_json(spark, sf), TOPIC, "part", "event_id", "msg")
+
+
+@query("kafka_value_projection", with_views(f"""
+select '{TOPIC}' as topic, part as "partition", event_id as "offset", msg as value from v_event_json""",
+                                            "v_event_json"))
+def q_kafka_value_projection(spark, sf):
+    return kafka_values(_kafka_frame(spark, sf), with_meta=True)
+
+
+@query("offset_ledger", with_views(f"""
+select '{GROUP}' as group_id, {_CHUNK} as batch_id, '{TOPIC}' as topic, cast(e.user_id % 4 as integer) as "partition",
+       min(e.event_id) as from_offset, max(e.event_id) + 1 as until_offset
+from events e join v_b on true group by 1, 2, 3, 4""", extra=[_CHUNK_CTE]))
+def q_offset_ledger(spark, sf):
+    """K7: per batch, output first, then the consumed ranges to the ledger."""
+    msgs = event_json(spark, sf)
+    base, s = _stream_of(spark, msgs, "ledger")
+    kafka = as_kafka_frame(s, TOPIC, "part", "event_id", "msg")
+    result = SK.per_batch_dirs(f"{base}/counts")
+    counted = lambda df, bid: result(df.groupBy("partition").count(), bid)
+    ledger = f"{base}/ledger"
+    SK.run(kafka, SK.with_ledger(counted, ledger, GROUP), f"{base}/ckpt", "ledger_" + base[-12:])
+    return spark.read.schema("topic string, partition int, from_offset long, until_offset long, "
+                             "group_id string, batch_id int").parquet(ledger) \
+        .select("group_id", "batch_id", "topic", "partition", "from_offset", "until_offset")
+
+
+def _committed(bounds):
+    """Committed offsets derived from the bounds by a fixed rule, so that
+    every status occurs: partition % 4 == 0 inside, 1 below, 2 above, 3 none."""
+    p = F.col("partition") % 4
+    c = (F.when(p == 0, F.col("earliest") + (F.col("latest") - F.col("earliest")) / 2)
+          .when(p == 1, F.col("earliest") - 1 - F.col("partition"))
+          .when(p == 2, F.col("latest") + 1 + F.col("partition")))
+    return bounds.select("topic", "partition", F.floor(c).cast("long").alias("committed")) \
+                 .filter(F.col("committed").isNotNull())
+
+
+_BOUNDS = ("bounds", f"""
+select '{TOPIC}' as topic, part as "partition", min(event_id) as earliest, max(event_id) + 1 as latest
+from v_event_json group by part""")
+_COMMITTED = ("c", """
+select topic, "partition",
+       cast(floor(case when "partition" % 4 = 0 then earliest + (latest - earliest) / 2
+                       when "partition" % 4 = 1 then earliest - 1 - "partition"
+                       when "partition" % 4 = 2 then latest + 1 + "partition" end) as bigint) as committed
+from bounds""")
+
+
+@query("offset_resume", with_views("""
+select b.topic, b."partition", b.earliest, b.latest, c.committed,
+       case when c.committed is null then b.latest else greatest(b.earliest, least(c.committed, b.latest)) end
+         as start_offset,
+       case when c.committed is null then 'missing' when c.committed < b.earliest then 'below'
+            when c.committed > b.latest then 'above' else 'ok' end as status
+from bounds b left join c on b.topic = c.topic and b."partition" = c."partition"
+""", "v_event_json", extra=[_BOUNDS, _COMMITTED]))
+def q_offset_resume(spark, sf):
+    bounds = OFF.partition_bounds(_kafka_frame(spark, sf))
+    return OFF.resume_offsets(bounds, _committed(bounds), default="latest")
+
+
+@query("offset_range_replay", with_views(f"""
+select {_CHUNK} as batch_id, '{TOPIC}' as topic, cast(e.user_id % 4 as integer) as "partition",
+       e.event_id as "offset", m.msg as value
+from events e join v_b on true join v_event_json m on m.event_id = e.event_id""",
+                                         "v_event_json", extra=[_CHUNK_CTE]))
+def q_offset_range_replay(spark, sf):
+    """Replay stored messages by per-batch offset ranges (range join)."""
+    k = _kafka_frame(spark, sf)
+    lo, hi = k.agg(F.min("offset"), F.max("offset")).first()
+    span = hi - lo + 1
+    tagged = k.withColumn("batch_id", F.expr(f"cast(((offset - {lo}) * {N_FILES}) div {span} as int)"))
+    ranges = tagged.groupBy("batch_id", "topic", "partition").agg(
+        F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"))
+    msgs = kafka_values(k, with_meta=True)
+    r = OFF.replay_ranges(msgs, ranges, bucket=1024)
+    return r.select("batch_id", "topic", "partition", "offset", "value")
