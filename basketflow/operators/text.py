@@ -151,13 +151,16 @@ def _vector_summary(c):
     return F.udf(summarise, schema, useArrow=True)(c)
 
 
-def doc_neighbours(long_form: DataFrame, k: int = 10) -> DataFrame:
-    """the k most similar documents by cosine of their weight vectors
-    (same pair machinery as user CF: word = item, weight = rating)."""
+def doc_neighbours(long_form: DataFrame, k: int = 10, hot: dict | None = None) -> DataFrame:
+    """the k most similar documents by cosine of their weight vectors --
+    the user-CF pair machinery with word = item and weight = rating, so a
+    word found in many documents is salted like a popular item.
+    ``doc_id, doc_v, sim``."""
     from basketflow.operators import cf
     r = long_form.select(F.col("doc_id").alias("user_id"), F.col("word").alias("item_id"),
                          F.col("weight").alias("rating"))
-    return cf.neighbours(r, k=k, hot_threshold=None)
+    nb = cf.neighbours(r, k=k, hot=hot)
+    return nb.select(F.col("user_id").alias("doc_id"), F.col("user_v").alias("doc_v"), "sim")
 
 
 def lcs_pairs(conv: DataFrame) -> DataFrame:

@@ -119,3 +119,36 @@ def q_tfidf_hashed(spark, sf):
 def q_lcs_pairs(spark, sf):
     """Rows-only (checked against a plain dynamic programme in the tests)."""
     return X.lcs_pairs(table(spark, sf, "conversations").select("conv_id", "turn", "text"))
+
+
+_WEIGHTS = ("v_w", f"""
+select t.doc_id, t.word, round(t.tf * log10({NDOCS} / (d.df + 1)), 9) as weight
+from v_tf t join v_df d on t.word = d.word""")
+_DOCNORM = ("v_dn", """
+select doc_id, sqrt(cast(sum(cast(round(weight * weight, 9) as decimal(18,9))) as double)) as norm
+from v_w group by doc_id""")
+_DOCDOT = ("v_dd", """
+select a.doc_id, b.doc_id as doc_v,
+       cast(sum(cast(round(a.weight * b.weight, 9) as decimal(18,9))) as double) as dot
+from v_w a join v_w b on a.word = b.word and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id""")
+
+
+@query("doc_cosine", with_views("""
+select doc_id, doc_v, round(sim, 6) as sim from (
+  select d.doc_id, d.doc_v, d.dot / (na.norm * nb.norm) as sim,
+         row_number() over (partition by d.doc_id order by d.dot / (na.norm * nb.norm) desc, d.doc_v) as rn
+  from v_dd d join v_dn na on na.doc_id = d.doc_id join v_dn nb on nb.doc_id = d.doc_v) t
+where rn <= 10""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ, _WEIGHTS, _DOCNORM, _DOCDOT]))
+def q_doc_cosine(spark, sf):
+    """ten most similar documents per document (TF-IDF cosine)."""
+    from basketflow.operators.skew import DEFAULT_HOT_THRESHOLD
+    sent = sentences(spark, sf)
+    w = X.tfidf_exact(sent).select("doc_id", "word", "weight")
+    dfreq = X.doc_freq(sent)
+    # rows per word in the long form = its document frequency: a cheap, exact hot list
+    hot = {r["word"]: int(-(-r["df"] // DEFAULT_HOT_THRESHOLD))
+           for r in dfreq.filter(F.col("df") > DEFAULT_HOT_THRESHOLD).limit(50_001).collect()}
+    nb = X.doc_neighbours(w, 10, hot=hot)
+    # ranked on the full value; reported to 6 places (products of large
+    # weights are not rounded identically by every engine at 9 places)
+    return nb.withColumn("sim", F.round("sim", 6))
