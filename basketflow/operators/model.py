@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketflow.operators.labels import MODEL_FEATURES
 from basketflow.operators.prefix import running_totals
+from basketflow.session import cut_lineage
 
 FORMULA = "label ~ " + " + ".join(MODEL_FEATURES)
 MAX_ITER = 10
@@ -82,9 +83,10 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label") ->
     """One point per distinct score, thresholds descending:
     ``threshold, tp, fp, tpr, fpr``.  Counts per score are aggregated first,
     then running totals over the distinct scores (distributed)."""
-    per = scored.groupBy(F.col(score).alias("threshold")).agg(
+    per = cut_lineage(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum(1 - F.col(label).cast("long")).alias("neg"))
+        F.sum(1 - F.col(label).cast("long")).alias("neg")))
+    # counts per distinct score are materialised once; totals and the curve read them
     tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     run = running_totals(per, [F.col("threshold").desc()], count_col="_k",
                          sums={"tp": F.col("pos"), "fp": F.col("neg")})

@@ -18,10 +18,17 @@ HASH_FEATURES = 1 << 18  # fixed: 2^18 hash buckets
 MIN_DOC_FREQ = 2  # fixed: IDF minimum document frequency
 
 
+def _explode_words(c, keep: list) -> "callable":
+    # explode the raw split, then drop empty strings with a plain (codegen'd)
+    # filter instead of a per-element lambda
+    return lambda df: df.select(*keep, F.explode(F.split(c, T.WHITESPACE)).alias("word")) \
+                        .filter(F.col("word") != "")
+
+
 def words(df: DataFrame, col: str, id_col: str | None = None) -> DataFrame:
     """One row per word occurrence (``id_col`` kept when given)."""
     keep = [id_col] if id_col else []
-    return df.select(*keep, F.explode(T.tokens(F.col(col))).alias("word"))
+    return _explode_words(F.col(col), keep)(df)
 
 
 def word_count(df: DataFrame, col: str) -> DataFrame:
@@ -68,14 +75,12 @@ def segment_index_terms(df: DataFrame, col: str, id_col: str) -> DataFrame:
 
 def doc_words(sent: DataFrame) -> DataFrame:
     """(doc_id, word) occurrences of the label-stripped sentence body."""
-    return sent.select("doc_id", F.explode(T.tokens(T.sentence_body(F.col("sentence")))).alias("word"))
+    return _explode_words(T.sentence_body(F.col("sentence")), ["doc_id"])(sent)
 
 
 def doc_freq(sent: DataFrame) -> DataFrame:
     """``word, df`` = number of documents containing the word."""
-    d = sent.select("doc_id", F.explode(F.array_distinct(
-        T.tokens(T.sentence_body(F.col("sentence"))))).alias("word"))
-    return d.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return term_freq(sent).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
 def term_freq(sent: DataFrame) -> DataFrame:
@@ -96,8 +101,9 @@ def tfidf_exact(sent: DataFrame) -> DataFrame:
     """F14 (D13, D14): ``tf * log10(N / (df + 1))`` per (doc, word), with the
     word's dictionary index; N is the corpus size (one scalar)."""
     n_docs = sent.count()
-    vocab = vocab_index(doc_freq(sent))
     tf = term_freq(sent)
+    # document frequency = number of (doc, word) rows per word: no second tokenising pass
+    vocab = vocab_index(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     return tf.join(vocab, "word").select(
         "doc_id", "word", "word_index", "tf", "df",
         F.round(F.col("tf") * F.log10(F.lit(float(n_docs)) / (F.col("df") + 1)), 9).alias("weight"))
@@ -107,7 +113,8 @@ def tfidf_smoothed(sent: DataFrame) -> DataFrame:
     """F12 long form: ``tf * ln((N + 1) / (df + 1))``, 0 when df < 2."""
     n_docs = sent.count()
     tf = term_freq(sent)
-    return tf.join(doc_freq(sent), "word").select(
+    dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return tf.join(dfreq, "word").select(
         "doc_id", "word", "tf", "df",
         F.when(F.col("df") < MIN_DOC_FREQ, F.lit(0.0))
          .otherwise(F.round(F.col("tf") * F.log((F.lit(float(n_docs)) + 1) / (F.col("df") + 1)), 9))
