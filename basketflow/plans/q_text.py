@@ -8,6 +8,7 @@ from basketflow.functions import text as T
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
+from basketflow.session import spread
 from basketflow.sources.tables import sentences, table
 
 # DuckDB spellings of the token rules in ``functions.text``.
@@ -24,7 +25,7 @@ NDOCS = "(select cast(count(*) as double) from v_sentences)"
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 @query("word_count", f"""

@@ -81,3 +81,14 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin a frame over the cluster's cores when its scan has fewer
+    splits than cores (a few large row groups): CPU-heavy row work such as
+    tokenising then uses every core.  With many input files (the normal case
+    at scale) this is a no-op and adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
