@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,19 +58,18 @@ def count_window_stream(df: DataFrame, key: str, order_col: str, value_col: str,
     def step(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(order_col, kind="stable")
         n0, tail = (state.get[0], list(state.get[1])) if state.exists else (0, [])
-        cents = (pdf[value_col].astype("float64") * CENTS).round().astype("int64").tolist()
-        ids = pdf[order_col].astype("int64").tolist()
-        rows = []
-        buf = tail
-        for i, (eid, c) in enumerate(zip(ids, cents), start=1):
-            buf.append(c)
-            if len(buf) > size:
-                buf.pop(0)
-            rn = n0 + i
-            if rn % slide == 0:
-                rows.append((k[0], eid, rn, len(buf), sum(buf) / CENTS))
-        state.update((n0 + len(ids), buf[-(size - 1):] if size > 1 else []))
-        yield pd.DataFrame(rows, columns=[key, order_col, "rn", "window_n", "window_sum"])
+        cents = (pdf[value_col].to_numpy(dtype="float64") * CENTS).round().astype("int64")
+        ids = pdf[order_col].to_numpy(dtype="int64")
+        vals = np.concatenate([np.asarray(tail, dtype="int64"), cents])
+        cs = np.concatenate([[0], np.cumsum(vals)])
+        pos = np.arange(len(tail), len(vals)) + 1          # end positions of the new rows in ``vals``
+        rn = n0 + np.arange(1, len(ids) + 1)
+        due = rn % slide == 0
+        start = np.maximum(pos - size, 0)
+        sums = cs[pos] - cs[start]
+        state.update((int(n0 + len(ids)), [int(v) for v in vals[-(size - 1):]] if size > 1 else []))
+        yield pd.DataFrame({key: [k[0]] * int(due.sum()), order_col: ids[due], "rn": rn[due],
+                            "window_n": (pos - start)[due], "window_sum": sums[due] / CENTS})
 
     return df.select(key, order_col, value_col).groupBy(key).applyInPandasWithState(
         step, out, state_schema, "append", "NoTimeout")
