@@ -5,9 +5,13 @@ each key in one task, and a window without ``partition by`` puts the whole
 table in one task.  ``running_totals`` keeps the same result while splitting
 the work:
 
-1. range-partition by ``(keys, order)`` into ``n`` slices (a hot key spans
-   many slices) and pin the assignment with a reliable checkpoint, so a
-   recomputation after executor loss sees the same slices;
+1. cut the order into ``n`` slices (a hot key spans many slices): either
+   ``slicing="range"`` -- range-partition by ``(keys, order)`` and pin the
+   assignment with a reliable checkpoint, so a recomputation after executor
+   loss sees the same slices (any orderable columns, balanced by sampling) --
+   or ``slicing="linear"`` for one dense numeric order column: the slice is
+   ``(x - min) * n div (max - min + 1)``, a plain function of the row, so
+   nothing is sampled or checkpointed;
 2. total each (key, slice) -- at most keys x n small rows -- and turn the
    totals into per-slice offsets with a window over that small frame;
 3. a running window inside each (key, slice) plus its offset.
@@ -25,7 +29,8 @@ from basketflow.session import cut_lineage
 
 def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | None = None,
                    sums: dict[str, Column] | None = None, count_col: str = "rn",
-                   slices: int | None = None, total_col: str | None = None) -> DataFrame:
+                   slices: int | None = None, total_col: str | None = None,
+                   slicing: str = "range") -> DataFrame:
     """Add ``count_col`` (1-based position in the order within ``keys``) and
     one running sum per entry of ``sums`` (name -> value column); with
     ``total_col`` also the key's row total (taken from the small frame)."""
@@ -37,8 +42,16 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
     staged = df
     for name, c in sums.items():
         staged = staged.withColumn(f"_v_{name}", c)
-    staged = staged.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-    staged = cut_lineage(staged.withColumn("_slice", F.spark_partition_id()))
+    if slicing == "linear":
+        if len(order) != 1 or not isinstance(order[0], str):
+            raise ValueError("linear slicing needs exactly one numeric order column (by name)")
+        x = order[0]
+        lo, hi = df.agg(F.min(x), F.max(x)).first()
+        span = (hi - lo + 1) if lo is not None else 1
+        staged = staged.withColumn("_slice", F.expr(f"cast((({x} - {lo or 0}) * {n}) div {span} as int)"))
+    else:
+        staged = staged.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
+        staged = cut_lineage(staged.withColumn("_slice", F.spark_partition_id()))
 
     tot_aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(f"_v_{s}").alias(f"_t_{s}") for s in sums]
     totals = staged.groupBy(*keys, "_slice").agg(*tot_aggs)

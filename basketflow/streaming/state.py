@@ -80,7 +80,8 @@ def count_window_stream(df: DataFrame, key: str, order_col: str, value_col: str,
 def running_count(df: DataFrame, key: str, order_col: str) -> DataFrame:
     """T3 batch: ``count(*) over (partition by key order by o rows unbounded
     preceding)``, computed as distributed running totals."""
-    r = running_totals(df.select(key, order_col), [order_col], keys=[key], count_col="running_cnt")
+    r = running_totals(df.select(key, order_col), [order_col], keys=[key], count_col="running_cnt",
+                       slicing="linear")
     return r.select(order_col, key, "running_cnt")
 
 
@@ -89,7 +90,7 @@ def count_window(df: DataFrame, key: str, order_col: str, value_col: str,
     """T6 batch: running sums S(rn); the window sum is S(rn) - S(rn - size),
     found by an equi-join on (key, rn - size) -- linear, exact (decimal)."""
     r = running_totals(df.select(key, order_col, value_col), [order_col], keys=[key], count_col="rn",
-                       sums={"cum": F.col(value_col).cast("decimal(18,2)")})
+                       sums={"cum": F.col(value_col).cast("decimal(18,2)")}, slicing="linear")
     prev = r.select(key, (F.col("rn") + size).alias("rn"), F.col("cum").alias("cum_prev"))
     due = r.filter(F.col("rn") % slide == 0)
     j = due.join(prev, [key, "rn"], "left")
@@ -100,7 +101,7 @@ def count_window(df: DataFrame, key: str, order_col: str, value_col: str,
 
 def count_window_all(df: DataFrame, order_col: str, value_col: str, size: int = 5) -> DataFrame:
     """Global windows of ``size`` consecutive elements (full ones only)."""
-    r = running_totals(df.select(order_col, value_col), [order_col], count_col="rn")
+    r = running_totals(df.select(order_col, value_col), [order_col], count_col="rn", slicing="linear")
     g = r.groupBy(F.expr(f"(rn - 1) div {size}").alias("window_no")).agg(
         F.count(F.lit(1)).alias("cnt"), F.min(order_col).alias("first_id"), F.max(order_col).alias("last_id"),
         F.sum(F.col(value_col).cast("decimal(18,2)")).cast("double").alias("value_sum"))

@@ -93,3 +93,15 @@ def test_partitioned_append_is_idempotent(spark):
     fn(df, 0)  # retried batch
     fn(df, 1)
     assert spark.read.parquet(f"{base}/t").count() == 4
+
+
+def test_linear_slicing_matches_window(spark):
+    from pyspark.sql import Window
+    rows = [(("hot" if i % 4 else f"k{i % 5}"), i * 3 + 7, float(i % 13)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "key string, o long, v double")
+    got = running_totals(df, ["o"], keys=["key"], sums={"s": F.col("v")}, slices=5, slicing="linear")
+    w = Window.partitionBy("key").orderBy("o")
+    want = df.select("key", "o", F.row_number().over(w).alias("rn"), F.sum("v").over(w).alias("s"))
+    a = got.select("key", "o", F.col("rn").cast("long"), "s")
+    b = want.select("key", "o", F.col("rn").cast("long"), "s")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
