@@ -105,3 +105,17 @@ def test_linear_slicing_matches_window(spark):
     a = got.select("key", "o", F.col("rn").cast("long"), "s")
     b = want.select("key", "o", F.col("rn").cast("long"), "s")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_equals_batch_for_other_cuts(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    batch = ST.running_count(ev, "event_type", "event_id")
+    for n_files in (1, 5):
+        base = scratch_path(spark, f"t-cut{n_files}")
+        stage_files(ev, f"{base}/in", n_files, "event_id")
+        s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
+        SK.run(ST.running_count_stream(s, "event_type", "event_id"), None, f"{base}/c", f"t_cut{n_files}",
+               sink_path=f"{base}/o")
+        got = spark.read.parquet(f"{base}/o")
+        assert got.exceptAll(batch.select(got.columns)).count() == 0
+        assert got.count() == ev.count()
