@@ -190,17 +190,27 @@ ORDER_MSG_SCHEMA = ("order_id string, user_id string, eval_set string, order_num
 
 
 def parse_orders(df, col: str = "msg"):
-    """JSON messages -> all-string order records (NULL row if malformed)."""
-    return df.withColumn("m", F.from_json(F.col(col), ORDER_MSG_SCHEMA))
+    """JSON messages -> all-string order records in ``m``; a message that
+    is not JSON gives all-NULL fields and its text in ``m._corrupt``."""
+    return df.withColumn("m", F.from_json(F.col(col), ORDER_MSG_SCHEMA + ", _corrupt string",
+                                          {"columnNameOfCorruptRecord": "_corrupt"}))
+
+
+def split_malformed(parsed):
+    """Keep malformed messages aside: (good rows, malformed rows)."""
+    bad = F.col("m._corrupt").isNotNull()
+    return parsed.filter(~bad), parsed.filter(bad)
 
 
 @query("json_orders", with_views("""
 select event_id, json_extract_string(msg, '$.order_id') as order_id,
-       json_extract_string(msg, '$.user_id') as user_id, json_extract_string(msg, '$.eval_set') as eval_set
+       json_extract_string(msg, '$.user_id') as user_id, json_extract_string(msg, '$.eval_set') as eval_set,
+       not json_valid(msg) as malformed
 from v_event_json""", "v_event_json"))
 def q_json_orders(spark, sf):
     p = parse_orders(event_json(spark, sf))
-    return p.select("event_id", "m.order_id", "m.user_id", "m.eval_set")
+    return p.select("event_id", "m.order_id", "m.user_id", "m.eval_set",
+                    F.col("m._corrupt").isNotNull().alias("malformed"))
 
 
 @query("partitioned_append", """

@@ -38,7 +38,11 @@ def test_json_messages(spark):
     df = spark.createDataFrame([(m,) for m in msgs], "msg string")
     rows = parse_orders(df).select("m.*").collect()
     assert rows[0].order_id == "2398795" and rows[0].day == "15.0" and rows[0].user_id == "1"
-    assert rows[1].order_id is None
+    assert rows[1].order_id is None and rows[1]._corrupt == "not json"
+    assert rows[0]._corrupt is None and rows[2]._corrupt is None
+    from basketflow.plans.q_streaming import split_malformed
+    good, bad = split_malformed(parse_orders(df))
+    assert good.count() == 2 and bad.count() == 1
     assert rows[2].order_id == "5" and rows[2].user_id is None
     assert len(ORDER_MSG_SCHEMA.split(",")) == 7
 
