@@ -32,9 +32,13 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, item_id, rating``: one row per (customer, part) pair.
 
     rating = 1 + floor((quantity - 1) / 10), the best rating of the pair.
+    A rating needs a user and an item: the not-null filters are stated here,
+    so every branch that reads the ratings has the same plan and the
+    aggregate's exchange is computed once and reused.
     """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").filter(F.col("o_custkey").isNotNull())
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity") \
+        .filter(F.col("l_partkey").isNotNull())
     r = (o.join(li, o.o_orderkey == li.l_orderkey)
          .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
          .agg(F.max(F.floor((F.col("l_quantity") - 1) / 10).cast("int") + 1).alias("rating")))
