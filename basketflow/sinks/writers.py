@@ -58,3 +58,28 @@ def keyed_upsert(snapshot: DataFrame | None, updates: DataFrame, key: str, order
     merged = latest_per_key(both, key, order_col, cols)
     merged.write.mode("overwrite").parquet(path)
     return merged.sparkSession.read.parquet(path)
+
+
+def write_partitions(df: DataFrame, open_writer, batch_size: int = 1000) -> None:
+    """K6 write path for an external keyed store: each task opens one writer
+    (``open_writer(partition_id)`` returns an object with ``put(rows)`` and
+    ``close()``) and sends its rows in batches of ``batch_size`` -- the
+    partition-batched put of a wide-column client, with no rows on the driver.
+    Pair it with ``latest_per_key`` so every key is written once."""
+    from pyspark import TaskContext
+
+    def run(rows):
+        w = open_writer(TaskContext.get().partitionId())
+        try:
+            batch = []
+            for r in rows:
+                batch.append(r)
+                if len(batch) >= batch_size:
+                    w.put(batch)
+                    batch = []
+            if batch:
+                w.put(batch)
+        finally:
+            w.close()
+
+    df.foreachPartition(run)
