@@ -79,3 +79,32 @@ def test_partition_batched_writer(spark, sf):
     write_partitions(latest, lambda pid: _FileWriter(base, pid), batch_size=7)
     got = [json.loads(line) for p in glob.glob(f"{base}/part-*.jsonl") for line in open(p)]
     assert len(got) == latest.count() == len({g["rowkey"] for g in got})
+
+
+def test_orders_view_with_a_dominant_user(spark, sf):
+    """One user holds a third of all orders: numbering, totals and gaps must
+    equal the plain per-user window definition."""
+    from pyspark.sql import Window
+
+    from basketflow.session import scratch_path
+    src = spark.read.parquet(f"{sf}/orders.parquet")
+    hot = src.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey")))
+    base = scratch_path(spark, "t-hotuser")
+    hot.write.mode("overwrite").parquet(f"{base}/orders.parquet")
+    got = orders_view(spark, base)
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    want = hot.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        F.row_number().over(w).cast("int").alias("order_number"),
+        F.count(F.lit(1)).over(Window.partitionBy("o_custkey")).alias("cnt"),
+        F.datediff(F.col("o_orderdate").cast("date"),
+                   F.lag("o_orderdate").over(w).cast("date")).alias("gap"))
+    want = want.select("order_id", "user_id", "order_number",
+                       F.when(F.col("order_number") < F.col("cnt"), "prior")
+                        .when(F.col("user_id") % 3 == 0, "test").otherwise("train").alias("eval_set"),
+                       F.when(F.col("gap").isNull(), "").otherwise(F.concat(F.col("gap").cast("string"), F.lit(".0")))
+                        .alias("days_since_prior_order"))
+    a = got.select(*want.columns)
+    assert a.exceptAll(want).count() == 0 and want.exceptAll(a).count() == 0
+    assert got.filter(F.col("user_id") == 7).count() == src.filter(F.col("o_orderkey") % 3 == 0).count() + \
+        src.filter((F.col("o_orderkey") % 3 != 0) & (F.col("o_custkey") == 7)).count()
