@@ -11,7 +11,9 @@ the work:
    loss sees the same slices (any orderable columns, balanced by sampling) --
    or ``slicing="linear"`` for one dense numeric order column: the slice is
    ``(x - min) * n div (max - min + 1)``, a plain function of the row, so
-   nothing is sampled or checkpointed;
+   nothing is sampled or checkpointed -- or ``slicing="prefix"`` for one
+   string order column: the first two UTF-8 bytes, which never decrease in
+   Spark's (binary) string order, again a plain function of the row;
 2. total each (key, slice) -- at most keys x n small rows -- and turn the
    totals into per-slice offsets with a window over that small frame;
 3. a running window inside each (key, slice) plus its offset.
@@ -49,6 +51,11 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
         lo, hi = df.agg(F.min(x), F.max(x)).first()
         span = (hi - lo + 1) if lo is not None else 1
         staged = staged.withColumn("_slice", F.expr(f"cast((({x} - {lo or 0}) * {n}) div {span} as int)"))
+    elif slicing == "prefix":
+        if len(order) != 1 or not isinstance(order[0], str):
+            raise ValueError("prefix slicing needs exactly one string order column (by name)")
+        head = F.hex(F.substring(F.encode(F.col(order[0]), "UTF-8"), 1, 2))
+        staged = staged.withColumn("_slice", F.conv(F.rpad(head, 4, "0"), 16, 10).cast("int"))
     else:
         staged = staged.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
         staged = cut_lineage(staged.withColumn("_slice", F.spark_partition_id()))

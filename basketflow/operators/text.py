@@ -91,9 +91,9 @@ def term_freq(sent: DataFrame) -> DataFrame:
 def vocab_index(dfreq: DataFrame) -> DataFrame:
     """``word, word_index`` (0-based, in word order) and ``dict_size``.
 
-    The numbering is a distributed running count (range slices + offsets),
-    not a single-task global window."""
-    v = running_totals(dfreq, ["word"], count_col="_pos", total_col="dict_size")
+    The numbering is a distributed running count (slices by the word's first
+    two bytes + offsets), not a single-task global window; no separate job."""
+    v = running_totals(dfreq, ["word"], count_col="_pos", total_col="dict_size", slicing="prefix")
     return v.withColumn("word_index", F.col("_pos") - 1).drop("_pos")
 
 

@@ -38,9 +38,13 @@ def build_session(master: str | None = None, cpus: int | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        # Broadcast only what the planner can prove small; operators that
-        # broadcast explicitly check sizes themselves.
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        # Broadcast only on measured sizes: static estimates (file size through
+        # explode / aggregate) can be off by an order of magnitude, so the
+        # planner never broadcasts on them; AQE broadcasts a side whose
+        # *runtime* shuffle output is below 32 MB.  Operators that broadcast
+        # explicitly check their bound themselves.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
     if parts:
         conf["spark.sql.shuffle.partitions"] = str(parts)

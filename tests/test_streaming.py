@@ -123,3 +123,16 @@ def test_stream_equals_batch_for_other_cuts(spark, sf):
         got = spark.read.parquet(f"{base}/o")
         assert got.exceptAll(batch.select(got.columns)).count() == 0
         assert got.count() == ev.count()
+
+
+def test_prefix_slicing_matches_window(spark):
+    from pyspark.sql import Window
+    words = ["", "a", "ab", "b", "ba", "zz", "é", "éa", "Z", "a b", "aa", "abc", "ä", "中文", "中"] + \
+        [f"w{i:04d}" for i in range(300)]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = running_totals(df, ["word"], count_col="rn", total_col="tot", slicing="prefix")
+    want = df.select("word", F.row_number().over(Window.orderBy("word")).alias("rn"))
+    a = got.select("word", F.col("rn").cast("long"))
+    b = want.select("word", F.col("rn").cast("long"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert {r.tot for r in got.select("tot").distinct().collect()} == {len(words)}
