@@ -142,13 +142,12 @@ select doc_id, doc_v, round(sim, 6) as sim from (
 where rn <= 10""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ, _WEIGHTS, _DOCNORM, _DOCDOT]))
 def q_doc_cosine(spark, sf):
     """ten most similar documents per document (TF-IDF cosine)."""
-    from basketflow.operators.skew import DEFAULT_HOT_THRESHOLD
+    from basketflow.operators.skew import DEFAULT_HOT_THRESHOLD, hot_from_counts
     sent = sentences(spark, sf)
     w = X.tfidf_exact(sent).select("doc_id", "word", "weight")
     dfreq = X.doc_freq(sent)
     # rows per word in the long form = its document frequency: a cheap, exact hot list
-    hot = {r["word"]: int(-(-r["df"] // DEFAULT_HOT_THRESHOLD))
-           for r in dfreq.filter(F.col("df") > DEFAULT_HOT_THRESHOLD).limit(50_001).collect()}
+    hot = hot_from_counts(dfreq, "word", "df", DEFAULT_HOT_THRESHOLD)
     nb = X.doc_neighbours(w, 10, hot=hot)
     # ranked on the full value; reported to 6 places (products of large
     # weights are not rounded identically by every engine at 9 places)
