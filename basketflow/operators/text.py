@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions import text as T
-from basketflow.operators.cf import exact_sum, top_k
 from basketflow.operators.prefix import running_totals
 
 HASH_FEATURES = 1 << 18  # fixed: 2^18 hash buckets
@@ -187,4 +186,4 @@ def lcs_pairs(conv: DataFrame) -> DataFrame:
 
 __all__ = ["words", "word_count", "top_words", "sentence_tokens", "segment", "segment_index_terms",
            "doc_freq", "term_freq", "vocab_index", "tfidf_exact", "tfidf_smoothed", "tfidf_vectors",
-           "tfidf_hashed", "doc_neighbours", "lcs_pairs", "exact_sum", "top_k"]
+           "tfidf_hashed", "doc_neighbours", "lcs_pairs"]

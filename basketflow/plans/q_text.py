@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketflow.functions import text as T
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
