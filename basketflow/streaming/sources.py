@@ -27,10 +27,26 @@ def stage_files(df: DataFrame, path: str, n_files: int, order_col: str,
     for k in (chunks if chunks is not None else range(n_files)):
         d = f"{path.rstrip('/')}/{k:05d}"
         chunked.filter(F.col("_chunk") == k).drop("_chunk").coalesce(1).write.mode("overwrite").parquet(d)
+        _order_mtime(d, k)
         dirs.append(d)
     return dirs
 
 
+def _order_mtime(d: str, k: int) -> None:
+    """On a local file system, give chunk k's files a modification time k
+    seconds after a fixed base, so the file source's age order is the chunk
+    order even if two writes land in the same clock tick."""
+    import os
+    import time
+    local = d[len("file:"):] if d.startswith("file:") else (d if "://" not in d else None)
+    if local is None or not os.path.isdir(local):
+        return
+    base = int(time.time()) - 10_000
+    for name in os.listdir(local):
+        if not name.startswith(("_", ".")):
+            os.utime(os.path.join(local, name), (base + k, base + k))
+
+
 def chunk_expr(order_col: str, n_files: int, lo: str, span: str) -> str:
     """SQL text of the same chunk rule (for oracles)."""
     return f"(({order_col} - {lo}) * {n_files}) // {span}"
