@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketflow.functions import text as T
 from basketflow.operators.prefix import running_totals
+from basketflow.session import cut_lineage
 
 HASH_FEATURES = 1 << 18  # fixed: 2^18 hash buckets
 MIN_DOC_FREQ = 2  # fixed: IDF minimum document frequency
@@ -100,8 +101,10 @@ def tfidf_exact(sent: DataFrame) -> DataFrame:
     """F14 (D13, D14): ``tf * log10(N / (df + 1))`` per (doc, word), with the
     word's dictionary index; N is the corpus size (one scalar)."""
     n_docs = sent.count()
-    tf = term_freq(sent)
-    # document frequency = number of (doc, word) rows per word: no second tokenising pass
+    # term frequencies are read three times (join, DF, numbering); tokenising
+    # is the expensive part, so they are written once to the shared folder
+    tf = cut_lineage(term_freq(sent))
+    # document frequency = number of (doc, word) rows per word
     vocab = vocab_index(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     return tf.join(vocab, "word").select(
         "doc_id", "word", "word_index", "tf", "df",
@@ -111,7 +114,7 @@ def tfidf_exact(sent: DataFrame) -> DataFrame:
 def tfidf_smoothed(sent: DataFrame) -> DataFrame:
     """F12 long form: ``tf * ln((N + 1) / (df + 1))``, 0 when df < 2."""
     n_docs = sent.count()
-    tf = term_freq(sent)
+    tf = cut_lineage(term_freq(sent))
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     return tf.join(dfreq, "word").select(
         "doc_id", "word", "tf", "df",
