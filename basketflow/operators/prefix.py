@@ -39,7 +39,8 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
     keys = list(keys or [])
     sums = dict(sums or {})
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # enough slices to spread a hot key over the whole cluster
+    n = slices or 2 * spark.sparkContext.defaultParallelism
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     staged = df
     for name, c in sums.items():

@@ -17,18 +17,33 @@ BatchFn = Callable[[DataFrame, int], None]
 
 def run(stream: DataFrame, batch_fn: BatchFn | None, checkpoint: str, name: str,
         output_mode: str = "append", trigger: dict | None = None, sink_path: str | None = None,
-        wait: bool = True):
+        wait: bool = True, state_partitions: int | None = None):
     """Start ``stream`` into ``batch_fn`` (or a parquet ``sink_path``).
 
     ``trigger`` defaults to ``availableNow`` (drain what is there, stop);
-    pass ``{"processingTime": "2 seconds"}`` for a long-running job (T11)."""
+    pass ``{"processingTime": "2 seconds"}`` for a long-running job (T11).
+
+    ``state_partitions`` fixes the number of state-store partitions of the
+    query's stateful operators (default: twice the cluster's cores).  A
+    stream takes the value of ``spark.sql.shuffle.partitions`` when it starts
+    and keeps it in its checkpoint for life, so it is set only around
+    ``start()`` -- the running query works on its own copy of the session
+    settings -- and the caller's value is restored right after."""
+    spark = stream.sparkSession
+    parts = state_partitions or 2 * spark.sparkContext.defaultParallelism
     w = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint).outputMode(output_mode)
     w = w.trigger(**(trigger or {"availableNow": True}))
     if batch_fn is not None:
         w = w.foreachBatch(batch_fn)
     else:
         w = w.format("parquet").option("path", sink_path)
-    q = w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(parts))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     if wait:
         q.awaitTermination()
     return q
