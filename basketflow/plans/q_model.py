@@ -9,6 +9,7 @@ from basketflow.operators import model as M
 from basketflow.plans.catalog import query
 from basketflow.plans.q_features import sql
 from basketflow.plans.q_labels import TRAINSET_CTES, VIEWS3, _o
+from basketflow.session import cut_lineage
 
 _Z = " + ".join([f"cast({M.FIXED_INTERCEPT!r} as double)"]
                 + [f"cast({w!r} as double) * cast({f} as double)" for f, w in zip(lab.MODEL_FEATURES,
@@ -25,7 +26,10 @@ from v_per""")
 
 
 def _split(spark, sf):
-    return lab.train_test_split(lab.training_set(*_o(spark, sf)))
+    """The split training set, written once to the shared folder: the fit's
+    iterations, its summary and the hold-out scoring all read that copy
+    instead of recomputing the feature joins."""
+    return cut_lineage(lab.train_test_split(lab.training_set(*_o(spark, sf))))
 
 
 @query("score_candidates", sql(f"""
