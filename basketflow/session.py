@@ -17,7 +17,8 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, cpus: int | None = None,
                   shuffle_partitions: int | None = None,
-                  app_name: str = "basketflow") -> SparkSession:
+                  app_name: str = "basketflow", event_log_dir: str | None = None,
+                  checkpoint_dir: str | None = None) -> SparkSession:
     """A session tuned for the operators in this package.
 
     On a cluster ``master`` stays ``None`` and the submit command decides;
@@ -48,6 +49,12 @@ def build_session(master: str | None = None, cpus: int | None = None,
     }
     if parts:
         conf["spark.sql.shuffle.partitions"] = str(parts)
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
     for k, v in conf.items():

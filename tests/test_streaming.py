@@ -136,3 +136,43 @@ def test_prefix_slicing_matches_window(spark):
     b = want.select("word", F.col("rn").cast("long"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert {r.tot for r in got.select("tot").distinct().collect()} == {len(words)}
+
+
+def test_ledger_not_written_when_output_fails(spark):
+    """The ledger row of a batch is written only after its output."""
+    import pytest
+    base = scratch_path(spark, "t-ledger")
+    df = spark.createDataFrame([("t", 0, 5, "x"), ("t", 0, 6, "y")], "topic string, partition int, offset long, value string")
+
+    def failing(d, bid):
+        raise RuntimeError("sink down")
+
+    with pytest.raises(RuntimeError):
+        SK.with_ledger(failing, f"{base}/ledger", "g")(df, 0)
+    import os
+    assert not os.path.exists(f"{base}/ledger")
+    SK.with_ledger(lambda d, bid: None, f"{base}/ledger", "g")(df, 0)
+    row = spark.read.parquet(f"{base}/ledger").first()
+    assert (row.from_offset, row.until_offset) == (5, 7)
+
+
+def test_scratch_follows_the_cluster_checkpoint_dir(tmp_path):
+    """A session that names spark.checkpoint.dir gets its scratch data and
+    lineage cuts there (run in a fresh process: one session per process)."""
+    import subprocess
+    import sys
+    import textwrap
+    shared = tmp_path / "shared"
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {str(__import__('os').path.dirname(__import__('os').path.dirname(__file__)))!r})
+        from basketflow.session import build_session, scratch_path, shared_dir, cut_lineage
+        s = build_session(master="local[2]", checkpoint_dir={str(shared)!r})
+        assert shared_dir(s).startswith({str(shared)!r}), shared_dir(s)
+        assert scratch_path(s, "x").startswith({str(shared)!r})
+        cut_lineage(s.range(10)).count()
+        print("ok")
+    """)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("ok"), out.stderr[-2000:]
+    assert any(shared.iterdir())
