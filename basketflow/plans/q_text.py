@@ -125,11 +125,11 @@ _WEIGHTS = ("v_w", f"""
 select t.doc_id, t.word, round(t.tf * log10({NDOCS} / (d.df + 1)), 9) as weight
 from v_tf t join v_df d on t.word = d.word""")
 _DOCNORM = ("v_dn", """
-select doc_id, sqrt(cast(sum(cast(round(weight * weight, 9) as decimal(18,9))) as double)) as norm
+select doc_id, sqrt(cast(sum(cast(floor(weight * weight * 1e9 + 0.5) as bigint)) as double) / 1e9) as norm
 from v_w group by doc_id""")
 _DOCDOT = ("v_dd", """
 select a.doc_id, b.doc_id as doc_v,
-       cast(sum(cast(round(a.weight * b.weight, 9) as decimal(18,9))) as double) as dot
+       cast(sum(cast(floor(a.weight * b.weight * 1e9 + 0.5) as bigint)) as double) / 1e9 as dot
 from v_w a join v_w b on a.word = b.word and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id""")
 
 
