@@ -86,7 +86,8 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label") ->
     per = cut_lineage(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum(1 - F.col(label).cast("long")).alias("neg")))
-    # counts per distinct score are materialised once; totals and the curve read them
+    # counts per distinct score are materialised once: the totals, the range
+    # sampling of the running totals and the curve all read that copy
     tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     run = running_totals(per, [F.col("threshold").desc()], count_col="_k",
                          sums={"tp": F.col("pos"), "fp": F.col("neg")})
