@@ -282,7 +282,7 @@ from bounds""")
 
 
 @query("offset_resume", with_views("""
-select b.topic, b."partition", b.earliest, b.latest, c.committed,
+select b.topic, b."partition", b.earliest, b.latest, coalesce(c.committed, -1) as committed,
        case when c.committed is null then b.latest else greatest(b.earliest, least(c.committed, b.latest)) end
          as start_offset,
        case when c.committed is null then 'missing' when c.committed < b.earliest then 'below'

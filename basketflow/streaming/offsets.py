@@ -28,14 +28,16 @@ def resume_offsets(bounds: DataFrame, committed: DataFrame | None, default: str
     """``topic, partition, earliest, latest, committed, start_offset, status``.
 
     status: ``ok`` (inside), ``below`` (-> earliest), ``above`` (-> latest),
-    ``missing`` (no commit -> the default, ``earliest`` or ``latest``)."""
+    ``missing`` (no commit -> the default, ``earliest`` or ``latest``).  A
+    partition without a commit reports ``committed = -1``, as Kafka's offset
+    fetch does."""
     if committed is None:
         committed = bounds.select("topic", "partition", F.lit(None).cast("long").alias("committed")).limit(0)
     j = bounds.join(committed.select("topic", "partition", "committed"), ["topic", "partition"], "left")
     dflt = F.col("earliest") if default == "earliest" else F.col("latest")
     c = F.col("committed")
     return j.select(
-        "topic", "partition", "earliest", "latest", "committed",
+        "topic", "partition", "earliest", "latest", F.coalesce(c, F.lit(-1).cast("long")).alias("committed"),
         F.when(c.isNull(), dflt).otherwise(F.greatest(F.col("earliest"), F.least(c, F.col("latest"))))
          .alias("start_offset"),
         F.when(c.isNull(), F.lit("missing")).when(c < F.col("earliest"), F.lit("below"))
