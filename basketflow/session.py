@@ -99,7 +99,11 @@ def spread(df):
     splits than cores (a few large row groups): CPU-heavy row work such as
     tokenising then uses every core.  With many input files (the normal case
     at scale) this is a no-op and adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    if splits < cores:
         return df.repartition(cores)
     return df
