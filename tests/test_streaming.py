@@ -176,3 +176,25 @@ def test_scratch_follows_the_cluster_checkpoint_dir(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("ok"), out.stderr[-2000:]
     assert any(shared.iterdir())
+
+
+def test_append_mode_emits_only_closed_windows(spark, sf):
+    """T1/T4 with a watermark in append mode: every emitted window count
+    equals the batch count, and only windows that end before the watermark
+    (latest event time minus the delay) are emitted."""
+    from basketflow.streaming import windows as WIN
+    ev = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    base = scratch_path(spark, "t-append-mode")
+    stage_files(ev, f"{base}/in", 4, "event_id")
+    s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
+    SK.run(WIN.tumbling_counts(s, "ts", "event_type", "2 hours", "2 hours"), None, f"{base}/c", "t_append",
+           sink_path=f"{base}/o", output_mode="append")
+    got = spark.read.parquet(f"{base}/o")
+    batch = WIN.tumbling_counts(ev, "ts", "event_type", "2 hours")
+    assert got.count() > 0
+    assert got.exceptAll(batch.select(got.columns)).count() == 0
+    latest = ev.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    import datetime
+    cutoff = (latest - datetime.timedelta(hours=2)).strftime("%Y-%m-%d %H:%M:%S")
+    assert got.filter(F.col("window_end") > cutoff).count() == 0
+    assert batch.filter(F.col("window_end") <= cutoff).count() >= got.count()
