@@ -53,12 +53,18 @@ def sentence_tokens(sent: DataFrame) -> DataFrame:
         F.element_at(toks, -1).alias("last_token"))
 
 
-def segment(df: DataFrame, col: str, out: str = "seg") -> DataFrame:
+def segment(df: DataFrame, col: str, out: str = "seg", segmenter=None) -> DataFrame:
     """``df`` plus ``out`` = segments longer than one character joined by '/'.
 
-    The segmenter is a built-in regex split; a dictionary segmenter could be
-    plugged in as a pandas UDF with the same signature."""
-    return df.withColumn(out, T.segment_string(F.col(col)))
+    The default segmenter is a built-in regex split (JVM side).  Any other
+    segmenter -- e.g. a dictionary segmenter wrapped as a pandas UDF returning
+    ``array<string>`` -- can be passed as ``segmenter`` (a function from a
+    Column to an array Column); the length filter and the joining stay the
+    same."""
+    if segmenter is None:
+        return df.withColumn(out, T.segment_string(F.col(col)))
+    toks = F.filter(segmenter(F.col(col)), lambda x: F.length(x) > 1)
+    return df.withColumn(out, F.array_join(toks, T.SEGMENT_JOINER))
 
 
 def segment_index_terms(df: DataFrame, col: str, id_col: str) -> DataFrame:

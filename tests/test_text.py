@@ -71,3 +71,16 @@ def test_inner_terms(spark):
 def test_segment(spark):
     df = spark.createDataFrame([("Ab, c d-éf 12",)], "t string")
     assert X.segment(df, "t").first().seg == "Ab/éf/12"
+
+
+def test_pluggable_segmenter(spark):
+    import pandas as pd
+    from pyspark.sql.types import ArrayType, StringType
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def split_on_dash(s: pd.Series) -> pd.Series:
+        return s.str.split("-")
+
+    df = spark.createDataFrame([("ab-c-def",)], "t string")
+    assert X.segment(df, "t", segmenter=split_on_dash).first().seg == "ab/def"
+    assert X.segment(df, "t").first().seg == "ab/def"
