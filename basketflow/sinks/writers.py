@@ -83,3 +83,9 @@ def write_partitions(df: DataFrame, open_writer, batch_size: int = 1000) -> None
             w.close()
 
     df.foreachPartition(run)
+
+
+def show_full(df: DataFrame, n: int = 20) -> None:
+    """K1: print the first ``n`` rows with every column untruncated
+    (``show(n, truncate=False)``; only ``n`` rows reach the driver)."""
+    df.show(n, truncate=False)

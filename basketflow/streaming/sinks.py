@@ -18,7 +18,8 @@ BatchFn = Callable[[DataFrame, int], None]
 def run(stream: DataFrame, batch_fn: BatchFn | None, checkpoint: str, name: str,
         output_mode: str = "append", trigger: dict | None = None, sink_path: str | None = None,
         wait: bool = True, state_partitions: int | None = None):
-    """Start ``stream`` into ``batch_fn`` (or a parquet ``sink_path``).
+    """Start ``stream`` into ``batch_fn`` (or a parquet ``sink_path``, or
+    ``sink_path="console"`` to print every batch).
 
     ``trigger`` defaults to ``availableNow`` (drain what is there, stop);
     pass ``{"processingTime": "2 seconds"}`` for a long-running job (T11).
@@ -35,6 +36,8 @@ def run(stream: DataFrame, batch_fn: BatchFn | None, checkpoint: str, name: str,
     w = w.trigger(**(trigger or {"availableNow": True}))
     if batch_fn is not None:
         w = w.foreachBatch(batch_fn)
+    elif sink_path == "console":
+        w = w.format("console").option("truncate", "false")  # K1: print each batch
     else:
         w = w.format("parquet").option("path", sink_path)
     key = "spark.sql.shuffle.partitions"

@@ -198,3 +198,15 @@ def test_append_mode_emits_only_closed_windows(spark, sf):
     cutoff = (latest - datetime.timedelta(hours=2)).strftime("%Y-%m-%d %H:%M:%S")
     assert got.filter(F.col("window_end") > cutoff).count() == 0
     assert batch.filter(F.col("window_end") <= cutoff).count() >= got.count()
+
+
+def test_console_and_show_helpers(spark, sf, capsys):
+    from basketflow.sinks.writers import show_full
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    show_full(ev, 3)
+    base = scratch_path(spark, "t-console")
+    stage_files(ev, f"{base}/in", 2, "event_id")
+    s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
+    q = SK.run(s.groupBy("event_type").count(), None, f"{base}/c", "t_console", output_mode="complete",
+               sink_path="console")
+    assert q.lastProgress is not None
