@@ -210,3 +210,30 @@ def test_console_and_show_helpers(spark, sf, capsys):
     q = SK.run(s.groupBy("event_type").count(), None, f"{base}/c", "t_console", output_mode="complete",
                sink_path="console")
     assert q.lastProgress is not None
+
+
+def test_processing_time_trigger_and_text_file_stream(spark, sf):
+    """T11 + S6: lines of new text files, counted by word on a 1-second
+    interval; after all files are processed the totals equal the batch count."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from basketflow.functions.text import tokens
+    from basketflow.operators.text import word_count
+    from basketflow.streaming import windows as WIN
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    base = scratch_path(spark, "t-textstream")
+    for k, part in enumerate(docs.randomSplit([0.5, 0.5], seed=3)):
+        part.select(F.col("text").alias("value")).write.mode("overwrite").text(f"{base}/in/{k:05d}")
+    lines = file_stream(spark, f"{base}/in/*", StructType([StructField("value", StringType())]), fmt="text",
+                        max_files_per_trigger=1)
+    words = lines.select(F.explode(tokens(F.col("value"))).alias("word"))
+    q = SK.run(WIN.total_counts(words, "word"), SK.overwrite_result(f"{base}/out"), f"{base}/c", "t_text",
+               output_mode="complete", trigger={"processingTime": "1 second"}, wait=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(f"{base}/out")
+    want = word_count(docs, "text")
+    assert got.exceptAll(want.select(got.columns)).count() == 0
+    assert want.exceptAll(got.select(want.columns)).count() == 0
