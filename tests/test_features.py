@@ -108,3 +108,16 @@ def test_orders_view_with_a_dominant_user(spark, sf):
     assert a.exceptAll(want).count() == 0 and want.exceptAll(a).count() == 0
     assert got.filter(F.col("user_id") == 7).count() == src.filter(F.col("o_orderkey") % 3 == 0).count() + \
         src.filter((F.col("o_orderkey") % 3 != 0) & (F.col("o_custkey") == 7)).count()
+
+
+def test_compaction_writes_the_requested_number_of_files(spark, sf):
+    import glob
+
+    from basketflow.session import scratch_path
+    from basketflow.sinks.writers import compact
+    ev = spark.read.parquet(f"{sf}/events.parquet").repartition(7)
+    path = scratch_path(spark, "t-compact")
+    compact(ev, 2).write.mode("overwrite").parquet(path)
+    files = [f for f in glob.glob(f"{path}/*.parquet")]
+    assert len(files) == 2
+    assert spark.read.parquet(path).count() == ev.count()
