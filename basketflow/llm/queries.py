@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, simhash
+from basketflow.llm import bpe, quality, simhash, toxicity
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,14 +20,49 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of the quality cascade for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.annotate(docs).drop("text")
+
+
+SQL_OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     g AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+           FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+     r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS c FROM g) WHERE c > 1),
+     c AS (SELECT rid, count(DISTINCT i + k) AS n FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
+     l AS (SELECT rid, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+     m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
+                  coalesce(c.n, 0)::BIGINT AS n_repeat_words
+           FROM d JOIN l USING (rid) LEFT JOIN c USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
+            OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM m
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 4-word shingles, at most 4 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op9_simhash)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels only of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep_text=False).select(
+        "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality, op9_simhash, op10_toxicity)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_quality": SQL_OP6}
 
 
 def queries() -> dict:
