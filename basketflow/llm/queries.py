@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, quality, simhash, toxicity
+from basketflow.llm import bpe, mixing, quality, simhash, toxicity
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +20,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes from every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.copies(docs).select("doc_id", "size", "source_size", "target",
+                                      (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality, op9_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op4_mixing, op6_quality, op9_simhash, op10_toxicity)}
 
 SQL: dict[str, str] = {"op6_quality": SQL_OP6}
 

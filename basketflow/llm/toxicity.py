@@ -256,3 +256,11 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep_text: bool =
         z = z + F.log1p(F.col("__f")[k]) * float(c)
     s = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
     return f.withColumn("score", s).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__f")
+
+
+def keep(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows not predicted toxic, unchanged (columns called score or predicted included)."""
+    names = df.columns
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    return score(packed, model, "text", keep_text=False).filter("predicted = 0").select("row.*")
