@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, mixing, quality, simhash, toxicity
+from basketflow.llm import bpe, mixing, quality, sharding, simhash, toxicity, url_rules
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +20,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of all documents, sizes near equal, equal texts together."""
+    s = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
+    return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all sources takes from every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -40,7 +47,7 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
            FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
      r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS c FROM g) WHERE c > 1),
      c AS (SELECT rid, count(DISTINCT i + k) AS n FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
-     l AS (SELECT rid, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+     l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
      m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
                   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
                   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
@@ -54,6 +61,34 @@ FROM m
 """
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding site rule and verdict of every page's URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL_OP7 = r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+           FROM pages),
+     p AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(r, '^[^/?#]*(/[^?#]*)?', 1) AS path FROM u),
+     q AS (SELECT *, CASE
+             WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1')
+               THEN 'example.org/en/1'
+             WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/')
+               THEN 'example.org/es/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+             WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE
+         WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+         WHEN regexp_matches(host, '(^|[.-])(casino|poker|bets|betting|jackpot|pills|viagra|porn|xxx|escort|payday|warez|torrent)([.-]|$)')
+           THEN 'block' ELSE 'allow' END AS verdict
+FROM q
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 4-word shingles, at most 4 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -67,9 +102,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op4_mixing, op6_quality, op9_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_sharding, op4_mixing, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
 
-SQL: dict[str, str] = {"op6_quality": SQL_OP6}
+SQL: dict[str, str] = {"op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
 
 def queries() -> dict:
