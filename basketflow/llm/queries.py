@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, mixing, quality, sharding, simhash, toxicity, url_rules
+from basketflow.llm import bpe, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +20,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label at cosine 0.98 or more."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of all documents, sizes near equal, equal texts together."""
     s = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
@@ -102,7 +107,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_sharding, op4_mixing, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
 
 SQL: dict[str, str] = {"op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
