@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
+from basketflow.llm import bpe, html_cut, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -39,6 +39,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = html_cut.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -107,7 +113,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
 
 SQL: dict[str, str] = {"op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
