@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, html_cut, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
+from basketflow.llm import bpe, html_cut, licenses, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
 from basketflow.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -100,6 +100,17 @@ FROM q
 """
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License matches of every document and the longest of them."""
+    docs = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    best = F.array_max(F.transform("licenses", lambda m: F.struct(
+        m["n_words"].alias("n"), m["coverage"].alias("coverage"), (-m["first_word"]).alias("at"),
+        m["license"].alias("license"))))
+    return docs.select("doc_id", F.size("licenses").cast("long").alias("n_matches"),
+                       best["license"].alias("license"), best["coverage"].alias("coverage"),
+                       F.array_sort(F.array_distinct(F.transform("licenses", lambda m: m["license"]))).alias("licenses"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 4-word shingles, at most 4 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -113,7 +124,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op9_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op8_licenses, op9_simhash, op10_toxicity)}
 
 SQL: dict[str, str] = {"op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
