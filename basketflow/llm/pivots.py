@@ -1,9 +1,10 @@
 """Embedding near-duplicates through a pivot-permutation index.
 
 * Reference points: a hash sample of at most ``SAMPLE`` distinct vectors,
-  thinned to ``PIVOTS`` by farthest-first traversal, so that a crowd of near
-  copies does not take all of them (bounded and documented; the index itself
-  holds every vector).
+  thinned to ``PIVOTS`` by farthest-first traversal that stops at a cosine of
+  ``SPREAD``, so that a crowd of near copies gets one pivot, not all of them;
+  seeded random directions fill the rest (bounded and documented; the index
+  itself holds every vector).
 * A vector is described by its ``PREFIX`` nearest pivots.  Inverted lists per
   (label, pivot) bring together vectors that share pivots; a pair is a
   candidate if it shares ``SHARED`` of them.  Two sets of PREFIX pivots that
@@ -41,6 +42,7 @@ PREFIX = 10                # pivots that describe a vector
 SHARED = 4                 # pivots that a candidate pair shares
 BLOCK = 1024               # vectors of a list in one block
 THRESHOLD = 0.98
+SPREAD = 0.85              # no two sampled pivots are nearer than this cosine
 SEED = 2
 
 
@@ -51,7 +53,7 @@ def farthest_first(x: np.ndarray, count: int) -> np.ndarray:
     picked, near = [0], x @ x[0]
     while len(picked) < min(count, len(x)):
         k = int(near.argmin())
-        if near[k] > 1 - 1e-9:
+        if near[k] > SPREAD:
             break
         picked.append(k)
         near = np.maximum(near, x @ x[k])
@@ -65,7 +67,7 @@ def _unit(table_column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
 
 
 def reference_points(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Pivots per vector length (lengths missing in the sample: seeded random directions, see ``pivots_of``)."""
+    """Sampled pivots per vector length; ``pivots_of`` fills them up."""
     rows = classes.select("vec", "h").orderBy("h").limit(SAMPLE).collect()     # bounded by SAMPLE
     by_dim: dict[int, list] = {}
     for r in rows:
@@ -79,7 +81,7 @@ def reference_points(classes: DataFrame) -> dict[int, np.ndarray]:
 
 def pivots_of(known: dict[int, np.ndarray], dim: int) -> np.ndarray:
     got = known.get(dim)
-    if got is None or len(got) < PREFIX:
+    if got is None or len(got) < PIVOTS:
         rng = np.random.default_rng(SEED + dim)
         extra = rng.standard_normal((PIVOTS, dim))
         extra /= np.linalg.norm(extra, axis=1, keepdims=True)
