@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.session import shared_dir
@@ -43,3 +45,8 @@ def with_fields(schema: T.StructType, new: list[T.StructField], drop: tuple[str,
 
 def parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, even inside lambdas and pushed-down filters."""
+    return F.transform(F.array(value), body)[0]

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.llm.common import let
+
 SAMPLE_ROWS = 1000         # documented bound of the sample that orders the rules
 
 # The words' separators and the symbols counted.
@@ -30,14 +32,9 @@ SOLID = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, even inside lambdas and pushed-down filters."""
-    return F.transform(F.array(value), body)[0]
-
-
 def words(text: Column) -> Column:
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
-    return _let(trimmed, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, BLANK_RUN)))
+    return let(trimmed, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, BLANK_RUN)))
 
 
 def n_words(text: Column) -> Column:
@@ -92,9 +89,9 @@ def repeat_words(ws: Column) -> Column:
     def count(w: Column) -> Column:
         mask = F.pow(F.lit(2.0), F.ceil(F.log2(F.size(w).cast("double")))).cast("long") - 1
         return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(
-            _let(mask, lambda m: _let(windows(w, m), lambda s: _let(repeated(s, m), covered))))
+            let(mask, lambda m: let(windows(w, m), lambda s: let(repeated(s, m), covered))))
 
-    return _let(ws, count)
+    return let(ws, count)
 
 
 @dataclass(frozen=True)
@@ -113,10 +110,10 @@ def rules() -> list[Rule]:
     """The production rules; the first two are the base rules."""
     return [
         Rule("few_words", lambda t: n_words(t) < 50),
-        Rule("repeated_words", lambda t: _let(words(t), lambda w: 100 * repeat_words(w) > 50 * F.size(w))),
+        Rule("repeated_words", lambda t: let(words(t), lambda w: 100 * repeat_words(w) > 50 * F.size(w))),
         Rule("symbols", lambda t: 10 * n_symbols(t) > n_words(t)),
         Rule("word_length", lambda t: (word_chars(t) < 3 * n_words(t)) | (word_chars(t) > 10 * n_words(t))),
-        Rule("repeated_lines", lambda t: _let(worded_lines(t), lambda x: 2 * dup_lines(x) > F.size(x))),
+        Rule("repeated_lines", lambda t: let(worded_lines(t), lambda x: 2 * dup_lines(x) > F.size(x))),
     ]
 
 
@@ -159,7 +156,7 @@ def annotate(df: DataFrame, text: str = "text", order: list[Rule] | None = None)
     out = base.select(
         *[F.col(f"`{c}`") for c in base.columns if c != "__words"], F.size("__words").cast("long").alias("n_words"),
         word_chars(x).alias("word_chars"), n_symbols(x).alias("n_symbols"),
-        _let(worded_lines(x), dup_lines).alias("n_dup_lines"), repeat_words(F.col("__words")).alias("n_repeat_words"))
+        let(worded_lines(x), dup_lines).alias("n_dup_lines"), repeat_words(F.col("__words")).alias("n_repeat_words"))
     few, repeated = base_rejects(F.col("n_words"), F.col("n_repeat_words"))
     rejected = few | repeated
     for r in order or plan(df, text):

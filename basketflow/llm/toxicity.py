@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import stage, with_fields
+from basketflow.llm.common import let, stage, with_fields
 
 TRAIN_ROWS = 12_000        # labelled rows used at most (about)
 MAX_UNITS = 5_000          # lexicon entries kept at most, best first
@@ -165,9 +165,9 @@ def remainder(id_col: str) -> Column:
 def _lexicon(train: DataFrame) -> dict[str, float]:
     """Units from rows ``text, toxic``."""
     ws = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), 0)
-    pairs = F.transform(F.col("ws"), lambda x, i: F.struct(
-        x.alias("word"), F.when(i > 0, F.col("ws")[i - 1]).otherwise(F.lit("")).alias("before")))
-    ctx = train.select("toxic", ws.alias("ws")).select("toxic", F.explode(F.array_distinct(pairs)).alias("p")) \
+    pairs = let(ws, lambda w: F.array_distinct(F.transform(w, lambda x, i: F.struct(
+        x.alias("word"), F.when(i > 0, w[i - 1]).otherwise(F.lit("")).alias("before")))))
+    ctx = train.select("toxic", F.explode(pairs).alias("p")) \
         .select("p.word", "p.before", "toxic").filter(F.length("word") >= MIN_LEN).distinct()
     words = ctx.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("n1"),
                                     F.count_if(F.col("toxic") == 0).alias("n0"))
