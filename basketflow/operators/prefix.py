@@ -5,15 +5,11 @@ each key in one task, and a window without ``partition by`` puts the whole
 table in one task.  ``running_totals`` keeps the same result while splitting
 the work:
 
-1. cut the order into ``n`` slices (a hot key spans many slices): either
-   ``slicing="range"`` -- range-partition by ``(keys, order)`` and pin the
-   assignment with a reliable checkpoint, so a recomputation after executor
-   loss sees the same slices (any orderable columns, balanced by sampling) --
-   or ``slicing="linear"`` for one dense numeric order column: the slice is
-   ``(x - min) * n div (max - min + 1)``, a plain function of the row, so
-   nothing is sampled or checkpointed -- or ``slicing="prefix"`` for one
-   string order column: the first two UTF-8 bytes, which never decrease in
-   Spark's (binary) string order, again a plain function of the row;
+1. cut the order into ``n`` slices (a hot key spans many slices): the rows are
+   range-partitioned by ``(keys, order)`` -- balanced by sampling, for any
+   orderable columns, whatever their distribution -- and the assignment is
+   written to the shared folder, so a recomputation after executor loss sees
+   the same slices;
 2. total each (key, slice) -- at most keys x n small rows -- and turn the
    totals into per-slice offsets with a window over that small frame;
 3. a running window inside each (key, slice) plus its offset.
@@ -31,11 +27,11 @@ from basketflow.session import cut_lineage
 
 def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | None = None,
                    sums: dict[str, Column] | None = None, count_col: str = "rn",
-                   slices: int | None = None, total_col: str | None = None,
-                   slicing: str = "range") -> DataFrame:
+                   slices: int | None = None, total_col: str | None = None) -> DataFrame:
     """Add ``count_col`` (1-based position in the order within ``keys``) and
     one running sum per entry of ``sums`` (name -> value column); with
-    ``total_col`` also the key's row total (taken from the small frame)."""
+    ``total_col`` also the key's row total (taken from the small frame).  NULL
+    keys are one key; NULL order values stand where the sort puts them."""
     keys = list(keys or [])
     sums = dict(sums or {})
     spark = df.sparkSession
@@ -45,21 +41,8 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
     staged = df
     for name, c in sums.items():
         staged = staged.withColumn(f"_v_{name}", c)
-    if slicing == "linear":
-        if len(order) != 1 or not isinstance(order[0], str):
-            raise ValueError("linear slicing needs exactly one numeric order column (by name)")
-        x = order[0]
-        lo, hi = df.agg(F.min(x), F.max(x)).first()
-        span = (hi - lo + 1) if lo is not None else 1
-        staged = staged.withColumn("_slice", F.expr(f"cast((({x} - {lo or 0}) * {n}) div {span} as int)"))
-    elif slicing == "prefix":
-        if len(order) != 1 or not isinstance(order[0], str):
-            raise ValueError("prefix slicing needs exactly one string order column (by name)")
-        head = F.hex(F.substring(F.encode(F.col(order[0]), "UTF-8"), 1, 2))
-        staged = staged.withColumn("_slice", F.conv(F.rpad(head, 4, "0"), 16, 10).cast("int"))
-    else:
-        staged = staged.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-        staged = cut_lineage(staged.withColumn("_slice", F.spark_partition_id()))
+    staged = staged.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
+    staged = cut_lineage(staged.withColumn("_slice", F.spark_partition_id()))
 
     tot_aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(f"_v_{s}").alias(f"_t_{s}") for s in sums]
     totals = staged.groupBy(*keys, "_slice").agg(*tot_aggs)
@@ -74,7 +57,13 @@ def running_totals(df: DataFrame, order: list[str | Column], keys: list[str] | N
 
     local = Window.partitionBy(*keys, "_slice").orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = staged.join(offsets, [*keys, "_slice"])
+    # null-safe: a NULL key has its own offsets
+    right = offsets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_k__slice"),
+                           *[c for c in offsets.columns if c not in (*keys, "_slice")])
+    on = F.col("_slice") == F.col("_k__slice")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = staged.join(right, on).drop("_k__slice", *[f"_k_{k}" for k in keys])
     out = out.withColumn(count_col, F.row_number().over(
         Window.partitionBy(*keys, "_slice").orderBy(*order_cols)) + F.col("_o_cnt"))
     for s in sums:

@@ -97,13 +97,12 @@ def term_freq(sent: DataFrame) -> DataFrame:
 def vocab_index(dfreq: DataFrame) -> DataFrame:
     """``word, word_index`` (0-based, in word order) and ``dict_size``.
 
-    The numbering is a distributed running count (slices by the word's first
-    two bytes + offsets), not a single-task global window; no separate job."""
-    v = running_totals(dfreq, ["word"], count_col="_pos", total_col="dict_size", slicing="prefix")
+    The numbering is a distributed running count (sampled ranges + offsets), not a single-task global window; no separate job."""
+    v = running_totals(dfreq, ["word"], count_col="_pos", total_col="dict_size")
     return v.withColumn("word_index", F.col("_pos") - 1).drop("_pos")
 
 
-def tfidf_exact(sent: DataFrame) -> DataFrame:
+def tfidf_exact(sent: DataFrame, with_size: bool = False) -> DataFrame:
     """F14 (D13, D14): ``tf * log10(N / (df + 1))`` per (doc, word), with the
     word's dictionary index; N is the corpus size (one scalar)."""
     n_docs = sent.count()
@@ -113,7 +112,7 @@ def tfidf_exact(sent: DataFrame) -> DataFrame:
     # document frequency = number of (doc, word) rows per word
     vocab = vocab_index(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     return tf.join(vocab, "word").select(
-        "doc_id", "word", "word_index", "tf", "df",
+        "doc_id", "word", "word_index", "tf", "df", *(["dict_size"] if with_size else []),
         F.round(F.col("tf") * F.log10(F.lit(float(n_docs)) / (F.col("df") + 1)), 9).alias("weight"))
 
 
@@ -131,39 +130,26 @@ def tfidf_smoothed(sent: DataFrame) -> DataFrame:
 
 def tfidf_vectors(long_form: DataFrame, size_col: str = "dict_size") -> DataFrame:
     """F14 vector form: per document ``sort_array(collect_list(struct(index,
-    weight)))`` -- bounded by the document's distinct words."""
+    weight)))`` -- bounded by the document's distinct words -- and the vector's size."""
     return long_form.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("word_index", "weight"))).alias("entries"))
+        F.max(size_col).alias(size_col), F.sort_array(F.collect_list(F.struct("word_index", "weight"))).alias("entries"))
 
 
 def tfidf_hashed(sent: DataFrame) -> DataFrame:
     """F11 + F12 with Spark ML: HashingTF (2^18, counts) then IDF(minDocFreq=2).
 
-    Output ``doc_id, n_terms, l2`` per document (vectors are not comparable
-    across engines, their summaries are)."""
+    Output ``doc_id, feature_tfidf`` (the sparse vector) and its summary
+    ``n_terms, l2``, taken from the vector's own entries by built-ins."""
     from pyspark.ml.feature import HashingTF, IDF
 
     seg = sent.select("doc_id", T.tokens(T.sentence_body(F.col("sentence"))).alias("seg"))
     tf = HashingTF(inputCol="seg", outputCol="feature_tf", numFeatures=HASH_FEATURES, binary=False).transform(seg)
     model = IDF(inputCol="feature_tf", outputCol="feature_tfidf", minDocFreq=MIN_DOC_FREQ).fit(tf)
-    summary = _vector_summary(F.col("feature_tfidf"))
-    return model.transform(tf).select("doc_id", summary.alias("s")).select("doc_id", "s.n_terms", "s.l2")
-
-
-def _vector_summary(c):
-    """Non-zero count and L2 norm of an ML vector, read from its sparse
-    entries (no densifying of the 2^18 slots); Arrow-batched helper."""
-    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
-    schema = StructType([StructField("n_terms", IntegerType()), StructField("l2", DoubleType())])
-
-    def summarise(v):
-        if v is None:
-            return None
-        vals = v.values
-        return (int((vals != 0).sum()), float((vals * vals).sum() ** 0.5))
-
-    return F.udf(summarise, schema, useArrow=True)(c)
+    values = F.from_json(F.to_json("v"), "struct<v:struct<type:int,size:int,indices:array<int>,values:array<double>>>")
+    out = model.transform(tf).select("doc_id", "feature_tfidf", F.struct(F.col("feature_tfidf").alias("v")).alias("v"))
+    return out.withColumn("x", F.filter(values["v"]["values"], lambda e: e != 0)).select(
+        "doc_id", "feature_tfidf", F.size("x").alias("n_terms"),
+        F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, e: s + e * e)).alias("l2"))
 
 
 def doc_neighbours(long_form: DataFrame, k: int = 10, hot: dict | None = None) -> DataFrame:

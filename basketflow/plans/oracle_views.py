@@ -71,3 +71,15 @@ def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = Non
     if not ctes:
         return body
     return "with " + ",\n".join(ctes) + "\n" + body
+
+
+def exact_sum_sql(x: str) -> str:
+    """DuckDB aggregate: the sum of a double, independent of the order (30-bit limbs)."""
+    out = []
+    for k in reversed(range(5)):
+        scale = f"pow(2.0, {30 * k})"
+        out.append(f"cast(sum(cast(floor((abs({x}) * {scale}) % 1073741824.0) as bigint) * cast(sign({x}) as bigint))"
+                   f" as double) / {scale}")
+    out.append(f"cast(sum(cast(floor(abs({x}) / 1073741824.0) as bigint) * cast(sign({x}) as bigint)) as double)"
+               " * 1073741824.0")
+    return "(" + " + ".join(out) + ")"

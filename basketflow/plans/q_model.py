@@ -79,3 +79,24 @@ def q_lr_holdout(spark, sf):
     d = _split(spark, sf)
     model = M.fit(d.filter(F.col("split") == "train"))
     return M.predict(model, d.filter(F.col("split") == "test"))
+
+
+@query("lr_score_test_users")
+def q_lr_score_test_users(spark, sf):
+    """Rows-only: the test users' prior pairs scored by the fitted model."""
+    d = _split(spark, sf)
+    fitted = M.fit(d.filter(F.col("split") == "train"))
+    return M.predict(fitted, lab.score_candidates(*_o(spark, sf)))
+
+
+@query("lr_auc")
+def q_lr_auc(spark, sf):
+    """Rows-only: area under the ROC curve of the fitted model, training part and hold-out."""
+    d = _split(spark, sf)
+    fitted = M.fit(d.filter(F.col("split") == "train"))
+    out = None
+    for part in ("train", "test"):
+        points = M.roc_points(M.predict(fitted, d.filter(F.col("split") == part)), score="p1")
+        row = M.roc_auc(points).select(F.lit(part).alias("part"), "auc")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -1,9 +1,10 @@
 """Streaming queries.
 
-Each stream query stages its input -- derived from the driver tables --
-as ordered files below the shared folder (``spark.checkpoint.dir``), runs a
-Structured Streaming job with ``availableNow`` over them, and returns the
-sink read back as a batch frame.  Several of them are the streaming twin
+Where the order of arrival does not matter, the stream reads the table's own
+files.  Where it does, the rows are written once in order chunks below the
+shared folder (``spark.checkpoint.dir``) and handed to the stream chunk by
+chunk, one micro-batch each.  Jobs run with ``availableNow``; the sink is read
+back as a batch frame.  Several of them are the streaming twin
 of a batch query and are checked against the same SQL.
 """
 
@@ -20,7 +21,7 @@ from basketflow.streaming import offsets as OFF
 from basketflow.streaming import sinks as SK
 from basketflow.streaming import state as ST
 from basketflow.streaming import windows as WIN
-from basketflow.streaming.sources import as_kafka_frame, file_stream, kafka_values, stage_files
+from basketflow.streaming.sources import as_kafka_frame, file_stream, kafka_values, reveal, stage_chunks, table_stream
 from basketflow.functions.text import tokens
 
 N_FILES = 4  # micro-batches per staged stream
@@ -35,10 +36,19 @@ _CHUNK_CTE = ("v_b", "select min(event_id) as lo, max(event_id) - min(event_id)
 _CHUNK = f"cast(((e.event_id - v_b.lo) * {N_FILES}) // v_b.span as integer)"
 
 
-def _stream_of(spark, df, label, order_col="event_id", chunks=None, base=None):
-    base = base or scratch_path(spark, label)
-    stage_files(df, f"{base}/in", N_FILES, order_col, chunks)
-    return base, file_stream(spark, f"{base}/in/*", df.schema, max_files_per_trigger=1)
+def _table_stream(spark, sf, name, *cols):
+    """The table's own files as a stream of the given columns."""
+    return table_stream(spark, f"{sf.rstrip('/')}/{name}.parquet", table(spark, sf, name).schema).select(*cols)
+
+
+def _by_chunks(spark, df, label, start, order_col="event_id"):
+    """Run ``start(stream, base)`` once per order chunk; returns the base folder."""
+    base = scratch_path(spark, label)
+    stage_chunks(df, f"{base}/staged", N_FILES, order_col)
+    for k in range(N_FILES):
+        reveal(spark, f"{base}/staged", f"{base}/in", k)
+        start(file_stream(spark, f"{base}/in/*", df.schema), base)
+    return base
 
 
 def _events(spark, sf, *cols):
@@ -56,7 +66,7 @@ select {_fmt(f'b * {2 * HOUR_US}')} as window_start, {_fmt(f'(b + 1) * {2 * HOUR
        event_type, count(*) as cnt
 from (select event_type, epoch_us(ts) // {2 * HOUR_US} as b from events) t group by b, event_type""")
 def q_stream_tumbling(spark, sf):
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "ts", "event_type"), "tumbling")
+    base, s = scratch_path(spark, "tumbling"), _table_stream(spark, sf, "events", "ts", "event_type")
     out = f"{base}/out"
     SK.run(WIN.tumbling_counts(s, "ts", "event_type", TUMBLE, WATERMARK), SK.overwrite_result(out),
            f"{base}/ckpt", "tumbling_" + base[-12:], output_mode="complete")
@@ -69,7 +79,7 @@ select {_fmt(f'(b - k) * {2 * HOUR_US}')} as window_start,
 from (select event_type, epoch_us(ts) // {2 * HOUR_US} as b, unnest(range(0, 5)) as k from events) t
 group by 1, 2, 3""")
 def q_stream_sliding(spark, sf):
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "ts", "event_type"), "sliding")
+    base, s = scratch_path(spark, "sliding"), _table_stream(spark, sf, "events", "ts", "event_type")
     out = f"{base}/out"
     SK.run(WIN.sliding_counts(s, "ts", "event_type", SLIDE_LEN, SLIDE_STEP, WATERMARK), SK.overwrite_result(out),
            f"{base}/ckpt", "sliding_" + base[-12:], output_mode="complete")
@@ -81,8 +91,7 @@ select word, count(*) as cnt from (select unnest({_TOKS.format(c='text')}) as wo
 group by word""")
 def q_stream_total(spark, sf):
     """Running word totals over a stream of documents = batch word count."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    base, s = _stream_of(spark, docs, "totals", order_col="doc_id")
+    base, s = scratch_path(spark, "totals"), _table_stream(spark, sf, "documents", "text")
     words = s.select(F.explode(tokens(F.col("text"))).alias("word"))
     out = f"{base}/out"
     SK.run(WIN.total_counts(words, "word"), SK.overwrite_result(out), f"{base}/ckpt",
@@ -92,16 +101,12 @@ def q_stream_total(spark, sf):
 
 @query("stream_restart", "select event_type, count(*) as cnt from events group by event_type")
 def q_stream_restart(spark, sf):
-    """Stop after half of the files, add the rest, restart from the same
+    """Stop after every chunk, add the next, restart from the same
     checkpoint; the totals continue instead of starting over."""
-    ev = _events(spark, sf, "event_id", "event_type")
-    base = scratch_path(spark, "restart")
-    ckpt, out = f"{base}/ckpt", f"{base}/out"
-    for part in (range(0, N_FILES // 2), range(N_FILES // 2, N_FILES)):
-        _, s = _stream_of(spark, ev, "restart", chunks=part, base=base)
-        SK.run(WIN.total_counts(s, "event_type"), SK.overwrite_result(out), ckpt,
-               "restart_" + base[-12:], output_mode="complete")
-    return spark.read.parquet(out)
+    base = _by_chunks(spark, _events(spark, sf, "event_id", "event_type"), "restart", lambda s, base: SK.run(
+        WIN.total_counts(s, "event_type"), SK.overwrite_result(f"{base}/out"), f"{base}/ckpt",
+        "restart_" + base[-12:], output_mode="complete"))
+    return spark.read.parquet(f"{base}/out")
 
 
 @query("stream_batch_files", with_views(f"""
@@ -109,19 +114,20 @@ select {_CHUNK} as batch_id, e.event_type, count(*) as cnt
 from events e join v_b on true group by 1, 2""", extra=[_CHUNK_CTE]))
 def q_stream_batch_files(spark, sf):
     """K3 + T1: counts per micro-batch, one directory per batch."""
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type"), "perbatch")
-    out = f"{base}/out"
-    write = SK.per_batch_dirs(out)
-    # counted inside the batch: no state carried from one batch to the next
-    per_batch = lambda df, bid: write(WIN.total_counts(df, "event_type"), bid)
-    SK.run(s, per_batch, f"{base}/ckpt", "perbatch_" + base[-12:])
-    return spark.read.schema("event_type string, cnt long, batch_id int").parquet(out)
+    def start(s, base):
+        write = SK.per_batch_dirs(f"{base}/out")
+        # counted inside the batch: no state carried from one batch to the next
+        SK.run(s, lambda df, bid: write(WIN.total_counts(df, "event_type"), bid), f"{base}/ckpt", "perbatch_" + base[-12:])
+
+    base = _by_chunks(spark, _events(spark, sf, "event_id", "event_type"), "perbatch", start)
+    return spark.read.schema("event_type string, cnt long, batch_id int").parquet(f"{base}/out")
 
 
 @query("stream_file_source", "select event_id, user_id, event_type, value from events")
 def q_stream_file_source(spark, sf):
     """Rows arriving as files, written by the exactly-once file sink."""
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "user_id", "event_type", "value"), "filesrc")
+    base = scratch_path(spark, "filesrc")
+    s = _table_stream(spark, sf, "events", "event_id", "user_id", "event_type", "value")
     out = f"{base}/out"
     SK.run(s, None, f"{base}/ckpt", "filesrc_" + base[-12:], sink_path=out)
     return spark.read.parquet(out)
@@ -151,11 +157,10 @@ def q_running_count(spark, sf):
 
 @query("stream_running_count", RUNNING_SQL)
 def q_stream_running_count(spark, sf):
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type"), "runcnt")
-    out = f"{base}/out"
-    SK.run(ST.running_count_stream(s, "event_type", "event_id"), None, f"{base}/ckpt",
-           "runcnt_" + base[-12:], sink_path=out)
-    return spark.read.parquet(out)
+    base = _by_chunks(spark, _events(spark, sf, "event_id", "event_type"), "runcnt", lambda s, base: SK.run(
+        s, ST.running_count_batches(f"{base}/out", f"{base}/state", "event_type", "event_id"), f"{base}/ckpt",
+        "runcnt_" + base[-12:]))
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 @query("count_window", COUNT_WINDOW_SQL)
@@ -165,11 +170,11 @@ def q_count_window(spark, sf):
 
 @query("stream_count_window", COUNT_WINDOW_SQL)
 def q_stream_count_window(spark, sf):
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "event_type", "value"), "cntwin")
-    out = f"{base}/out"
-    SK.run(ST.count_window_stream(s, "event_type", "event_id", "value"), None, f"{base}/ckpt",
-           "cntwin_" + base[-12:], sink_path=out)
-    return spark.read.parquet(out)
+    base = _by_chunks(
+        spark, _events(spark, sf, "event_id", "event_type", "value"), "cntwin", lambda s, base: SK.run(
+            s, ST.count_window_batches(f"{base}/out", f"{base}/state", "event_type", "event_id", "value"),
+            f"{base}/ckpt", "cntwin_" + base[-12:]))
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 @query("count_window_all", """
@@ -219,7 +224,8 @@ from events""")
 def q_partitioned_append(spark, sf):
     """JSON messages from a stream appended into a ``dt``-partitioned
     table, batch by batch (idempotent per batch)."""
-    base, s = _stream_of(spark, _events(spark, sf, "event_id", "user_id", "event_type", "ts"), "partappend")
+    base = scratch_path(spark, "partappend")
+    s = _table_stream(spark, sf, "events", "event_id", "user_id", "event_type", "ts")
     msgs = s.select(F.to_json(F.struct(F.col("event_id").alias("order_id"), "user_id",
                                        F.col("event_type").alias("eval_set"))).alias("msg"), "ts")
     rows = parse_orders(msgs).select("m.order_id", "m.user_id",
@@ -247,13 +253,13 @@ select '{GROUP}' as group_id, {_CHUNK} as batch_id, '{TOPIC}' as topic, cast(e.u
 from events e join v_b on true group by 1, 2, 3, 4""", extra=[_CHUNK_CTE]))
 def q_offset_ledger(spark, sf):
     """K7: per batch, output first, then the consumed ranges to the ledger."""
-    msgs = event_json(spark, sf)
-    base, s = _stream_of(spark, msgs, "ledger")
-    kafka = as_kafka_frame(s, TOPIC, "part", "event_id", "msg")
-    result = SK.per_batch_dirs(f"{base}/counts")
-    counted = lambda df, bid: result(df.groupBy("partition").count(), bid)
-    ledger = f"{base}/ledger"
-    SK.run(kafka, SK.with_ledger(counted, ledger, GROUP), f"{base}/ckpt", "ledger_" + base[-12:])
+    def start(s, base):
+        kafka = as_kafka_frame(s, TOPIC, "part", "event_id", "msg")
+        result = SK.per_batch_dirs(f"{base}/counts")
+        counted = lambda df, bid: result(df.groupBy("partition").count(), bid)
+        SK.run(kafka, SK.with_ledger(counted, f"{base}/ledger", GROUP), f"{base}/ckpt", "ledger_" + base[-12:])
+
+    ledger = _by_chunks(spark, event_json(spark, sf), "ledger", start) + "/ledger"
     return spark.read.schema("topic string, partition int, from_offset long, until_offset long, "
                              "group_id string, batch_id int").parquet(ledger) \
         .select("group_id", "batch_id", "topic", "partition", "from_offset", "until_offset")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
-from basketflow.plans.oracle_views import with_views
-from basketflow.session import spread
+from basketflow.plans.oracle_views import exact_sum_sql, with_views
+from basketflow.session import cut_lineage
 from basketflow.sources.tables import sentences, table
 
 # DuckDB spellings of the token rules in ``functions.text``.
@@ -24,7 +24,7 @@ NDOCS = "(select cast(count(*) as double) from v_sentences)"
 
 
 def _docs(spark, sf):
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 @query("word_count", f"""
@@ -124,30 +124,43 @@ def q_lcs_pairs(spark, sf):
 _WEIGHTS = ("v_w", f"""
 select t.doc_id, t.word, round(t.tf * log10({NDOCS} / (d.df + 1)), 9) as weight
 from v_tf t join v_df d on t.word = d.word""")
-_DOCNORM = ("v_dn", """
-select doc_id, sqrt(cast(sum(cast(floor(weight * weight * 1e9 + 0.5) as bigint)) as double) / 1e9) as norm
-from v_w group by doc_id""")
-_DOCDOT = ("v_dd", """
-select a.doc_id, b.doc_id as doc_v,
-       cast(sum(cast(floor(a.weight * b.weight * 1e9 + 0.5) as bigint)) as double) / 1e9 as dot
-from v_w a join v_w b on a.word = b.word and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id""")
+_DOCNORM = ("v_dn", f"""
+select doc_id, sqrt({exact_sum_sql("weight * weight")}) as norm from v_w group by doc_id""")
+_DOCDOT = ("v_dd", f"""
+select a.doc_id, b.doc_id as doc_v, {exact_sum_sql("a.u * b.u")} as sim
+from (select v_w.doc_id, word, weight / norm as u from v_w join v_dn on v_w.doc_id = v_dn.doc_id where norm > 0) a
+join (select v_w.doc_id, word, weight / norm as u from v_w join v_dn on v_w.doc_id = v_dn.doc_id where norm > 0) b
+  on a.word = b.word and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id""")
 
 
 @query("doc_cosine", with_views("""
 select doc_id, doc_v, round(sim, 6) as sim from (
-  select d.doc_id, d.doc_v, d.dot / (na.norm * nb.norm) as sim,
-         row_number() over (partition by d.doc_id order by d.dot / (na.norm * nb.norm) desc, d.doc_v) as rn
-  from v_dd d join v_dn na on na.doc_id = d.doc_id join v_dn nb on nb.doc_id = d.doc_v) t
+  select doc_id, doc_v, sim, row_number() over (partition by doc_id order by sim desc, doc_v) as rn from v_dd) t
 where rn <= 10""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ, _WEIGHTS, _DOCNORM, _DOCDOT]))
 def q_doc_cosine(spark, sf):
     """ten most similar documents per document (TF-IDF cosine)."""
     from basketflow.operators.skew import DEFAULT_HOT_THRESHOLD, hot_from_counts
     sent = sentences(spark, sf)
-    w = X.tfidf_exact(sent).select("doc_id", "word", "weight")
-    dfreq = X.doc_freq(sent)
-    # rows per word in the long form = its document frequency: a cheap, exact hot list
-    hot = hot_from_counts(dfreq, "word", "df", DEFAULT_HOT_THRESHOLD)
+    w = cut_lineage(X.tfidf_exact(sent).select("doc_id", "word", "weight", "df"))
+    # rows per word in the long form = its document frequency: an exact hot list from the written weights
+    hot = hot_from_counts(w.select("word", "df").distinct(), "word", "df", DEFAULT_HOT_THRESHOLD)
     nb = X.doc_neighbours(w, 10, hot=hot)
     # ranked on the full value; reported to 6 places (products of large
     # weights are not rounded identically by every engine at 9 places)
     return nb.withColumn("sim", F.round("sim", 6))
+
+
+@query("tfidf_vectors", with_views("""
+select doc_id, any_value(dict_size) as dict_size,
+       string_agg(cast(word_index as varchar) || ':' || cast(cast(round(weight * 1000000) as bigint) as varchar), ','
+                  order by word_index) as entries
+from (select t.doc_id, v.word_index, v.dict_size,
+             round(t.tf * log10(""" + NDOCS + """ / (v.df + 1)), 9) as weight
+      from v_tf t join v_vocab v on t.word = v.word) x group by doc_id""", "v_sentences",
+                                extra=[SENT_TOKS, DOCFREQ, TERMFREQ, VOCAB]))
+def q_tfidf_vectors(spark, sf):
+    """F14 vector form: a document's sorted ``index:weight`` entries (weights in millionths)."""
+    v = X.tfidf_vectors(X.tfidf_exact(sentences(spark, sf), with_size=True))
+    entry = lambda e: F.concat(e["word_index"].cast("string"), F.lit(":"),
+                               F.round(e["weight"] * 1000000).cast("long").cast("string"))
+    return v.select("doc_id", "dict_size", F.array_join(F.transform("entries", entry), ",").alias("entries"))

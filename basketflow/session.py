@@ -67,12 +67,15 @@ def build_session(master: str | None = None, cpus: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder (``spark.checkpoint.dir``).
 
-    Read from the session; only if unset (tests, local runs) a folder of
-    our own is created and registered, so ``DataFrame.checkpoint`` works.
+    Read from the session.  Only a ``local`` master (tests, single machine)
+    gets a folder of its own when the setting is missing: on a cluster a
+    folder of the driver's machine would be invisible to the executors.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="basketflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -81,29 +84,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared folder (never reused)."""
-    base = shared_dir(spark)
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    hadoop_fs(spark, path).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path))
     return path
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` (works for any store Spark can read)."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder inside one store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    if not hadoop_fs(spark, source).rename(p(source), p(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df):
-    """Round-robin a frame over the cluster's cores when its scan has fewer
-    splits than cores (a few large row groups): CPU-heavy row work such as
-    tokenising then uses every core.  With many input files (the normal case
-    at scale) this is a no-op and adds no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    if splits < cores:
-        return df.repartition(cores)
-    return df
+    """Write ``df`` as parquet below the shared folder and read it back
+    (never ``localCheckpoint``): later reads keep column pruning and file
+    statistics, and a lost executor re-reads instead of recomputing."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

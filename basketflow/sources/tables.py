@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketflow.session import spread
-
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
 
@@ -77,7 +75,9 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("_c").over(Window.partitionBy("o_custkey")).alias("cnt"),
         F.lag("_last").over(by_user).alias("_prev_last"))
     in_day = Window.partitionBy("o_custkey", "_day").orderBy("o_orderdate", "o_orderkey")
-    s = (o.join(off, ["o_custkey", "_day"])
+    off = off.withColumnsRenamed({"o_custkey": "_k", "_day": "_d"})
+    # null-safe: orders without a customer or a date are one user's, one day's
+    s = (o.join(off, F.col("o_custkey").eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d"))).drop("_k", "_d")
           .withColumn("n", F.row_number().over(in_day) + F.col("_o"))
           .withColumn("p", F.coalesce(F.lag("o_orderdate").over(in_day), F.col("_prev_last"))))
     return s.select(
@@ -131,7 +131,7 @@ def clean_text(c: Column) -> Column:
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, sentence (= words by blank + separator + label), label."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return d.select("doc_id",
                     F.concat(clean_text(F.col("text")), F.lit(LABEL_SEPARATOR), F.col("lang")).alias("sentence"),
                     F.col("lang").alias("label"))

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 BatchFn = Callable[[DataFrame, int], None]
 
+# Files that one batch writes per partition value at most.
+FILES_PER_VALUE = 8
+
 
 def run(stream: DataFrame, batch_fn: BatchFn | None, checkpoint: str, name: str,
         output_mode: str = "append", trigger: dict | None = None, sink_path: str | None = None,
@@ -71,7 +74,11 @@ def partitioned_append(path: str, partition_cols: list[str]) -> BatchFn:
     innermost partition and dynamic partition overwrite replaces only that
     batch's partitions, so a retried batch does not duplicate rows."""
     def fn(df: DataFrame, batch_id: int) -> None:
+        # rows of one partition value meet in a few tasks (salted: a hot value is
+        # spread), so a batch writes few files per value, not tasks x values
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(FILES_PER_VALUE))
         (df.withColumn("batch_id", F.lit(batch_id))
+           .repartition(*[F.col(c) for c in partition_cols], salt)
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_cols, "batch_id").parquet(path))
     return fn

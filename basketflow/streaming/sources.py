@@ -10,46 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from basketflow.session import hadoop_fs, move
 
-def stage_files(df: DataFrame, path: str, n_files: int, order_col: str,
-                chunks: range | None = None) -> list[str]:
-    """Write ``df`` as ``n_files`` parquet files in ``order_col`` ranges,
-    oldest first (chunk k -> ``path/k``), so a file stream with
-    ``maxFilesPerTrigger=1`` replays them as batches 0..n-1 in order.
 
-    The chunk of a row is ``((x - min) * n) div (max - min + 1)``; one
-    small aggregate gives min and max.  ``chunks`` writes only some of them
-    (e.g. the rest later, to continue a stream after a restart)."""
+def stage_chunks(df: DataFrame, path: str, n_chunks: int, order_col: str) -> None:
+    """Write ``df`` once, as ``path/_chunk=0 .. n-1`` in ``order_col`` ranges.
+
+    The chunk of a row is ``((x - min) * n) div (max - min + 1)`` in decimal
+    arithmetic; NULL order values stand first.  One scan, all chunks written
+    in parallel by as many tasks as the table has; :func:`reveal` hands the
+    chunks to a stream one by one, so the order comes from the data."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    span = hi - lo + 1
-    chunked = df.withColumn("_chunk", F.expr(f"(({order_col} - {lo}) * {n_files}) div {span}"))
-    dirs = []
-    for k in (chunks if chunks is not None else range(n_files)):
-        d = f"{path.rstrip('/')}/{k:05d}"
-        chunked.filter(F.col("_chunk") == k).drop("_chunk").coalesce(1).write.mode("overwrite").parquet(d)
-        _order_mtime(d, k)
-        dirs.append(d)
-    return dirs
-
-
-def _order_mtime(d: str, k: int) -> None:
-    """On a local file system, give chunk k's files a modification time k
-    seconds after a fixed base, so the file source's age order is the chunk
-    order even if two writes land in the same clock tick."""
-    import os
-    import time
-    local = d[len("file:"):] if d.startswith("file:") else (d if "://" not in d else None)
-    if local is None or not os.path.isdir(local):
-        return
-    base = int(time.time()) - 10_000
-    for name in os.listdir(local):
-        if not name.startswith(("_", ".")):
-            os.utime(os.path.join(local, name), (base + k, base + k))
-
-
-def chunk_expr(order_col: str, n_files: int, lo: str, span: str) -> str:
-    """SQL text of the same chunk rule (for oracles)."""
-    return f"(({order_col} - {lo}) * {n_files}) // {span}"
+    if lo is None:
+        lo = hi = 0
+    wide = "decimal(20,0)"
+    chunk = F.expr(f"coalesce(cast(((cast({order_col} as {wide}) - {lo}) * {n_chunks}) div {hi - lo + 1} as int), 0)")
+    df.withColumn("_chunk", chunk).write.partitionBy("_chunk").mode("overwrite").parquet(path)
+
+
+def reveal(spark: SparkSession, staged: str, target: str, chunk: int) -> None:
+    """Move one staged chunk into the folder that a stream reads."""
+    source = f"{staged.rstrip('/')}/_chunk={chunk}"
+    fs = hadoop_fs(spark, source)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(target))
+    if fs.exists(path(source)):
+        move(spark, source, f"{target.rstrip('/')}/{chunk:05d}")
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -61,6 +47,15 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return r.load(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A parquet table (a folder, or one file) as a stream of its files."""
+    fs = hadoop_fs(spark, path)
+    if fs.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(path)).isDirectory():
+        return file_stream(spark, path, schema)
+    folder, _, name = path.rpartition("/")
+    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+
+
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     """Lines from a socket (``value`` column).  Not exercised here."""
     return spark.readStream.format("socket").option("host", host).option("port", str(port)).load()

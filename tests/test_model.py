@@ -13,7 +13,7 @@ def test_logistic_regression_recovers_known_coefficients(spark):
         *[(F.randn(seed=10 + i)).alias(f) for i, f in enumerate(lab.MODEL_FEATURES)])
     z = 0.5 * F.col(lab.MODEL_FEATURES[0]) - 1.0 * F.col(lab.MODEL_FEATURES[1])
     df = df.withColumn("label", (F.rand(seed=99) < 1 / (1 + F.exp(-z))).cast("int"))
-    model = M.fit(df)
+    model = M.fit(df).model
     w = model.coefficients.toArray()
     assert abs(w[0] - 0.5) < 0.08 and abs(w[1] + 1.0) < 0.08
     assert all(abs(x) < 0.08 for x in w[2:]) and abs(model.intercept) < 0.08
@@ -45,3 +45,39 @@ def test_frame_auc_near_spark_evaluator(spark, sf):
                                            metricName="areaUnderROC").evaluate(data)
     assert abs(ours - exact) < 1e-12   # same curve, no binning
     assert abs(ours - binned) < 1e-3   # Spark's default down-samples to 1000 bins
+
+
+def test_auc_without_overflow_and_with_missing_classes(spark):
+    big = 4_000_000_000
+    pts = spark.createDataFrame([(0.9, big, 0, big, 0), (0.1, 0, big, big, big)],
+                                "threshold double, pos long, neg long, tp long, fp long")
+    assert M.roc_auc(pts).first().auc == 1.0
+    for rows in ([(0.5, 1)], [(0.5, 0), (0.2, 0)], []):
+        df = spark.createDataFrame(rows, "score double, label int")
+        assert M.roc_auc(M.roc_points(df)).first().auc is None
+    one = M.roc_points(spark.createDataFrame([(0.5, 1)], "score double, label int")).first()
+    assert one.tpr == 1.0 and one.fpr is None
+
+
+def test_fitted_model_scores_rows_without_labels(spark, sf):
+    o = orders_view(spark, sf)
+    op = order_products(spark, sf, o)
+    train = lab.training_set(o, op)
+    fitted = M.fit(train)
+    a = M.predict(fitted, lab.score_candidates(o, op))
+    assert "label" not in a.columns and a.count() == lab.score_candidates(o, op).count()
+    # the formula is the one fitted on the training rows: same p1 with and without a label, on any subset
+    with_label = {(r.user_id, r.product_id): r.p1 for r in M.predict(fitted, train.filter("user_id % 2 = 0")).collect()}
+    without = {(r.user_id, r.product_id): r.p1 for r in M.predict(fitted, train.drop("label")).collect()}
+    assert all(without[k] == v for k, v in with_label.items())
+
+
+def test_loss_starts_at_the_entropy_of_the_labels(spark, sf):
+    """Iteration 0 has zero weights and the intercept of the label rate."""
+    import math
+    o = orders_view(spark, sf)
+    train = lab.training_set(o, order_products(spark, sf, o))
+    n, pos = train.agg(F.count("*"), F.sum("label")).first()
+    p = pos / n
+    first = M.fit(train).model.summary.objectiveHistory[0]
+    assert abs(first + p * math.log(p) + (1 - p) * math.log(1 - p)) < 1e-9

@@ -10,7 +10,7 @@ from basketflow.sources.tables import table
 from basketflow.streaming import offsets as OFF
 from basketflow.streaming import sinks as SK
 from basketflow.streaming import state as ST
-from basketflow.streaming.sources import file_stream, kafka_options, stage_files
+from basketflow.streaming.sources import file_stream, kafka_options, reveal, stage_chunks
 
 
 def test_offset_clamp_statuses(spark):
@@ -71,19 +71,26 @@ def test_running_totals_match_window_with_hot_key(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def _chunks(spark, df, base, n):
+    stage_chunks(df, f"{base}/staged", n, "event_id")
+    for k in range(n):
+        reveal(spark, f"{base}/staged", f"{base}/in", k)
+        yield k
+
+
 def test_stream_state_equals_batch(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "event_type", "value")
     base = scratch_path(spark, "t-state")
-    stage_files(ev, f"{base}/in", 3, "event_id")
-    s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
-    SK.run(ST.running_count_stream(s, "event_type", "event_id"), None, f"{base}/c1", "t_rc", sink_path=f"{base}/o1")
-    SK.run(ST.count_window_stream(s, "event_type", "event_id", "value"), None, f"{base}/c2", "t_cw",
-           sink_path=f"{base}/o2")
-    rc_stream = spark.read.parquet(f"{base}/o1")
+    for k in _chunks(spark, ev, base, 3):
+        s = file_stream(spark, f"{base}/in/*", ev.schema)
+        SK.run(s, ST.running_count_batches(f"{base}/o1", f"{base}/s1", "event_type", "event_id"), f"{base}/c1", "t_rc")
+        SK.run(s, ST.count_window_batches(f"{base}/o2", f"{base}/s2", "event_type", "event_id", "value"), f"{base}/c2",
+               "t_cw")
+    rc_stream = spark.read.parquet(f"{base}/o1").drop("batch_id")
     rc_batch = ST.running_count(ev, "event_type", "event_id")
     assert rc_stream.exceptAll(rc_batch.select(rc_stream.columns)).count() == 0
     assert rc_stream.count() == ev.count()
-    cw_stream = spark.read.parquet(f"{base}/o2")
+    cw_stream = spark.read.parquet(f"{base}/o2").drop("batch_id")
     cw_batch = ST.count_window(ev, "event_type", "event_id", "value")
     assert cw_stream.exceptAll(cw_batch.select(cw_stream.columns)).count() == 0
     assert cw_batch.exceptAll(cw_stream.select(cw_batch.columns)).count() == 0
@@ -99,11 +106,11 @@ def test_partitioned_append_is_idempotent(spark):
     assert spark.read.parquet(f"{base}/t").count() == 4
 
 
-def test_linear_slicing_matches_window(spark):
+def test_sliced_totals_with_gaps_match_window(spark):
     from pyspark.sql import Window
     rows = [(("hot" if i % 4 else f"k{i % 5}"), i * 3 + 7, float(i % 13)) for i in range(2500)]
     df = spark.createDataFrame(rows, "key string, o long, v double")
-    got = running_totals(df, ["o"], keys=["key"], sums={"s": F.col("v")}, slices=5, slicing="linear")
+    got = running_totals(df, ["o"], keys=["key"], sums={"s": F.col("v")}, slices=5)
     w = Window.partitionBy("key").orderBy("o")
     want = df.select("key", "o", F.row_number().over(w).alias("rn"), F.sum("v").over(w).alias("s"))
     a = got.select("key", "o", F.col("rn").cast("long"), "s")
@@ -116,21 +123,21 @@ def test_stream_equals_batch_for_other_cuts(spark, sf):
     batch = ST.running_count(ev, "event_type", "event_id")
     for n_files in (1, 5):
         base = scratch_path(spark, f"t-cut{n_files}")
-        stage_files(ev, f"{base}/in", n_files, "event_id")
-        s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
-        SK.run(ST.running_count_stream(s, "event_type", "event_id"), None, f"{base}/c", f"t_cut{n_files}",
-               sink_path=f"{base}/o")
-        got = spark.read.parquet(f"{base}/o")
+        for k in _chunks(spark, ev, base, n_files):
+            SK.run(file_stream(spark, f"{base}/in/*", ev.schema),
+                   ST.running_count_batches(f"{base}/o", f"{base}/s", "event_type", "event_id"), f"{base}/c",
+                   f"t_cut{n_files}")
+        got = spark.read.parquet(f"{base}/o").drop("batch_id")
         assert got.exceptAll(batch.select(got.columns)).count() == 0
         assert got.count() == ev.count()
 
 
-def test_prefix_slicing_matches_window(spark):
+def test_sliced_totals_over_words_match_window(spark):
     from pyspark.sql import Window
     words = ["", "a", "ab", "b", "ba", "zz", "é", "éa", "Z", "a b", "aa", "abc", "ä", "中文", "中"] + \
         [f"w{i:04d}" for i in range(300)]
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    got = running_totals(df, ["word"], count_col="rn", total_col="tot", slicing="prefix")
+    got = running_totals(df, ["word"], count_col="rn", total_col="tot")
     want = df.select("word", F.row_number().over(Window.orderBy("word")).alias("rn"))
     a = got.select("word", F.col("rn").cast("long"))
     b = want.select("word", F.col("rn").cast("long"))
@@ -185,7 +192,8 @@ def test_append_mode_emits_only_closed_windows(spark, sf):
     from basketflow.streaming import windows as WIN
     ev = table(spark, sf, "events").select("event_id", "ts", "event_type")
     base = scratch_path(spark, "t-append-mode")
-    stage_files(ev, f"{base}/in", 4, "event_id")
+    for k in _chunks(spark, ev, base, 4):
+        pass
     s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
     SK.run(WIN.tumbling_counts(s, "ts", "event_type", "2 hours", "2 hours"), None, f"{base}/c", "t_append",
            sink_path=f"{base}/o", output_mode="append")
@@ -205,7 +213,8 @@ def test_console_and_show_helpers(spark, sf, capsys):
     ev = table(spark, sf, "events").select("event_id", "event_type")
     show_full(ev, 3)
     base = scratch_path(spark, "t-console")
-    stage_files(ev, f"{base}/in", 2, "event_id")
+    for k in _chunks(spark, ev, base, 2):
+        pass
     s = file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
     q = SK.run(s.groupBy("event_type").count(), None, f"{base}/c", "t_console", output_mode="complete",
                sink_path="console")
@@ -237,3 +246,45 @@ def test_processing_time_trigger_and_text_file_stream(spark, sf):
     want = word_count(docs, "text")
     assert got.exceptAll(want.select(got.columns)).count() == 0
     assert want.exceptAll(got.select(want.columns)).count() == 0
+
+
+def test_running_totals_keep_null_keys_orders_and_far_ids(spark):
+    from pyspark.sql import Window
+    rows = [(None, 1), (None, 2), ("a", None), ("a", 5), ("a", 0), ("a", 4 * 10**18), (None, None), ("b", -4 * 10**18)]
+    df = spark.createDataFrame(rows, "key string, o long")
+    got = running_totals(df, ["o"], keys=["key"], slices=3, total_col="tot")
+    w = Window.partitionBy("key").orderBy("o")
+    want = df.select("key", "o", F.row_number().over(w).alias("rn"), F.count("*").over(Window.partitionBy("key")).alias("tot"))
+    pick = lambda d: sorted(map(repr, (tuple(r) for r in d.select("key", "o", F.col("rn").cast("long"), "tot").collect())))
+    assert pick(got) == pick(want)
+    counted = ST.running_count(df.withColumnsRenamed({"key": "event_type", "o": "event_id"}), "event_type", "event_id")
+    assert counted.count() == len(rows)
+
+
+def test_running_totals_over_words_with_one_stem(spark):
+    words = [f"stem{i:05d}" for i in range(4000)]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = running_totals(df, ["word"], slices=8)
+    assert [r.word for r in got.orderBy("rn").collect()] == words
+
+
+def test_count_window_keeps_fractions_and_null_keys(spark):
+    df = spark.createDataFrame([("a", i, 0.125) for i in range(4)] + [(None, i, 1e-9) for i in range(4)],
+                               "k string, o long, v double")
+    got = {(r.k, r.rn): r.window_sum for r in ST.count_window(df, "k", "o", "v", 10, 2).collect()}
+    assert got == {("a", 2): 0.25, ("a", 4): 0.5, (None, 2): 2e-9, (None, 4): 4e-9}
+
+
+def test_stream_counts_of_one_hot_and_one_null_key(spark):
+    df = spark.createDataFrame([(i, "hot" if i % 9 else None, 0.125) for i in range(2000)],
+                               "event_id long, event_type string, value double")
+    base = scratch_path(spark, "t-hot")
+    for k in _chunks(spark, df, base, 3):
+        s = file_stream(spark, f"{base}/in/*", df.schema)
+        SK.run(s, ST.running_count_batches(f"{base}/o", f"{base}/s", "event_type", "event_id"), f"{base}/c", "t_hot")
+        SK.run(s, ST.count_window_batches(f"{base}/o2", f"{base}/s2", "event_type", "event_id", "value"), f"{base}/c2",
+               "t_hot2")
+    for got, want in ((spark.read.parquet(f"{base}/o"), ST.running_count(df, "event_type", "event_id")),
+                      (spark.read.parquet(f"{base}/o2"), ST.count_window(df, "event_type", "event_id", "value"))):
+        pick = lambda d, c=want.columns: sorted(map(repr, (tuple(r) for r in d.select(*c).collect())))
+        assert pick(got) == pick(want)
