@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.operators import features as feat
+from basketflow.session import cut_lineage
 
 MODEL_FEATURES = ("u_avg_day_gap", "user_ord_cnt", "u_prod_dist_cnt", "u_avg_ord_prods",
                   "prod_sum_rod", "prod_rod_rate", "prod_cnt")
@@ -66,11 +67,29 @@ def label_pairs(orders: DataFrame, op: DataFrame) -> DataFrame:
 
 
 def training_set(orders: DataFrame, op: DataFrame) -> DataFrame:
-    """M3 (D22): labels joined with user and product features (inner)."""
-    priors = op.filter(F.col("eval_set") == "prior")
-    uf = feat.user_features(orders, priors, with_set=False)
-    pf = feat.product_features(priors)
-    return (label_pairs(orders, op).join(uf, "user_id").join(pf, "product_id")
+    """M3 (D22): labels joined with user and product features (inner).
+
+    The order lines are joined with their users once and written; one
+    aggregate by (user, product) holds everything else: the label (bought in a
+    train order), the prior lines and their reorders.  User and product
+    features are sums over that small frame."""
+    lines = cut_lineage(orders.select("order_id", "user_id").join(
+        op.filter(F.col("eval_set").isin("prior", "train"))
+          .select("order_id", "product_id", "eval_set", F.col("reordered").cast("int").alias("rod")), "order_id"))
+    prior = F.col("eval_set") == "prior"
+    pairs = lines.groupBy("user_id", "product_id").agg(
+        F.max(F.when(prior, 0).otherwise(1)).alias("label"), F.count_if(prior).alias("n"),
+        F.coalesce(F.sum(F.when(prior, F.col("rod"))), F.lit(0)).cast("long").alias("rod"))
+    bought = pairs.filter("n > 0")
+    baskets = lines.filter(prior).select("user_id", "order_id").distinct().groupBy("user_id") \
+        .agg(F.count(F.lit(1)).alias("orders"))
+    users = bought.groupBy("user_id").agg(F.count(F.lit(1)).alias("u_prod_dist_cnt"), F.sum("n").alias("lines")) \
+        .join(baskets, "user_id").join(feat.user_order_stats(orders), "user_id") \
+        .withColumn("u_avg_ord_prods", F.col("lines") / F.col("orders"))
+    products = bought.groupBy("product_id").agg(
+        F.sum("n").alias("prod_cnt"), F.sum("rod").alias("prod_sum_rod"),
+        (F.sum("rod") / F.sum("n")).alias("prod_rod_rate"))
+    return (pairs.select("user_id", "product_id", "label").join(users, "user_id").join(products, "product_id")
             .select("user_id", "product_id", "label", *MODEL_FEATURES))
 
 

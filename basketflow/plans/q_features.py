@@ -9,11 +9,12 @@ from basketflow.functions.columns import int_sum
 from basketflow.operators import features as feat
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
-from basketflow.sources.tables import order_products, orders_view, split_products
+from basketflow.session import cut_lineage
+from basketflow.sources.tables import order_products, orders_base, orders_view, split_products
 
 
 def _ov(spark, sf):
-    o = orders_view(spark, sf)
+    o = cut_lineage(orders_view(spark, sf))      # numbered once, read by every branch
     return o, split_products(order_products(spark, sf, o), "prior")
 
 
@@ -75,7 +76,7 @@ def q_user_day_gap(spark, sf):
 
 @query("user_order_count", sql("select * from v_ordcnt", ORDCNT, views=("v_orders",)))
 def q_user_order_count(spark, sf):
-    return feat.user_order_count(orders_view(spark, sf))
+    return feat.user_order_count(orders_base(spark, sf))
 
 
 @query("user_product_set", sql("select * from v_pset", PSET))
@@ -112,7 +113,7 @@ def q_user_product_features(spark, sf):
                 for d in feat.DOW_DAYS)
     + " from v_orders group by user_id", views=("v_orders",)))
 def q_dow_pivot(spark, sf):
-    return feat.dow_counts(orders_view(spark, sf))
+    return feat.dow_counts(orders_base(spark, sf))
 
 
 @query("user_top3_orders", sql("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from basketflow.operators import labels as lab
 from basketflow.plans.catalog import query
 from basketflow.plans.q_features import BASKET, CLEAN, GAP, ORDCNT, PRODUCT, sql
+from basketflow.session import cut_lineage
 from basketflow.sources.tables import order_products, orders_view
 
 PAIRS = [("v_good", """
@@ -29,7 +30,7 @@ VIEWS3 = ("v_orders", "v_prior", "v_train")
 
 
 def _o(spark, sf):
-    o = orders_view(spark, sf)
+    o = cut_lineage(orders_view(spark, sf))      # numbered once, read by every branch
     return o, order_products(spark, sf, o)
 
 

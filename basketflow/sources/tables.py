@@ -47,6 +47,17 @@ def _days_between(a: Column, b: Column) -> Column:
     return F.datediff(b.cast("date"), a.cast("date"))
 
 
+def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_id, user_id, order_dow: the order columns that need no numbering."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+                    _order_dow(F.col("o_orderdate")).alias("order_dow"))
+
+
+def _order_dow(date: Column) -> Column:
+    return F.pmod(_days_between(F.lit(DOW_ANCHOR), date), F.lit(7)).cast("int")
+
+
 def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The purchase-order table: order_id, user_id, eval_set, order_number,
     order_dow (0=Sunday), order_hour_of_day, days_since_prior_order ('' or 'N.0').
@@ -87,8 +98,7 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("o_custkey") % 3 == 0, F.lit("test"))
          .otherwise(F.lit("train")).alias("eval_set"),
         F.col("n").cast("int").alias("order_number"),
-        F.pmod(_days_between(F.lit(DOW_ANCHOR), F.col("o_orderdate")), F.lit(7))
-         .cast("int").alias("order_dow"),
+        _order_dow(F.col("o_orderdate")).alias("order_dow"),
         (F.col("o_orderkey") % 24).cast("int").alias("order_hour_of_day"),
         F.when(F.col("p").isNull(), F.lit(""))
          .otherwise(F.concat(_days_between(F.col("p"), F.col("o_orderdate")).cast("string"),
