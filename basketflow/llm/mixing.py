@@ -32,6 +32,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 REPEATS = 3                # a document is taken this often at most
 SEED = 20
 DIGIT_BITS = 8             # hash bits per descent step
+MAX_PATTERNS = 500_000     # the pattern table is solved on the driver and broadcast: more are refused
 
 
 def word_count(text: Column) -> Column:
@@ -125,6 +126,33 @@ def min_cost_flow(size: list[int], member: list[set[int]], quota: list[int], rep
     return [repeats * size[p] - sum(e.room for e in graph[source] if e.to == p) for p in range(n_p)]
 
 
+def route(size: list[int], member: list[set[int]], quota: list[int], repeats: int = REPEATS) -> list[int]:
+    """:func:`min_cost_flow`, solved apart for sources that no pattern connects."""
+    root = list(range(len(quota)))
+
+    def find(s: int) -> int:
+        while root[s] != s:
+            root[s] = root[root[s]]
+            s = root[s]
+        return s
+
+    for m in member:
+        first = min(m)
+        for s in m:
+            root[find(s)] = find(first)
+    patterns: dict[int, list[int]] = {}
+    for p, m in enumerate(member):
+        patterns.setdefault(find(min(m)), []).append(p)
+    out = [0] * len(size)
+    for ps in patterns.values():
+        number = {s: i for i, s in enumerate(sorted(set().union(*(member[p] for p in ps))))}
+        flow = min_cost_flow([size[p] for p in ps], [{number[s] for s in member[p]} for p in ps],
+                             [quota[s] for s in number], repeats)
+        for p, f in zip(ps, flow, strict=True):
+            out[p] = f
+    return out
+
+
 def _cuts(rows: DataFrame, want: dict[str, int], bits: int = 64) -> dict[str, tuple[int, int]]:
     """Per pattern the hash bound below which documents are taken, and the size still missing.
 
@@ -187,14 +215,16 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
                              ).alias("__h"))
     thin = stage(d.select("pattern", F.col("__h").alias("h"), "size", F.col("__members").alias("members")), "mix")
     pats = thin.groupBy("pattern").agg(F.sum("size").alias("size"), F.first("members").alias("members")) \
-        .orderBy("pattern").collect()                            # one row per membership pattern
+        .orderBy("pattern").limit(MAX_PATTERNS + 1).collect()    # one row per membership pattern
+    if len(pats) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns: merge sources first")
     sizes: dict[str | None, int] = {}
     for r in pats:
         for s in set(r["members"]):
             sizes[s] = sizes.get(s, 0) + r["size"]
     goal = targets(sizes, repeats) if quotas is None else quotas
     number = {s: i for i, s in enumerate(goal)}
-    flow = min_cost_flow([r["size"] for r in pats], [{number[s] for s in r["members"]} for r in pats],
+    flow = route([r["size"] for r in pats], [{number[s] for s in r["members"]} for r in pats],
                          [round(goal[s]) for s in goal], repeats)
     full = {r["pattern"]: (f // r["size"] if r["size"] else 0) for r, f in zip(pats, flow, strict=True)}
     part = {r["pattern"]: (f % r["size"] if r["size"] else 0) for r, f in zip(pats, flow, strict=True)}

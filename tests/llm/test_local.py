@@ -148,6 +148,20 @@ def test_min_cost_flow_prefers_first_uses():
     assert mixing.min_cost_flow([0, 4], [{0}, {0}], [6]) == [0, 6]
 
 
+def test_route_solves_connected_sources_together():
+    rng = random.Random(13)
+    for _ in range(40):
+        size = [rng.randint(0, 9) for _ in range(6)]
+        member = [set(rng.sample(range(4), rng.randint(1, 2))) for _ in size]
+        quota = [rng.randint(0, 20) for _ in range(4)]
+        a, b = mixing.route(size, member, quota), mixing.min_cost_flow(size, member, quota)
+        cost = lambda f: sum(k * (k + 1) // 2 * max(0, min(x - k * s, s)) for x, s in zip(f, size, strict=True)
+                             for k in range(3))
+        assert sum(a) == sum(b) and cost(a) == cost(b)
+    many = mixing.route([7] * 3000, [{i} for i in range(3000)], [10] * 3000)
+    assert many == [10] * 3000
+
+
 # --- html --------------------------------------------------------------------------
 def test_extract():
     page = ("<html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body><nav><ul><li>"
