@@ -14,7 +14,8 @@
    gap.
 
 Rules: a null source is a source of its own, after all others; a null text has
-size 0 and is never taken; equal rows are told apart by nothing and so share
+size 0 and is never taken; a document of no source (empty or null members) is
+never taken and has neither target nor source size; equal rows are told apart by nothing and so share
 one decision; equal inputs and seed give equal results.
 """
 
@@ -204,7 +205,7 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
     """
     new = ("size", "pattern", "source_size", "target", "copies")
     members = F.array(F.col("source").cast("string")) if members is None else members
-    members = F.array_sort(F.array_distinct(members))
+    members = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
     # a pattern's name: its sources with their lengths, so that names never run together; null apart
     name = F.array_join(F.transform(members, lambda s: F.when(
         s.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(s), F.lit(":"), s))), "")
@@ -218,6 +219,7 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
         .orderBy("pattern").limit(MAX_PATTERNS + 1).collect()    # one row per membership pattern
     if len(pats) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns: merge sources first")
+    pats = [r for r in pats if r["members"]]                     # documents of no source are not taken
     sizes: dict[str | None, int] = {}
     for r in pats:
         for s in set(r["members"]):
@@ -240,8 +242,9 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
     below = F.col("every") | (unsigned < F.col("cut").bitwiseXOR(F.lit(-(1 << 63))))
     extra = F.when(F.col("cut").isNull(), F.lit(0)).when(below, F.lit(1)) \
         .when(F.array_contains("closing", F.col("__h")), F.lit(1)).otherwise(F.lit(0))
-    return d.join(F.broadcast(table), "pattern") \
-        .withColumn("copies", F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("full") + extra).cast("long")) \
+    return d.join(F.broadcast(table), "pattern", "left") \
+        .withColumn("copies", F.when((F.col("size") == 0) | F.col("full").isNull(), F.lit(0))
+                    .otherwise(F.col("full") + extra).cast("long")) \
         .select(*[F.col(f"`{c}`") for c in df.columns if c not in new], *new)
 
 

@@ -166,9 +166,11 @@ def test_mix_meets_targets_and_repeats(docs, empty, rows):
 def test_mix_overlapping_sources(spark):
     rng = random.Random(11)
     data = [(i, sentence(rng, 20), rng.choice([["x"], ["y"], ["x", "y"]])) for i in range(90)]
+    data += [(500, "no source at all", []), (501, "none either", None)]
     df = spark.createDataFrame(data, "doc_id long, text string, of array<string>")
     c = mixing.copies(df, members=F.col("of"), quotas={"x": 900.0, "y": 500.0}).collect()
     assert abs(sum(r["copies"] * r["size"] for r in c) - 1400) <= 60
+    assert [(r["copies"], r["target"]) for r in c if r["doc_id"] >= 500] == [(0, None)] * 2
 
 
 # --- 5 pages ---------------------------------------------------------------------------
