@@ -72,11 +72,16 @@ def segment_index_terms(df: DataFrame, col: str, id_col: str) -> DataFrame:
     segments that are words of the corpus themselves; ``id, term, n``.
 
     The dictionary is the set of distinct 2-3 character segments -- a
-    left-semi join, broadcast by the planner only when its size allows."""
-    seg = df.select(id_col, F.explode(T.segments(F.col(col))).alias("tok"))
-    vocab = seg.filter(F.length("tok").between(2, 3)).select(F.col("tok").alias("term")).distinct()
-    subs = seg.filter(F.length("tok") > 2).select(id_col, F.explode(T.inner_terms(F.col("tok"))).alias("term"))
-    return subs.join(vocab, "term", "left_semi").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
+    left-semi join, broadcast by the planner only when its size allows.  Tokens
+    are counted per document first and cut into substrings once per distinct
+    token, so no substring of a token's every occurrence is shuffled."""
+    seg = df.select(id_col, F.explode(T.segments(F.col(col))).alias("tok")) \
+        .groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("c"))
+    distinct = seg.select("tok").distinct()
+    vocab = distinct.filter(F.length("tok").between(2, 3)).select(F.col("tok").alias("term"))
+    subs = distinct.filter(F.length("tok") > 2).select("tok", F.explode(T.inner_terms(F.col("tok"))).alias("term")) \
+        .groupBy("tok", "term").agg(F.count(F.lit(1)).alias("m")).join(vocab, "term", "left_semi")
+    return seg.join(subs, "tok").groupBy(id_col, "term").agg(F.sum(F.col("c") * F.col("m")).alias("n"))
 
 
 def doc_words(sent: DataFrame) -> DataFrame:

@@ -236,6 +236,24 @@ def q_partitioned_append(spark, sf):
         .select("order_id", "user_id", "dt")
 
 
+@query("catalog_append", """
+select cast(event_id as varchar) as order_id, cast(user_id as varchar) as user_id, strftime(ts, '%Y%m%d') as dt
+from events""")
+def q_catalog_append(spark, sf):
+    """K5: JSON messages from a stream inserted into a ``dt``-partitioned catalog table."""
+    base = scratch_path(spark, "catappend")
+    name = "orders_" + base[-12:]
+    spark.sql(f"create table {name} (order_id string, user_id string, dt string) using parquet "
+              f"partitioned by (dt) location '{base}/table'")
+    s = _table_stream(spark, sf, "events", "event_id", "user_id", "event_type", "ts")
+    msgs = s.select(F.to_json(F.struct(F.col("event_id").alias("order_id"), "user_id",
+                                       F.col("event_type").alias("eval_set"))).alias("msg"), "ts")
+    rows = parse_orders(msgs).select(F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd").alias("dt"),
+                                     "m.user_id", "m.order_id")
+    SK.run(rows, SK.insert_into(name), f"{base}/ckpt", "catappend_" + base[-12:])
+    return spark.table(name)
+
+
 def _kafka_frame(spark, sf):
     return as_kafka_frame(event_json(spark, sf), TOPIC, "part", "event_id", "msg")
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.session import hadoop_fs
+
 PAIR_LINE = r"^\((.*),(-?\d+)\)$"  # fixed: "(key,count)" text lines
 
 
@@ -38,12 +40,21 @@ def compact(df: DataFrame, files: int) -> DataFrame:
     return df.repartition(files)
 
 
+TARGET_FILE_BYTES = 128 << 20  # size of a compacted file, about
+
+
+def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """How many files of ``target_bytes`` the data below ``path`` fills."""
+    size = hadoop_fs(spark, path).getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(path)).getLength()
+    return max(1, -(-size // target_bytes))
+
+
 def latest_per_key(df: DataFrame, key: str, order_col: str, cols: list[str]) -> DataFrame:
-    """The newest row per key by an explicit order column.  ``max_by``
-    is an aggregate with a map-side partial, so a hot key costs one small
-    partial per task, not one big group."""
-    s = F.struct(*[F.col(c) for c in cols], F.col(order_col))
-    return df.groupBy(key).agg(F.max_by(s, F.col(order_col)).alias("_r")) \
+    """The newest row per key by an explicit order column; rows of one
+    order value are ranked by their other columns, a NULL order is oldest, so
+    the choice never depends on arrival.  A plain maximum with a map-side
+    partial: a hot key costs one small partial per task, not one big group."""
+    return df.groupBy(key).agg(F.max(F.struct(order_col, *cols)).alias("_r")) \
              .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols], F.col(f"_r.{order_col}").alias(order_col))
 
 

@@ -84,6 +84,15 @@ def partitioned_append(path: str, partition_cols: list[str]) -> BatchFn:
     return fn
 
 
+def insert_into(name: str) -> BatchFn:
+    """K5: append each batch to a catalog table, columns in the table's order
+    (``insertInto`` goes by position).  At least once: use
+    :func:`partitioned_append` where a repeated batch must not add rows."""
+    def fn(df: DataFrame, batch_id: int) -> None:
+        df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    return fn
+
+
 def with_ledger(result_fn: BatchFn, ledger_path: str, group: str) -> BatchFn:
     """K7 (D17 corrected): run the batch's own output first, then append the
     consumed offset ranges of the batch to the ledger, keyed by
