@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.llm import pretokens
-from basketflow.llm.common import with_fields
+from basketflow.llm.common import fresh, with_fields
 
 CHUNK_BYTES = 3 << 20
 CACHE_PIECES = 600_000
@@ -337,11 +337,12 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text",
     schema = with_fields(df.schema, fields, gone)
     carried = [f.name for f in df.schema.fields if f.name in schema.names and f.name not in outputs]
     blob = _shared(df.sparkSession, ranks_path)
+    given = fresh(df, "text_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(blob.value)
         for batch in batches:
-            text = batch.column("text_in")
+            text = batch.column(given)
             for row, n, data, offsets in _text_chunks(text):
                 if n == 1 and len(data) > CHUNK_BYTES:
                     cuts = _windows(data)
@@ -354,7 +355,7 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text",
                 cols = [batch.column(c).slice(row, n) for c in carried]
                 yield pa.RecordBatch.from_arrays(cols + _columns(enc, ids, counts, outputs), names=schema.names)
 
-    source = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias("text_in"))
+    source = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias(given))
     return source.mapInArrow(run, schema)
 
 
@@ -367,13 +368,14 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
     schema = with_fields(df.schema, [T.StructField(out_col, T.StringType())])
     carried = [f.name for f in df.schema.fields if f.name != out_col]
     blob = _shared(df.sparkSession, ranks_path)
+    given = fresh(df, "ids_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(blob.value)
         for batch in batches:
             texts = [enc.decode(np.asarray(x or [], np.int64)).tobytes().decode("utf-8", "replace")
-                     for x in batch.column("ids_in").to_pylist()]
+                     for x in batch.column(given).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(texts, pa.string())],
                                              names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{ids_col}`").alias("ids_in")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{ids_col}`").alias(given)).mapInArrow(run, schema)

@@ -43,8 +43,12 @@ def with_fields(schema: T.StructType, new: list[T.StructField], drop: tuple[str,
     return T.StructType([f for f in schema.fields if f.name not in gone] + list(new))
 
 
-def parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import with_fields
+from basketflow.llm.common import fresh, with_fields
 
 # Element kinds of HTML.
 SILENT = frozenset("script style template noscript iframe object svg math canvas head title textarea select "
@@ -300,12 +300,13 @@ def extract_pages(df: DataFrame, html_col: str = "html", out_col: str = "text",
     """Add the main text (replaces a column of that name)."""
     schema = with_fields(df.schema, [T.StructField(out_col, T.StringType())], () if keep_html else (html_col,))
     carried = [n for n in schema.names if n != out_col]
+    given = fresh(df, "html_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(x.as_py()) for x in batch.column("html_in")]
+            texts = [extract(x.as_py()) for x in batch.column(given)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(texts, pa.string())],
                                              names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{html_col}`").cast("string").alias("html_in")) \
+    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{html_col}`").cast("string").alias(given)) \
         .mapInArrow(run, schema)

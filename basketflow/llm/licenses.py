@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import with_fields
+from basketflow.llm.common import fresh, with_fields
 
 COVERAGE = 0.8
 DENSITY = 0.6
@@ -215,15 +215,16 @@ def scan_licenses(df: DataFrame, text_col: str = "text", out_col: str = "license
     carried = [n for n in schema.names if n != out_col]
     kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("n_words", pa.int64()),
                                ("first_word", pa.int64()), ("last_word", pa.int64())]))
+    given = fresh(df, "text_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = load_templates(texts)
         names = [f.name for f in MATCH.fields]
         for batch in batches:
             got = [[dict(zip(names, m, strict=True)) for m in scan(x.as_py(), templates)]
-                   for x in batch.column("text_in")]
+                   for x in batch.column(given)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(got, kind)],
                                              names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias("text_in")) \
+    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias(given)) \
         .mapInArrow(run, schema)

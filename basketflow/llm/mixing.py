@@ -15,8 +15,8 @@
 
 Rules: a null source is a source of its own, after all others; a null text has
 size 0 and is never taken; a document of no source (empty or null members) is
-never taken and has neither target nor source size; equal rows are told apart by nothing and so share
-one decision; equal inputs and seed give equal results.
+never taken and has neither target nor source size; equal rows are told apart
+by nothing and so share one decision; equal inputs and seed give equal results.
 """
 
 from __future__ import annotations
@@ -237,14 +237,15 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
              cut[r["pattern"]][0] >= 1 << 64 if r["pattern"] in cut else False, close.get(r["pattern"]),
              sizes[r["members"][0]], float(goal[r["members"][0]])) for r in pats]
     table = df.sparkSession.createDataFrame(
-        plan, "pattern string, full long, cut long, every boolean, closing array<long>, source_size long, target double")
+        plan, "pattern string, __full long, __cut long, __every boolean, __closing array<long>, source_size long, "
+              "target double")
     unsigned = F.col("__h").bitwiseXOR(F.lit(-(1 << 63)))
-    below = F.col("every") | (unsigned < F.col("cut").bitwiseXOR(F.lit(-(1 << 63))))
-    extra = F.when(F.col("cut").isNull(), F.lit(0)).when(below, F.lit(1)) \
-        .when(F.array_contains("closing", F.col("__h")), F.lit(1)).otherwise(F.lit(0))
+    below = F.col("__every") | (unsigned < F.col("__cut").bitwiseXOR(F.lit(-(1 << 63))))
+    extra = F.when(F.col("__cut").isNull(), F.lit(0)).when(below, F.lit(1)) \
+        .when(F.array_contains("__closing", F.col("__h")), F.lit(1)).otherwise(F.lit(0))
     return d.join(F.broadcast(table), "pattern", "left") \
-        .withColumn("copies", F.when((F.col("size") == 0) | F.col("full").isNull(), F.lit(0))
-                    .otherwise(F.col("full") + extra).cast("long")) \
+        .withColumn("copies", F.when((F.col("size") == 0) | F.col("__full").isNull(), F.lit(0))
+                    .otherwise(F.col("__full") + extra).cast("long")) \
         .select(*[F.col(f"`{c}`") for c in df.columns if c not in new], *new)
 
 

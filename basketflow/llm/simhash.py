@@ -8,7 +8,7 @@
   into several blocks of about ``BLOCK`` fingerprints.  A tile is a pair of
   blocks; pairs whose counts differ by more than the radius are skipped,
   because each differing bit changes the count by at most one.  Inside a tile
-  the two 32-bit halves' counts skip sub-tiles in the same way.
+  the count of the upper 32 bits skips sub-tiles in the same way.
 * A tile compares all its pairs exactly (exclusive-or, bit count) in bounded
   row batches and returns spanning links only, never pairs; the components of
   all tiles' links follow in :mod:`components`.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import stage, with_fields
+from basketflow.llm.common import fresh, stage, with_fields
 from basketflow.llm.components import Forest, components
 
 SHINGLE = 4
@@ -66,16 +66,17 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fp", shi
     """Add the fingerprint as a (signed) long."""
     schema = with_fields(df.schema, [T.StructField(out_col, T.LongType(), False)], () if keep_text else (text_col,))
     carried = [n for n in schema.names if n != out_col]
+    given = fresh(df, "text_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x.as_buffer().to_pybytes() if x.is_valid else None, shingle)
-                            for x in batch.column("text_in")], np.uint64)
+                            for x in batch.column(given)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(fps.view(np.int64))],
                                              names=schema.names)
 
     return df.select(*[F.col(f"`{c}`") for c in carried],
-                     F.col(f"`{text_col}`").cast("binary").alias("text_in")).mapInArrow(run, schema)
+                     F.col(f"`{text_col}`").cast("binary").alias(given)).mapInArrow(run, schema)
 
 
 def _tile(fps_a: np.ndarray, fps_b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import let, stage, with_fields
+from basketflow.llm.common import fresh, let, stage, with_fields
 
 TRAIN_ROWS = 12_000        # labelled rows used at most (about)
 MAX_UNITS = 5_000          # lexicon entries kept at most, best first
@@ -235,15 +235,16 @@ def _features(df: DataFrame, model: Model, text_col: str, out: str = "f", keep_t
     schema = with_fields(df.schema, [T.StructField(out, T.ArrayType(T.DoubleType()))], () if keep_text else (text_col,))
     carried = [n for n in schema.names if n != out]
     units, coef = model.units, model.coef
+    given = fresh(df, "text_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(units, coef)
         for batch in batches:
-            f = [list(m.features(x.as_py())) for x in batch.column("text_in")]
+            f = [list(m.features(x.as_py())) for x in batch.column(given)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried] + [pa.array(f, pa.list_(pa.float64()))], names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias("text_in")) \
+    return df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_col}`").cast("string").alias(given)) \
         .mapInArrow(run, schema)
 
 

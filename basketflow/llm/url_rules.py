@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import with_fields
+from basketflow.llm.common import fresh, with_fields
 
 MAX_RULES = 1_000_000      # the index is broadcast: a larger rule set is refused
 
@@ -123,12 +123,13 @@ def judge_urls(df: DataFrame, url_col: str = "url", todo: list[UrlRule] | None =
     new = ("host", "path", "rule", "verdict")
     schema = with_fields(df.schema, [T.StructField(c, T.StringType()) for c in new])
     carried = [c for c in schema.names if c not in new]
+    given = fresh(df, "url_in")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = Judge(shared.value)
         for batch in batches:
-            got = [j.judge(u) for u in batch.column("url_in").to_pylist()]
+            got = [j.judge(u) for u in batch.column(given).to_pylist()]
             cols = [pa.array([g[k] for g in got], pa.string()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + cols, names=schema.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in carried], url.alias("url_in")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in carried], url.alias(given)).mapInArrow(run, schema)

@@ -51,7 +51,9 @@ def empty(spark):
 
 
 def clashing(df, *names):
-    return df.withColumns({n: F.lit("old") for n in names})
+    """With extra columns named like outputs (they are replaced) and like internal ones (they stay)."""
+    inner = ("text_in", "html_in", "url_in", "ids_in", "full", "cut", "h", "fp_", "label_", "pattern_")
+    return df.withColumns({n: F.lit("old") for n in (*names, *inner)})
 
 
 # --- 1 BPE ----------------------------------------------------------------------
@@ -177,7 +179,7 @@ def test_mix_overlapping_sources(spark):
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>A b</p></article><footer>f</footer>", "old"), (2, None, None, "x"),
                                 (None, "u", "", None)], "page_id long, url string, html string, text string")
-    assert [r["text"] for r in html_cut.extract_pages(df).orderBy(F.desc_nulls_last("page_id")).collect()] == ["", "A b", ""]
+    assert [r["text"] for r in html_cut.extract_pages(clashing(df)).orderBy(F.desc_nulls_last("page_id")).collect()] == ["", "A b", ""]
     assert html_cut.extract_pages(df.limit(0)).count() == 0
 
 
@@ -213,7 +215,7 @@ def test_quality_measures(docs, empty, rows, spark):
 def test_urls(spark):
     df = spark.createDataFrame([(1, "http://a.org/x", "old"), (1, None, "old"), (None, "http://b.com/de/", "old")],
                                "page_id long, url string, rule string")
-    got = {(r["page_id"], r["host"], r["rule"], r["verdict"]) for r in url_rules.judge_urls(df).collect()}
+    got = {(r["page_id"], r["host"], r["rule"], r["verdict"]) for r in url_rules.judge_urls(clashing(df)).collect()}
     assert got == {(1, "a.org", "org/", "allow"), (1, "", None, "allow"), (None, "b.com", "com/de/", "block")}
     assert url_rules.judge_urls(df.limit(0)).count() == 0
 
@@ -222,7 +224,7 @@ def test_urls(spark):
 def test_licenses(spark, docs):
     line = licenses.TEMPLATES["MIT-line"]
     df = spark.createDataFrame([(1, "x " * 900 + line, 3), (2, None, 3), (3, "", 3)], "doc_id long, text string, licenses int")
-    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(df).collect()}
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(clashing(df)).collect()}
     assert got[2] == got[3] == [] and [(m["license"], m["first_word"]) for m in got[1]] == [("MIT-line", 900)]
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
