@@ -25,6 +25,23 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+SQL_OP2 = r"""
+WITH RECURSIVE
+     v AS (SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+     ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+              AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     l AS (SELECT a.rid, b.rid AS other FROM ok a JOIN ok b
+             ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
+             AND list_cosine_similarity(a.e, b.e) >= 0.98),
+     r AS (SELECT rid, other FROM l UNION SELECT r.rid, l.other FROM r JOIN l ON l.rid = r.other),
+     n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid),
+     c AS (SELECT r.rid, min(v.vec_id) AS first FROM r JOIN v ON v.rid = r.other GROUP BY r.rid)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(c.first, v.vec_id)) AS component_id,
+       coalesce(v.vec_id <= coalesce(c.first, v.vec_id), false) AS kept
+FROM v LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)
+"""
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of all documents, sizes near equal, equal texts together."""
     s = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
@@ -126,7 +143,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op8_licenses, op9_simhash, op10_toxicity)}
 
-SQL: dict[str, str] = {"op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
+SQL: dict[str, str] = {"op2_embeddings": SQL_OP2, "op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
 
 def queries() -> dict:
