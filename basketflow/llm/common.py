@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +52,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def strings(column: pa.Array) -> Iterator[str | None]:
+    """The values of a string column; bytes that are no UTF-8 become U+FFFD."""
+    for x in column:
+        try:
+            yield x.as_py()
+        except UnicodeDecodeError:
+            yield x.as_buffer().to_pybytes().decode("utf-8", "replace")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, even inside lambdas and pushed-down filters."""
     return F.transform(F.array(value), body)[0]

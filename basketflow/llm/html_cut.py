@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import fresh, with_fields
+from basketflow.llm.common import fresh, strings, with_fields
 
 # Element kinds of HTML.
 SILENT = frozenset("script style template noscript iframe object svg math canvas head title textarea select "
@@ -304,7 +304,7 @@ def extract_pages(df: DataFrame, html_col: str = "html", out_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(x.as_py()) for x in batch.column(given)]
+            texts = [extract(x) for x in strings(batch.column(given))]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(texts, pa.string())],
                                              names=schema.names)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import fresh, with_fields
+from basketflow.llm.common import fresh, strings, with_fields
 
 COVERAGE = 0.8
 DENSITY = 0.6
@@ -221,8 +221,8 @@ def scan_licenses(df: DataFrame, text_col: str = "text", out_col: str = "license
         templates = load_templates(texts)
         names = [f.name for f in MATCH.fields]
         for batch in batches:
-            got = [[dict(zip(names, m, strict=True)) for m in scan(x.as_py(), templates)]
-                   for x in batch.column(given)]
+            got = [[dict(zip(names, m, strict=True)) for m in scan(x, templates)]
+                   for x in strings(batch.column(given))]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [pa.array(got, kind)],
                                              names=schema.names)
 

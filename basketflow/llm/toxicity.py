@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import fresh, let, stage, with_fields
+from basketflow.llm.common import fresh, let, stage, strings, with_fields
 
 TRAIN_ROWS = 12_000        # labelled rows used at most (about)
 MAX_UNITS = 5_000          # lexicon entries kept at most, best first
@@ -240,7 +240,7 @@ def _features(df: DataFrame, model: Model, text_col: str, out: str = "f", keep_t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(units, coef)
         for batch in batches:
-            f = [list(m.features(x.as_py())) for x in batch.column(given)]
+            f = [list(m.features(x)) for x in strings(batch.column(given))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried] + [pa.array(f, pa.list_(pa.float64()))], names=schema.names)
 

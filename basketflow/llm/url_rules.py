@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import fresh, with_fields
+from basketflow.llm.common import fresh, strings, with_fields
 
 MAX_RULES = 1_000_000      # the index is broadcast: a larger rule set is refused
 
@@ -128,7 +128,7 @@ def judge_urls(df: DataFrame, url_col: str = "url", todo: list[UrlRule] | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = Judge(shared.value)
         for batch in batches:
-            got = [j.judge(u) for u in batch.column(given).to_pylist()]
+            got = [j.judge(u) for u in strings(batch.column(given))]
             cols = [pa.array([g[k] for g in got], pa.string()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + cols, names=schema.names)
 

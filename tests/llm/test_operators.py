@@ -285,6 +285,22 @@ def test_toxicity_learns_units(spark, empty):
     assert none.units == {} and toxicity.score(empty, none).count() == 0
 
 
+def test_stray_bytes_do_not_stop_a_job(spark):
+    """Strings with bytes that are no UTF-8, as a crawl may hold them."""
+    raw = b"idiot \xff\xfe http://x.org/ <p>a\xc3</p> Released under the MIT License."
+    df = spark.createDataFrame([(1, bytearray(raw))], "doc_id long, b binary") \
+        .select("doc_id", F.col("b").cast("string").alias("text"), F.lit("s").alias("source"))
+    e = bpe.encode(df, queries.RANKS, outputs=("n_tokens", "decoded"), keep_text=False).first()
+    assert bytes(e["decoded"]) == raw
+    assert toxicity.score(df, toxicity.Model({"idiot$": 4.0}, [-2.0, 2.0, 1.0, 2.0])).first()["predicted"] == 1
+    assert licenses.scan_licenses(df).first()["licenses"][0]["license"] == "MIT-line"
+    assert html_cut.extract_pages(df, "text", "main").first()["main"]
+    assert url_rules.judge_urls(df, "text").first()["verdict"] == "allow"
+    assert simhash.near_duplicates(df).first()["fingerprint"] == f"{simhash.fingerprint(raw):016x}"
+    assert quality.annotate(df).first()["n_words"] == 9 and sharding.shard(df, 2).first()["size"] == len(raw) + 1
+    assert mixing.copies(df).first()["size"] == 9
+
+
 # --- queries and pipeline --------------------------------------------------------------
 @pytest.fixture(scope="module")
 def con(sf):
