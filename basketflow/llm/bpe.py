@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from basketflow.llm import pretokens
 from basketflow.llm.common import fresh, with_fields
 
-CHUNK_BYTES = 3 << 20
-CACHE_PIECES = 600_000
+CHUNK_BYTES = 2 << 20
+CACHE_PIECES = 300_000
 MATRIX_BYTES = 48          # longer pre-tokens are merged one by one
 NONE = np.int32(2**31 - 1)
 
