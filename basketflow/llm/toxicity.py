@@ -165,8 +165,8 @@ def remainder(id_col: str) -> Column:
 def _lexicon(train: DataFrame) -> dict[str, float]:
     """Units from rows ``text, toxic``."""
     ws = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), 0)
-    pairs = let(ws, lambda w: F.array_distinct(F.transform(w, lambda x, i: F.struct(
-        x.alias("word"), F.when(i > 0, w[i - 1]).otherwise(F.lit("")).alias("before")))))
+    pairs = let(ws, lambda w: F.transform(w, lambda x, i: F.struct(
+        x.alias("word"), F.when(i > 0, w[i - 1]).otherwise(F.lit("")).alias("before"))))
     ctx = train.select("toxic", F.explode(pairs).alias("p")) \
         .select("p.word", "p.before", "toxic").filter(F.length("word") >= MIN_LEN).distinct()
     words = ctx.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("n1"),
