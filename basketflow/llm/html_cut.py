@@ -8,6 +8,9 @@ to the two terminals.  Neighbouring blocks and blocks with a near common
 ancestor are joined by smoothness edges.  The maximum flow separates the
 blocks; those on the content side of the minimum cut are the main text.
 
+Boilerplate words on html, body and the elements that contain the article tell
+of the page's layout, not of its text, and do not count (see ``_around_article``).
+
 Comments, scripts, styles, forms, and other unrendered or input elements carry
 no text.  Markup need not be well formed: an unclosed element ends with its
 parent, a stray end tag is ignored, a page may end anywhere.  A null or empty
@@ -41,6 +44,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES_P = BLOCK - {"body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SIBLING_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                "th": ("td", "th"), "option": ("option",)}
+ARTICLE = frozenset("html body main article h1".split())      # tell where the article is
 SCOPE = frozenset("table ul ol dl nav article section div body aside footer header main".split())
 
 # Words in class, id and role attributes.
@@ -52,6 +56,7 @@ BOILERPLATE_WORDS = frozenset(
 BOILERPLATE_STEMS = ("comment", "sidebar", "cookie", "advert", "newsletter", "footer", "breadcrumb", "navbar", "popup",
                      "subscri", "sponsor", "masthead")          # also inside longer words
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
+STATES = frozenset("has have with without no is not show hide open closed".split())   # "has-comments" tells of a layout
 
 # Classifier weights (log odds of content; positive is content).
 BIAS = 1.5
@@ -64,7 +69,7 @@ SCALE = 1000               # capacities are integers
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<",
                     re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-label)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -79,32 +84,87 @@ class Block:
 
 
 class _Element:
-    __slots__ = ("name", "number", "marks")
+    __slots__ = ("name", "number", "marks", "first")
+
+    def __init__(self, name: str, number: int, marks: frozenset, first: frozenset):
+        self.name, self.number, self.marks, self.first = name, number, marks, first
+
 
-    def __init__(self, name: str, number: int, marks: frozenset):
-        self.name, self.number, self.marks = name, number, marks
+def _stemmed(words) -> bool:
+    return any(stem in w for w in words for stem in BOILERPLATE_STEMS)
 
 
-def _marks(attributes: str) -> frozenset:
-    """Words of the class, id and role attributes; a hidden attribute marks the element too."""
-    if not attributes or ("=" not in attributes and "hidden" not in attributes):
-        return frozenset()
+def _marks(attributes: str) -> tuple[frozenset, frozenset]:
+    """Words of the class, id and role attributes, and the first word of each of their names; a hidden element is
+    marked too."""
+    if not attributes or ("=" not in attributes and "hidden" not in attributes.lower()):
+        return frozenset(), frozenset()
     out: set[str] = set()
+    first: set[str] = set()
+    seen: set[str] = set()
     for key, value in _ATTR.findall(attributes):
-        if key.lower() == "hidden":
+        key = key.lower()
+        if key in seen:                              # the first of equal attributes counts
+            continue
+        seen.add(key)
+        if key == "hidden" or key == "aria-hidden" and value.strip("\"'").strip().lower() == "true":
             out.add("popup")
-        elif key.lower() != "aria-label":
-            words = _WORD.findall(value.lower())
-            out.update(words)
-            if any(stem in w for w in words for stem in BOILERPLATE_STEMS):
-                out.add("sidebar")
-    return frozenset(out)
+        elif key in ("class", "id", "role"):
+            for one in value.lower().split():
+                words = _WORD.findall(one)
+                out.update(words)
+                first.update(words[:1])
+                if _stemmed(words):
+                    out.add("sidebar")
+    return frozenset(out), frozenset(first)
+
+
+def _around_article(paths: list[tuple[_Element, ...]], texts: list[int]) -> set[int]:
+    """Numbers of the elements whose boilerplate words do not count: html, body, and the article with all around it.
+
+    ``paths``: the open elements of every block; ``texts``: its characters outside links.  The article is the main
+    element and the longest article element that is not itself a comment or the like; on pages with neither, the
+    longest element named as content, else the one of the first heading.  Without such an element only those that
+    hold more than half of the text are taken to contain the article.
+    """
+    held: dict[int, int] = {}
+    by: dict[int, _Element] = {}
+    above: dict[int, tuple[_Element, ...]] = {}
+    for path, n in zip(paths, texts, strict=True):
+        for k, e in enumerate(path):
+            held[e.number] = held.get(e.number, 0) + n
+            if e.number not in by:
+                by[e.number], above[e.number] = e, path[:k + 1]
+    half = sum(texts) / 2
+
+    def own(e: _Element) -> bool:                    # boilerplate by its own names, "has-comments" aside
+        first = e.first - STATES
+        return not first & CONTENT_WORDS and (bool(first & BOILERPLATE_WORDS) or _stemmed(first))
+
+    def longest(es: list[_Element]) -> list[_Element]:
+        return [max(es, key=lambda e: (held[e.number], -e.number))] if es else []
+
+    out = {e.number for e in by.values() if e.name in ("html", "body")
+           or e.name == "article" and not (e.first & BOILERPLATE_WORDS or _stemmed(e.first))}
+    mains = longest([e for e in by.values() if e.name == "main"])
+    articles = [e for e in by.values() if e.name == "article" and (not own(e) or held[e.number] > half)]
+    inside = [e for e in articles if mains and mains[0] in above[e.number]]
+    certain = mains + longest(inside or articles)
+    for e in certain:
+        out.update(x.number for x in above[e.number])
+    if not certain:
+        named = [e for e in by.values() if e.first & CONTENT_WORDS and not own(e)] or \
+            [e for e in by.values() if e.name == "h1"]
+        for e in longest(named):
+            out.update(x.number for x in above[e.number] if held[x.number] > half)
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order, white space collapsed, references decoded."""
     stack: list[_Element] = []
     out: list[Block] = []
+    paths: list[tuple[_Element, ...]] = []
     held: list[str] = []
     linked = silent = links = number = 0
 
@@ -114,8 +174,8 @@ def blocks(page: str) -> list[Block]:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
                 out.append(Block(tuple(e.number for e in stack if e.name in BLOCK),
-                                 frozenset(e.name for e in stack),
-                                 frozenset().union(*(e.marks for e in stack)) if stack else frozenset(), text, linked))
+                                 frozenset(e.name for e in stack), frozenset(), text, linked))
+                paths.append(tuple(e for e in stack if e.marks or e.name in ARTICLE))
             held.clear()
         linked = 0
 
@@ -169,7 +229,7 @@ def blocks(page: str) -> list[Block]:
                 held.append(" ")
             continue
         number += 1
-        stack.append(_Element(name, number, _marks(m[3])))
+        stack.append(_Element(name, number, *_marks(m[3])))
         silent += name in SILENT
         links += name == "a"
         if name in RAW:                              # raw text up to its own end tag
@@ -178,6 +238,10 @@ def blocks(page: str) -> list[Block]:
             close(len(stack) - 1)
     close(0)
     flush()
+    bad = any(e.marks & BOILERPLATE_WORDS for path in paths for e in path)
+    spared = _around_article(paths, [max(0, len(b.text) - b.linked) for b in out]) if bad else ()
+    for b, path in zip(out, paths, strict=True):
+        b.marks = frozenset().union(*(e.marks - BOILERPLATE_WORDS if e.number in spared else e.marks for e in path))
     return out
 
 

@@ -175,6 +175,38 @@ def test_extract():
     assert html_cut.extract(deep) == "text"
 
 
+LONG = "A paragraph of the article with quite some words in it. " * 6
+
+
+@pytest.mark.parametrize("before,after", [
+    ('<body class="single has-sidebar">', ""), ('<html class="no-cookie"><body id=page-with-comments>', ""),
+    ('<article class="post has-comments">', "</article>"), ('<article class="has-comments">', "</article>"),
+    ('<body><main class="sidebar-right"><article class=post>', "</article></main>"),
+    ('<div class="wrap has-sidebar"><article>', "</article></div>"),
+    ('<div class="wrap has-sidebar"><div class="entry-content">', "</div></div>"),
+    ('<div class="layout sidebar-left"><h1>H</h1>', "</div>"),
+    ('<div style="overflow:hidden">', "</div>"), ('<div title="The hidden valley">', "</div>"),
+    ('<div aria-hidden="false">', "</div>"), ('<div data-id="sidebar" data-class=menu data-role="popup">', "</div>"),
+    ('<body><article class="comment-free"><div>', "</div></article>"),
+])
+def test_layout_words_do_not_drop_the_article(before, after):
+    text = LONG.strip()
+    page = f"<html>{before}<p>{text}</p><p>{text}</p>{after}" \
+           f"<div id=comments><article class='comment'><p>Nice post, {text}</p></article></div>"
+    got = html_cut.extract(page).split("\n\n")
+    assert [x for x in got if x != "H"] == [text, text]
+
+
+@pytest.mark.parametrize("tag", [
+    "<div hidden>", "<div HIDDEN>", '<div hidden="">', "<div aria-hidden=true>", '<div aria-hidden="true">',
+    '<div class="sidebar">', "<div id='comments-list'>", "<div role=navigation>"])
+def test_boilerplate_beside_the_article_is_dropped(tag):
+    text = LONG.strip()
+    posts = f'<div class="blog has-sidebar">{2 * f"<article class='post has-comments'><p>{text}</p></article>"}</div>'
+    assert html_cut.extract(f"<body>{posts}{tag}<p>Of no use. {text}</p></div>") == f"{text}\n\n{text}"
+    assert html_cut.extract(f"<body><article><p>{text}</p></article>{tag}<p>Of no use. {text}</p></div>") == text
+
+
 def test_min_cut_equals_enumeration():
     rng = random.Random(5)
     for _ in range(60):
