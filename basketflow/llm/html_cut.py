@@ -66,10 +66,13 @@ WEIGHTS = {"article": 3.0, "main": 2.5, "p": 0.8, "heading": 0.4, "li": -0.3, "n
 ADJACENT = 0.8             # smoothness between neighbours under one parent
 SCALE = 1000               # capacities are integers
 
+# A quote opens a value only directly after "=" and only if it is closed; any other one is an ordinary character.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_NAME = r"[^\s/>][^\s/>=]*+"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<",
+                    rf"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)(?:>|\Z)|[^<]+|<",
                     re.S)
-_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_ATTR = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE}))?")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 

@@ -207,6 +207,19 @@ def test_boilerplate_beside_the_article_is_dropped(tag):
     assert html_cut.extract(f"<body><article><p>{text}</p></article>{tag}<p>Of no use. {text}</p></div>") == text
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>one</p><img alt="5" tall"><p>two</p><p>three</p></article>', ["one", "two", "three"]),
+    ("<a href=/x'><p>two</p><p>it's three</p>", ["two", "it's three"]),
+    ("<p><img alt=it's>one<p>it's two", ["one", "it's two"]),
+    ('<p class="x>one</p><p>two</p>', ["one", "two"]), ("<p class='x y=z>one", ["one"]),
+    ('<p title = "a > b">one</p>', ["one"]), ("<p title='a > b' id=c>one</p><p>two", ["one", "two"]),
+    ('<p title="a>b"id="c>d"/>one', ["one"]), ('<p title=>one</p><p ="x>two', ["one", "two"]),
+    ('<p x"y=1 z>one</p "><p>two', ["one", "two"]), ('<p title="a', []), ("<p =", []),
+])
+def test_stray_quotes_lose_no_text(page, want):
+    assert [b.text for b in html_cut.blocks(page)] == want
+
+
 def test_min_cut_equals_enumeration():
     rng = random.Random(5)
     for _ in range(60):
