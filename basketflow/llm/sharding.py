@@ -3,7 +3,8 @@
 Documents with equal texts form an atomic group.  Groups stand in the order
 of their texts' MD5, so neighbours have nothing in common and the order is
 the same in every run.  The shards are the cuts of that sequence into at most
-``shards`` contiguous runs whose largest size is smallest:
+``shards`` contiguous runs whose largest size is smallest, and among those the
+most even ones: a hot group sets the capacity, the others need not fill it.
 
 * running sums of the group sizes, sliced by the leading bits of the digest
   (uniform by construction; a slice is ordered on its own and offset by the
@@ -13,6 +14,10 @@ the same in every run.  The shards are the cuts of that sequence into at most
   group that ends within the capacity -- one aggregate over the running sums
   per shard, for all capacities together -- and the round leaves 1/PROBES of
   the interval;
+* within that capacity the cuts with the smallest sum of squared sizes, by
+  dynamic programming on the driver over the group ends around ``POINTS``
+  evenly spaced places (a large group has both its ends among them) and the
+  greedy cuts;
 * documents find their shard and slot by a join on the group.  A group is
   dealt into ``PARTS`` parts by a hash of the id, so the copies of one text
   never meet in one task.
@@ -35,6 +40,7 @@ from basketflow.llm.common import stage
 SLICES = 4096              # slices of the digest order
 PARTS = 1024               # parts of a group
 PROBES = 512               # capacities tested per round
+POINTS = 1024              # places (two a shard at least) around which a cut may lie
 
 
 def _last_within(ends: DataFrame, bounds: np.ndarray) -> np.ndarray:
@@ -81,6 +87,44 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int) -> tupl
         low, high = int(caps[fits - 1]) + 1, int(caps[fits])
 
 
+def even_cuts(points: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Cuts of ``[0, points[-1]]`` at ``points`` into ``shards`` runs of at most ``capacity``, the sum of whose squared
+    sizes is smallest; empty runs (if points are too few) come last."""
+    at = np.concatenate(([0], np.asarray(points, np.int64)))
+    x = at / max(1, at[-1])
+    lowest = np.searchsorted(at, at - capacity)         # first point from which a run to this one fits
+    cost = np.full(len(at), np.inf)
+    cost[0] = 0.0
+    back = []
+    for _ in range(shards):
+        came, best = np.zeros(len(at), np.int64), np.full(len(at), np.inf)
+        for i, j in enumerate(lowest):
+            c = cost[j:i + 1] + (x[i] - x[j:i + 1]) ** 2
+            k = len(c) - 1 - int(np.argmin(c[::-1]))    # the last of equals: empty runs at the end
+            came[i], best[i] = j + k, c[k]
+        back.append(came)
+        cost = best
+    assert np.isfinite(cost[-1])
+    out, i = [], len(at) - 1
+    for came in reversed(back):
+        out.append(int(at[i]))
+        i = came[i]
+    return out[::-1]
+
+
+def balanced_cuts(ends: DataFrame, total: int, largest: int, shards: int) -> tuple[int, list[int]]:
+    """(smallest feasible capacity, the most even cuts within it)."""
+    capacity, greedy = minimax_cuts(ends, total, largest, shards)
+    if total == 0:
+        return capacity, greedy
+    places = np.unique(np.linspace(0, total, max(POINTS, 2 * shards) + 1).round().astype(np.int64))[:-1]
+    below = _last_within(ends, places)
+    name = ends.columns[0]
+    above = total - _last_within(ends.select((F.lit(total) - F.col(name)).alias(name)), total - places - 1)
+    points = np.unique(np.concatenate((below, above, np.array(greedy, np.int64))))
+    return capacity, even_cuts(points[points > 0], capacity, shards)
+
+
 def shard(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, size, text_crc32, shard, slot`` of every row."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -103,7 +147,7 @@ def shard(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "t
     sums = stage(sums, "shard-sums")
     groups = stage(sums.groupBy("g").agg(F.max("end_bytes").alias("end_bytes")), "shard-ends")
     size = parts.groupBy("g").agg(F.sum("bytes").alias("bytes")).agg(F.sum("bytes"), F.max("bytes")).first()
-    _, cuts = minimax_cuts(groups.select("end_bytes"), size[0] or 0, size[1] or 0, shards)
+    _, cuts = balanced_cuts(groups.select("end_bytes"), size[0] or 0, size[1] or 0, shards)
     number = F.lit(0)
     for c in cuts[:-1]:                                 # shards - 1 comparisons
         number = number + (F.col("end_bytes") > c).cast("int")

@@ -1,6 +1,7 @@
 """Operators as Spark jobs: edge rows, brute force, skew and the registered queries."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -147,6 +148,34 @@ def test_shards_are_minimax(docs, empty, rows):
     assert sharding.shard(empty, 4).count() == 0
 
 
+def test_hot_group_leaves_no_shard_empty(spark):
+    texts = [f"text {i:04d}" for i in range(400)] + ["hot text!"] * 200        # a third of all bytes
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    size = defaultdict(int)
+    for r in sharding.shard(df, 8).collect():
+        size[r["shard"]] += r["size"]
+    assert set(size) == set(range(8)) and max(size.values()) == 200 * 10
+    rest = sorted(size.values())[:-1]                                          # about 4000 / 7 each
+    assert min(rest) > 400 and max(rest) < 750
+
+
+def test_cuts_are_even(spark):
+    sizes = [1] * 40 + [50] + [1] * 60
+    ends = np.cumsum(sizes)
+    cap, cuts = sharding.balanced_cuts(spark.createDataFrame([(int(e),) for e in ends], "e long"), 150, 50, 8)
+    assert cap == 50 and sorted(np.diff([0, *cuts])) == [13, 13, 14, 15, 15, 15, 15, 50]
+    assert sharding.even_cuts(np.array([3, 5]), 3, 4) == [3, 5, 5, 5]
+    rng = random.Random(3)
+    for _ in range(60):
+        ends = np.cumsum([rng.choice((1, 2, 3, 20)) for _ in range(rng.randint(1, 8))])
+        k = rng.randint(1, 4)
+        runs = [np.diff([0, *c, ends[-1]]) for c in itertools.combinations_with_replacement([0, *ends], k - 1)]
+        cap = min(max(r) for r in runs)
+        got = np.diff([0, *sharding.even_cuts(ends, int(cap), k)])
+        assert len(got) == k and max(got) == cap
+        assert sum(got ** 2) == min(sum(r ** 2) for r in runs if max(r) == cap)
+
+
 # --- 4 mixing --------------------------------------------------------------------------
 def test_mix_meets_targets_and_repeats(docs, empty, rows):
     c = mixing.copies(clashing(docs, "target")).collect()
