@@ -266,6 +266,44 @@ def increasing_checked(v):
     return licenses.increasing(v)
 
 
+@pytest.mark.parametrize("line,want", [
+    ("Released under the BSD License.", "BSD-line"), ("Released under the Artistic License.", None),
+    ("Released under the MIT Press License.", None), ("Released under the MIT Licence.", "MIT-line"),
+    ("Licensed under CC BY-ND 4.0", "CC-BY-ND-4.0-line"), ("Licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0-line"),
+    ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0-line"), ("Licensed under CC BY 4.0", "CC-BY-4.0-line"),
+    ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0-line"), ("Licensed under CC BY-SA 3.0", None),
+    ("This work is licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0-line"),
+    ("This work is licensed under the GNU Affero General Public License, version 3", "AGPL-3.0-line"),
+    ("This work is licensed under the GNU Free General Public License, version 3", None),
+    ("This work is licensed under the GNU General Public License, version 1", None),
+    ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0-line"),
+    ("This work is licensed under the GNU General Public License v3", "GPL-3.0-line"),
+    ("Licensed under the Apache License, Version 2.0", "Apache-2.0-line"),
+    ("Licensed under the Apache License 2.0", "Apache-2.0-line"),
+    ("Licensed under the Academic License, Version 2.0", None), ("Licensed under the Apache License, Version 1.1", None),
+])
+def test_license_lines_of_other_licenses(line, want):
+    for text in (line, f"Some words before it. {line} And some words after it."):
+        assert [g[0] for g in licenses.scan(text, licenses.load_templates())] == ([want] if want else [])
+
+
+def test_whole_licenses_are_told_apart():
+    templates = licenses.load_templates()
+    seen = set()
+    for t in templates:
+        if t.name not in seen:
+            seen.add(t.name)
+            text = " ".join(["Foo bar baz."] * 40 + t.words + ["Foo bar baz."] * 40)
+            assert [g[:2] for g in licenses.scan(text, templates)] == [(t.name, 1.0)]
+    assert {"ISC-text", "BSD-2-Clause-text", "LGPL", "AGPL", "GPL-3.0-text", "Unlicense-text"} <= seen
+
+
+def test_only_matches_inside_longer_ones_are_dropped():
+    own = licenses.load_templates({"left": "a b c d e f g h i j k", "right": "j k l m n o p q r", "inner": "c d e f g"})
+    got = licenses.scan("a b c d e f g h i j k l m n o p q r", own)
+    assert [(g[0], *g[3:]) for g in got] == [("left", 0, 10), ("right", 9, 17)]
+
+
 def test_license_scan_finds_edited_and_repeated_texts():
     t = licenses.load_templates()
     mit = licenses.TEMPLATES["MIT"]
