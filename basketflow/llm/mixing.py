@@ -24,7 +24,7 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import stage
@@ -146,6 +146,9 @@ def route(size: list[int], member: list[set[int]], quota: list[int], repeats: in
         patterns.setdefault(find(min(m)), []).append(p)
     out = [0] * len(size)
     for ps in patterns.values():
+        if len(ps) == 1 and len(member[ps[0]]) == 1:            # an unconnected source needs no search
+            out[ps[0]] = min(repeats * size[ps[0]], quota[min(member[ps[0]])])
+            continue
         number = {s: i for i, s in enumerate(sorted(set().union(*(member[p] for p in ps))))}
         flow = min_cost_flow([size[p] for p in ps], [{number[s] for s in member[p]} for p in ps],
                              [quota[s] for s in number], repeats)
@@ -159,7 +162,8 @@ def _cuts(rows: DataFrame, want: dict[str, int], bits: int = 64) -> dict[str, tu
 
     ``rows``: ``pattern, h`` (unsigned order of 64 bits), ``size``; ``want``:
     size wanted per pattern.  Each step looks at the next ``DIGIT_BITS`` bits
-    of the hashes inside the current interval: at most 256 sums per pattern.
+    of the hashes inside the current interval: at most 256 sums per pattern,
+    of which the executors return the one where the size wanted is reached.
     """
     done: dict[str, tuple[int, int]] = {}
     spark = rows.sparkSession
@@ -168,23 +172,27 @@ def _cuts(rows: DataFrame, want: dict[str, int], bits: int = 64) -> dict[str, tu
     while state and shift > 0:
         shift -= DIGIT_BITS
         # one row per pattern: as small as the pattern table itself
-        at = spark.createDataFrame([(p, pre) for p, (pre, _) in state.items()], "pattern string, pre long")
+        at = spark.createDataFrame([(p, pre, miss) for p, (pre, miss) in state.items()],
+                                   "pattern string, pre long, miss long")
         digit = F.shiftrightunsigned("h", shift).bitwiseAND((1 << DIGIT_BITS) - 1)
         inside = rows.join(F.broadcast(at), "pattern")
         if shift + DIGIT_BITS < bits:
             inside = inside.filter(F.shiftrightunsigned("h", shift + DIGIT_BITS) == F.col("pre"))
-        sums: dict[str, list[tuple[int, int, int]]] = {}
-        for r in inside.groupBy("pattern", digit.alias("d")).agg(
-                F.sum("size").alias("s"), F.count(F.lit(1)).alias("n")).collect():
-            sums.setdefault(r["pattern"], []).append((r["d"], r["s"], r["n"]))
+        upto = F.sum("s").over(Window.partitionBy("pattern").orderBy("d"))
+        sums = inside.groupBy("pattern", "miss", digit.alias("d")).agg(
+            F.sum("size").alias("s"), F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+        reached = F.min(F.when(F.col("upto") > F.col("miss"), F.struct(
+            "d", "n", (F.col("upto") - F.col("s")).alias("before"))))
+        got = {r["pattern"]: r for r in sums.groupBy("pattern").agg(
+            reached.alias("cut"), F.max("upto").alias("all")).collect()}       # one row per pattern
         nxt = {}
         for p, (pre, miss) in state.items():
             cut, alone = 1 << DIGIT_BITS, False
-            for d, s, n in sorted(sums.get(p, [])):
-                if s > miss:
-                    cut, alone = d, n == 1
-                    break
-                miss -= s
+            if p in got and got[p]["cut"] is not None:
+                cut, alone = got[p]["cut"]["d"], got[p]["cut"]["n"] == 1
+                miss -= got[p]["cut"]["before"]
+            elif p in got:
+                miss -= got[p]["all"]
             if cut == 1 << DIGIT_BITS:                          # the whole interval fits
                 done[p] = ((pre + 1) << shift + DIGIT_BITS, miss)
             elif miss == 0 or shift == 0 or alone:

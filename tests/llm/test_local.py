@@ -158,6 +158,9 @@ def test_route_solves_connected_sources_together():
         cost = lambda f: sum(k * (k + 1) // 2 * max(0, min(x - k * s, s)) for x, s in zip(f, size, strict=True)
                              for k in range(3))
         assert sum(a) == sum(b) and cost(a) == cost(b)
+    many = mixing.route([7] * 200_000, [{i} for i in range(200_000)], [i % 30 for i in range(200_000)])
+    assert many == [min(21, i % 30) for i in range(200_000)]
+    assert many[:30] == [mixing.min_cost_flow([7], [{0}], [q])[0] for q in range(30)]
     many = mixing.route([7] * 3000, [{i} for i in range(3000)], [10] * 3000)
     assert many == [10] * 3000
 

@@ -205,6 +205,21 @@ def test_mix_overlapping_sources(spark):
 
 
 # --- 5 pages ---------------------------------------------------------------------------
+def test_cuts_return_one_row_per_pattern(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(f"p{i % 40}", rng.getrandbits(64) - (1 << 63), rng.randint(0, 9)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "pattern string, h long, size long")
+    want = {f"p{i}": 20 * i for i in range(40)} | {"p39": 10 ** 6, "none": 5}
+    lengths, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (got := collect(self), lengths.append(len(got)))[0])
+    cuts = mixing._cuts(df, want)
+    assert max(lengths) <= 40 and set(cuts) == set(want)
+    for p, (bound, miss) in cuts.items():
+        mine = sorted((h % (1 << 64), s) for q, h, s in rows if q == p)
+        assert sum(s for h, s in mine if h < bound) == want[p] - miss
+        assert all(s > miss for h, s in [x for x in mine if x[0] >= bound and x[1]][:1])
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>A b</p></article><footer>f</footer>", "old"), (2, None, None, "x"),
                                 (None, "u", "", None)], "page_id long, url string, html string, text string")
