@@ -64,8 +64,10 @@ def repeat_words(ws: Column) -> Column:
 
     Each window becomes one long: the upper bits of its hash, the lower bits
     its position (as many bits as the document's length needs).  After
-    sorting, equal windows are neighbours; the words covered follow from the
-    gaps between the repeated windows' positions.
+    sorting, equal windows are neighbours.  Windows that share the hash bits
+    with a neighbour are sorted again by their three words, so that only equal
+    words count, however few hash bits a long text leaves; the words covered
+    follow from the gaps between the repeated windows' positions.
     """
     def windows(w: Column, mask: Column) -> Column:
         return F.sort_array(F.transform(
@@ -75,11 +77,21 @@ def repeat_words(ws: Column) -> Column:
     def same(x: Column, y: Column, mask: Column) -> Column:
         return x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(mask)) == 0
 
-    def repeated(s: Column, mask: Column) -> Column:
-        return F.sort_array(F.transform(
+    def candidates(s: Column, w: Column, mask: Column) -> Column:
+        near = F.transform(
             F.filter(s, lambda x, i: ((i > 0) & same(x, s[i - 1], mask))
                      | ((i < F.size(s) - 1) & same(x, s[i + 1], mask))),
-            lambda x: x.bitwiseAND(mask)))
+            lambda x: x.bitwiseAND(mask).cast("int"))
+        return F.sort_array(F.transform(near, lambda p: F.struct(
+            w[p].alias("a"), w[p + 1].alias("b"), w[p + 2].alias("c"), p.alias("at"))))
+
+    def equal(x: Column, y: Column) -> Column:
+        return (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+
+    def repeated(c: Column) -> Column:
+        return F.sort_array(F.transform(
+            F.filter(c, lambda x, i: ((i > 0) & equal(x, c[i - 1])) | ((i < F.size(c) - 1) & equal(x, c[i + 1]))),
+            lambda x: x["at"].cast("long")))
 
     def covered(at: Column) -> Column:
         gaps = F.transform(at, lambda x, i: F.when(i == 0, F.lit(3).cast("long"))
@@ -89,7 +101,7 @@ def repeat_words(ws: Column) -> Column:
     def count(w: Column) -> Column:
         mask = F.pow(F.lit(2.0), F.ceil(F.log2(F.size(w).cast("double")))).cast("long") - 1
         return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(
-            let(mask, lambda m: let(windows(w, m), lambda s: let(repeated(s, m), covered))))
+            let(mask, lambda m: let(windows(w, m), lambda s: let(candidates(s, w, m), lambda c: let(repeated(c), covered)))))
 
     return let(ws, count)
 

@@ -256,6 +256,18 @@ def test_quality_measures(docs, empty, rows, spark):
 
 
 # --- 7 urls ----------------------------------------------------------------------------
+def test_repeats_are_exact_whatever_the_hash(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(n)) for n in (1, 3, 7, 30, 200, 500)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(7).cast("long"))       # all windows collide
+    got = {r["text"]: r["n"] for r in df.select("text", quality.repeat_words(quality.words(F.col("text"))).alias("n")).collect()}
+    for t in texts:
+        w = t.split(" ")
+        grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        assert got[t] == len({i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)})
+
+
 def test_urls(spark):
     df = spark.createDataFrame([(1, "http://a.org/x", "old"), (1, None, "old"), (None, "http://b.com/de/", "old")],
                                "page_id long, url string, rule string")
