@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, toxicity, near-duplicates, mixing, encoding.
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, mixing, encoding and decoding.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; its
 result is written as Parquet and read back as the next stage's ``docs``.  All
@@ -8,6 +8,7 @@ stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, mixing, quality, simhash, toxicity
 from basketflow.llm.common import stage, table
@@ -36,9 +37,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every mixed document."""
-    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, outputs=("n_tokens", "ids"),
-                      keep_text=False)
+    """Token ids and offsets of every mixed document, and the digest of the bytes decoded from its ids."""
+    e = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS,
+                   outputs=("n_tokens", "ids", "offsets", "decoded"), keep_text=False)
+    return e.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

@@ -422,3 +422,5 @@ def test_pipeline_stages(spark, docs, sf, tmp_path):
                 texts[r["doc_id"]].add(r["text"])
             for r in after:
                 assert enc.decode(np.array(r["ids"], np.int64)).tobytes().decode() in texts[r["doc_id"]]
+                assert r["decoded_sha256"] in {hashlib.sha256(t.encode()).hexdigest() for t in texts[r["doc_id"]]}
+                assert len(r["offsets"]) in (r["n_tokens"], r["n_tokens"] + 1)
