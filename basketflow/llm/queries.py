@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe, html_cut, licenses, mixing, pivots, quality, sharding, simhash, toxicity, url_rules
-from basketflow.llm.common import table
+from basketflow.llm import bpe, html_cut, licenses, mixing, pivots, prefix_trie, quality, sharding, simhash, \
+    spelling, token_files, toxicity, url_rules
+from basketflow.llm.common import stage, table
+from basketflow.session import shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +146,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op8_licenses, op9_simhash, op10_toxicity)}
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written as files of directly addressable codes and read back from them."""
+    path = f"{shared_dir(spark).rstrip('/')}/llm-token-files-{uuid.uuid4().hex[:12]}"
+    token_files.write(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
+    back = token_files.documents(spark, path)
+    digests = stage(back.withColumn("ids_crc32", F.crc32("ids_le")).drop("ids_le"), "token-digests")
+    return token_files.with_start(digests).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt on the openings of every hundredth."""
+    turns = prefix_trie.number_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.summary(*prefix_trie.share_openings(turns))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of all words of the corpus (with its planted deletions)."""
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), drop_every=97))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op8_licenses, op9_simhash, op10_toxicity,
+                                  op11_token_ids, op12_prefix_trie, op13_spelling)}
 
 SQL: dict[str, str] = {"op2_embeddings": SQL_OP2, "op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
 
