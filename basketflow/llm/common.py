@@ -44,6 +44,11 @@ def with_fields(schema: T.StructType, new: list[T.StructField], drop: tuple[str,
     return T.StructType([f for f in schema.fields if f.name not in gone] + list(new))
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct: no name beside it can clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -10,8 +10,8 @@
    full number of rounds, and for the part of a round that remains documents
    in seeded hash order.  The cut in that order is found by radix descent over
    hash bits (aggregates of 256 buckets per pattern and step, no sort of a
-   pattern), then remaining documents whose sizes fit the rest best close the
-   gap.
+   pattern), then the longest document that fits the rest and the smallest ones
+   close the gap.
 
 Rules: a null source is a source of its own, after all others; a null text has
 size 0 and is never taken; a document of no source (empty or null members) is
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import stage
+from basketflow.llm.common import packed, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 REPEATS = 3                # a document is taken this often at most
@@ -124,7 +124,10 @@ def min_cost_flow(size: list[int], member: list[set[int]], quota: list[int], rep
             e.room -= push
             graph[e.to][e.back].room += push
             v = u
-    return [repeats * size[p] - sum(e.room for e in graph[source] if e.to == p) for p in range(n_p)]
+    left = [0] * n_p
+    for e in graph[source]:
+        left[e.to] += e.room
+    return [repeats * n - x for n, x in zip(size, left, strict=True)]
 
 
 def route(size: list[int], member: list[set[int]], quota: list[int], repeats: int = REPEATS) -> list[int]:
@@ -203,26 +206,20 @@ def _cuts(rows: DataFrame, want: dict[str, int], bits: int = 64) -> dict[str, tu
     return done
 
 
-def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members: Column | None = None,
+def _taken(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members: Column | None = None,
            quotas: dict[str | None, float] | None = None, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
-    """``df`` with ``size``, ``pattern``, ``source_size``, ``target`` and ``copies``.
-
-    ``members``: array of the sources that a document belongs to (default: its
-    ``source``).  ``quotas``: target per source (default :func:`targets`).
-    ``source_size`` and ``target`` are those of a document's first source.
-    """
-    new = ("size", "pattern", "source_size", "target", "copies")
+    """``row`` (the columns of ``df``), ``size``, ``pattern``, ``source_size``, ``target`` and ``copies``."""
     members = F.array(F.col("source").cast("string")) if members is None else members
     members = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
     # a pattern's name: its sources with their lengths, so that names never run together; null apart
     name = F.array_join(F.transform(members, lambda s: F.when(
         s.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(s), F.lit(":"), s))), "")
-    d = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in new],
+    d = df.select(packed(df).alias("row"),
                   word_count(F.col(f"`{text_col}`").cast("string")).alias("size"), name.alias("pattern"),
-                  members.alias("__members"),
+                  members.alias("members"),
                   F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-                             ).alias("__h"))
-    thin = stage(d.select("pattern", F.col("__h").alias("h"), "size", F.col("__members").alias("members")), "mix")
+                             ).alias("h"))
+    thin = stage(d.select("pattern", "h", "size", "members"), "mix")
     pats = thin.groupBy("pattern").agg(F.sum("size").alias("size"), F.first("members").alias("members")) \
         .orderBy("pattern").limit(MAX_PATTERNS + 1).collect()    # one row per membership pattern
     if len(pats) > MAX_PATTERNS:
@@ -235,26 +232,41 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", member
     goal = targets(sizes, repeats) if quotas is None else quotas
     number = {s: i for i, s in enumerate(goal)}
     flow = route([r["size"] for r in pats], [{number[s] for s in r["members"]} for r in pats],
-                         [round(goal[s]) for s in goal], repeats)
+                 [round(goal[s]) for s in goal], repeats)
     full = {r["pattern"]: (f // r["size"] if r["size"] else 0) for r, f in zip(pats, flow, strict=True)}
     part = {r["pattern"]: (f % r["size"] if r["size"] else 0) for r, f in zip(pats, flow, strict=True)}
     open_ = {p: w for p, w in part.items() if w}
     cut = _cuts(thin.select("pattern", "h", "size"), open_) if open_ else {}
-    close = _closing(thin, cut, open_)
+    close = _closing(thin, cut)
     plan = [(r["pattern"], full[r["pattern"]], _signed(cut[r["pattern"]][0]) if r["pattern"] in cut else None,
-             cut[r["pattern"]][0] >= 1 << 64 if r["pattern"] in cut else False, close.get(r["pattern"]),
+             cut[r["pattern"]][0] >= 1 << 64 if r["pattern"] in cut else False, *close.get(r["pattern"], _NO_CLOSING),
              sizes[r["members"][0]], float(goal[r["members"][0]])) for r in pats]
     table = df.sparkSession.createDataFrame(
-        plan, "pattern string, __full long, __cut long, __every boolean, __closing array<long>, source_size long, "
-              "target double")
-    unsigned = F.col("__h").bitwiseXOR(F.lit(-(1 << 63)))
-    below = F.col("__every") | (unsigned < F.col("__cut").bitwiseXOR(F.lit(-(1 << 63))))
-    extra = F.when(F.col("__cut").isNull(), F.lit(0)).when(below, F.lit(1)) \
-        .when(F.array_contains("__closing", F.col("__h")), F.lit(1)).otherwise(F.lit(0))
+        plan, "pattern string, full long, cut long, every boolean, one long, two long, small long, bound long, all_small boolean, "
+              "source_size long, target double")
+    below = F.col("every") | _under("h", "cut")
+    yes = [F.coalesce(c, F.lit(False)) for c in (
+        below, F.col("h") == F.col("one"), F.col("h") == F.col("two"), F.col("size") < F.col("small"),
+        (F.col("size") == F.col("small")) & (F.col("all_small") | _under("h", "bound")))]
+    extra = F.when(F.col("cut").isNull(), F.lit(0)).when(yes[0] | yes[1] | yes[2] | yes[3] | yes[4], F.lit(1)) \
+        .otherwise(F.lit(0))
     return d.join(F.broadcast(table), "pattern", "left") \
-        .withColumn("copies", F.when((F.col("size") == 0) | F.col("__full").isNull(), F.lit(0))
-                    .otherwise(F.col("__full") + extra).cast("long")) \
-        .select(*[F.col(f"`{c}`") for c in df.columns if c not in new], *new)
+        .withColumn("copies", F.when((F.col("size") == 0) | F.col("full").isNull(), F.lit(0))
+                    .otherwise(F.col("full") + extra).cast("long")) \
+        .select("row", "size", "pattern", "source_size", "target", "copies")
+
+
+def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members: Column | None = None,
+           quotas: dict[str | None, float] | None = None, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
+    """``df`` with ``size``, ``pattern``, ``source_size``, ``target`` and ``copies``.
+
+    ``members``: array of the sources that a document belongs to (default: its
+    ``source``).  ``quotas``: target per source (default :func:`targets`).
+    ``source_size`` and ``target`` are those of a document's first source.
+    """
+    new = ("size", "pattern", "source_size", "target", "copies")
+    taken = _taken(df, id_col, text_col, members, quotas, repeats, seed)
+    return taken.select(*[F.col(f"row.`{c}`") for c in df.columns if c not in new], *new)
 
 
 def _signed(x: int) -> int:
@@ -262,40 +274,73 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _closing(thin: DataFrame, cut: dict[str, tuple[int, int]], want: dict[str, int]) -> dict[str, list[int]]:
-    """Per pattern the hashes of documents beyond the cut that bring the sum nearest to the wanted size.
+def _under(h: str, bound: str) -> Column:
+    """``h`` is below ``bound`` as unsigned numbers of 64 bits."""
+    flip = F.lit(-(1 << 63))
+    return F.col(h).bitwiseXOR(flip) < F.col(bound).bitwiseXOR(flip)
+
+
+#: Two documents, a size below which all are taken, a hash bound for those of that size, and whether all of them are.
+_NO_CLOSING = (None, None, None, None, False)
+
 
-    Each round adds the one document that leaves the smallest gap, until the
-    gap is within a thousandth of the wanted size or no document narrows it.
+def _closing(thin: DataFrame, cut: dict[str, tuple[int, int]]) -> dict[str, tuple]:
+    """Per pattern the documents beyond the cut that bring the sum near to the wanted size (see ``_NO_CLOSING``).
+
+    First the longest document that fits; what is still missing is filled with the smallest documents,
+    whole sizes by running sums and of the last size as many as come nearest, in hash order; if all fit, the
+    smallest of those that do not is added where that narrows the gap.  The number of jobs is the
+    same for any number of documents.
     """
-    flip = F.lit(-(1 << 63))
-    chosen: dict[str, list[int]] = {}
+    spark = thin.sparkSession
     todo = {p: (c, m) for p, (c, m) in cut.items() if m and c < 1 << 64}
-    while todo:
-        at = thin.sparkSession.createDataFrame(
-            [(p, _signed(c), m, chosen.get(p, [])) for p, (c, m) in todo.items()],
-            "pattern string, cut long, miss long, used array<long>")
+    if not todo:
+        return {}
+    at = spark.createDataFrame([(p, _signed(c), m) for p, (c, m) in todo.items()], "pattern string, cut long, miss long")
+    rest = thin.join(F.broadcast(at), "pattern").filter(~_under("h", "cut") & (F.col("size") > 0))
+    units = rest.groupBy("pattern", "h", "miss").agg(F.sum("size").alias("size"))      # equal rows go together
+    fit = F.max(F.when(F.col("size") <= F.col("miss"), F.struct("size", "h"))).alias("fit")
+    over = F.min(F.when(F.col("size") > F.col("miss"), F.struct("size", "h"))).alias("over")
+    found = {r["pattern"]: r for r in units.groupBy("pattern").agg(fit, over).collect()}
+    one = {p: found[p]["fit"] for p in todo if p in found and found[p]["fit"] is not None}
+    left = {p: m - (one[p]["size"] if p in one else 0) for p, (_, m) in todo.items()}
+    small: dict[str, tuple] = {}                                 # size, bound, all
+    still = [(p, _signed(todo[p][0]), left[p], one[p]["h"]) for p in one if left[p] > 0]
+    if still:
+        at = spark.createDataFrame(still, "pattern string, cut long, miss long, one long")
         rest = thin.join(F.broadcast(at), "pattern") \
-            .filter((F.col("h").bitwiseXOR(flip) >= F.col("cut").bitwiseXOR(flip))
-                    & ~F.array_contains("used", F.col("h"))) \
-            .groupBy("pattern", "h", "miss").agg(F.sum("size").alias("size"))  # equal rows go together
-        best = rest.groupBy("pattern").agg(
-            F.min(F.struct(F.abs(F.col("size") - F.col("miss")).alias("gap"), "h", "size")).alias("b")).collect()
-        nxt = {}
-        for r in best:
-            p, b = r["pattern"], r["b"]
-            c, m = todo[p]
-            if b["gap"] < abs(m):
-                chosen.setdefault(p, []).append(b["h"])
-                if m > b["size"] and 1000 * (m - b["size"]) > want[p]:
-                    nxt[p] = (c, m - b["size"])
-        todo = nxt
-    return chosen
+            .filter(~_under("h", "cut") & F.col("size").between(1, F.col("miss")) & (F.col("h") != F.col("one")))
+        upto = F.sum(F.col("n") * F.col("size")).over(Window.partitionBy("pattern").orderBy("size"))
+        sums = rest.groupBy("pattern", "miss", "size").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+        last = F.min(F.when(F.col("upto") > F.col("miss"),
+                            F.struct("size", (F.col("upto") - F.col("n") * F.col("size")).alias("before"))))
+        wanted: dict[str, int] = {}
+        for r in sums.groupBy("pattern", "miss").agg(last.alias("last"), F.max("size").alias("top"),
+                                                     F.max("upto").alias("all")).collect():
+            p = r["pattern"]
+            if r["last"] is None:                                # all of them fit
+                small[p] = (r["top"] + 1, None, False)
+                left[p] -= r["all"]
+            else:
+                size, missing = r["last"]["size"], left[p] - r["last"]["before"]
+                small[p] = (size, 0, False)
+                wanted[p] = missing // size + (2 * (missing % size) > size)
+                left[p] = 0
+        if wanted := {p: n for p, n in wanted.items() if n}:
+            sizes = spark.createDataFrame([(p, small[p][0]) for p in wanted], "pattern string, small long")
+            rows = rest.join(F.broadcast(sizes), "pattern").filter("size = small") \
+                .select("pattern", "h", F.lit(1).cast("long").alias("size"))
+            for p, (bound, _) in _cuts(rows, wanted).items():
+                small[p] = (small[p][0], _signed(bound), bound >= 1 << 64)
+    out = {}
+    for p in todo:
+        b = found[p]["over"] if p in found else None
+        two = b["h"] if b is not None and left[p] > 0 and b["size"] < 2 * left[p] else None
+        out[p] = (one[p]["h"] if p in one else None, two, *small.get(p, _NO_CLOSING[2:]))
+    return out
 
 
 def mix(df: DataFrame, **options) -> DataFrame:
-    """The mixed rows: each row as often as it is taken, with the columns of ``df``."""
-    c = copies(df, **options)
-    rows = df.columns
-    return c.filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))) \
-        .select(*[F.col(f"`{x}`") for x in rows])
+    """The mixed rows: each row as often as it is taken, with the columns of ``df`` as they are."""
+    return _taken(df, **options).filter("copies > 0") \
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
