@@ -1,8 +1,8 @@
 """Main-text extraction by minimum-cut labelling of a page's blocks.
 
 A tolerant tokenizer turns the page into text blocks (runs of text between
-block tags) with the path of open elements above them.  A log-linear
-classifier over element kinds, attribute words, link density and length gives
+block tags) below their open elements.  A log-linear classifier over element kinds, attribute
+words, place after the article, forms of notices and remarks, link density and length gives
 each block a content cost and a boilerplate cost: these become the capacities
 to the two terminals.  Neighbouring blocks and blocks with a near common
 ancestor are joined by smoothness edges.  The maximum flow separates the
@@ -44,7 +44,9 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES_P = BLOCK - {"body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SIBLING_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                "th": ("td", "th"), "option": ("option",)}
-ARTICLE = frozenset("html body main article h1".split())      # tell where the article is
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ENDING = frozenset("p li dt dd tr td th option".split())      # end by themselves where another begins
+TELLING = frozenset("article main p li nav header footer aside menu dialog".split()) | HEADINGS
 SCOPE = frozenset("table ul ol dl nav article section div body aside footer header main".split())
 
 # Words in class, id and role attributes.
@@ -52,9 +54,11 @@ BOILERPLATE_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert "
     "advertisement banner sponsor sponsored promo promotion cookie cookies consent gdpr notice popup modal newsletter "
     "subscribe signup login share sharing social related recommended comment comments respond reply replies disqus "
-    "pagination pager copyright legal search toolbar skip".split())
+    "pagination pager copyright legal search toolbar skip responses reactions discussion feedback guestbook commenters".split())
 BOILERPLATE_STEMS = ("comment", "sidebar", "cookie", "advert", "newsletter", "footer", "breadcrumb", "navbar", "popup",
                      "subscri", "sponsor", "masthead")          # also inside longer words
+_AD_BOX = re.compile(r"ad(s|v|verts?)?(box|slot|unit|wrap|wrapper|container|content|space|block|zone|area|bar|holder|frame|panel|"
+                     r"place|banner|label|sense|module|section|region)s?")
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
 STATES = frozenset("has have with without no is not show hide open closed".split())   # "has-comments" tells of a layout
 
@@ -62,10 +66,16 @@ STATES = frozenset("has have with without no is not show hide open closed".split
 BIAS = 1.5
 WEIGHTS = {"article": 3.0, "main": 2.5, "p": 0.8, "heading": 0.4, "li": -0.3, "nav": -6.0, "header": -5.0,
            "footer": -6.0, "aside": -6.0, "menu": -6.0, "dialog": -6.0, "content_word": 1.5, "boilerplate_word": -7.0,
-           "links": -4.0, "length": 0.35}
+           "links": -4.0, "length": 0.35, "after": -2.5, "notice": -6.0, "remark": -5.0}
+NOTE = 400                 # a notice is shorter
+# How a copyright notice and a reader's remark begin.
+_NOTICE = re.compile(r"(©|\(c\)\s|copyright\b.{0,40}\b(19|20)\d\d\b|all rights reserved)", re.I)
+_REMARK = re.compile(r"(reply|report|permalink|\d+ (comments?|responses|replies)\b|[\w.\- ]{1,40} (says|said|wrote|replied|commented)( on\b[^.]{0,60}\d{4}[^.]{0,20})?:"
+                     r"|[\w.\- ]{1,40} (on|at) \w+ \d{1,2}, \d{4}( at \d|:|$)|[\w.\- ]{1,40},? \d+ (minutes?|hours?|days?|weeks?|months?|years?) ago\b)", re.I)
 ADJACENT = 0.8             # smoothness between neighbours under one parent
 SCALE = 1000               # capacities are integers
 
+_RAW_END = {n: re.compile(rf"</{n}\s*(?:>|\Z)|</{n}[\s/][^>]*(?:>|\Z)", re.I) for n in RAW}
 # A quote opens a value only directly after "=" and only if it is closed; any other one is an ordinary character.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
 _NAME = r"[^\s/>][^\s/>=]*+"
@@ -79,18 +89,39 @@ _SPACE = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    path: tuple[int, ...]      # numbers of the open elements, outermost first
-    kinds: frozenset           # their element names
-    marks: frozenset           # words of their attributes
+    at: _Element               # innermost element open at its end
     text: str
     linked: int                # characters inside links
+    after: bool = False        # follows the last block of the page's article
 
 
 class _Element:
-    __slots__ = ("name", "number", "marks", "first")
+    """An open element; what holds for all that is above it is carried down, so a block needs no walk up."""
 
-    def __init__(self, name: str, number: int, marks: frozenset, first: frozenset):
-        self.name, self.number, self.marks, self.first = name, number, marks, first
+    __slots__ = ("name", "number", "marks", "first", "parent", "block", "depth", "kinds", "inner", "heading", "held",
+                 "blocks", "bad", "good", "in_main")
+
+    def __init__(self, name: str, number: int, marks: frozenset, first: frozenset, parent: _Element | None):
+        self.name, self.number, self.marks, self.first, self.parent = name, number, marks, first, parent
+        self.block = self if name in BLOCK else parent.block if parent else None    # nearest block element
+        self.depth = (parent.depth if parent else 0) + (name in BLOCK)
+        kinds = parent.kinds if parent else frozenset()
+        # a header inside the article is judged by its heading
+        of_article = name == "header" and not kinds.isdisjoint(("article", "main"))
+        self.inner = self if of_article else parent.inner if parent else None
+        self.kinds = kinds if of_article or name in kinds or name not in TELLING else kinds | {name}
+        self.heading = False
+        self.held = self.blocks = 0                  # characters outside links, and blocks, inside
+        self.bad = self.good = self.in_main = False  # boilerplate or content words on it or above
+
+    def above(self) -> Iterator[_Element]:
+        e: _Element | None = self
+        while e is not None:
+            yield e
+            e = e.parent
+
+
+_OUTSIDE = _Element("", -1, frozenset(), frozenset(), None)      # of text outside all elements
 
 
 def _stemmed(words) -> bool:
@@ -117,68 +148,65 @@ def _marks(attributes: str) -> tuple[frozenset, frozenset]:
                 words = _WORD.findall(one)
                 out.update(words)
                 first.update(words[:1])
-                if _stemmed(words):
+                if _stemmed(words) or any(_AD_BOX.fullmatch(w) for w in words):
                     out.add("sidebar")
     return frozenset(out), frozenset(first)
 
 
-def _around_article(paths: list[tuple[_Element, ...]], texts: list[int]) -> set[int]:
+def _around_article(elements: list[_Element], total: int) -> set[int]:
     """Numbers of the elements whose boilerplate words do not count: html, body, and the article with all around it.
 
-    ``paths``: the open elements of every block; ``texts``: its characters outside links.  The article is the main
-    element and the longest article element that is not itself a comment or the like; on pages with neither, the
+    ``elements``: those that hold a block, in page order; ``total``: all characters outside links.  The article is the
+    main element and the longest article element that is not itself a comment or the like; on pages with neither, the
     longest element named as content, else the one of the first heading.  Without such an element only those that
     hold more than half of the text are taken to contain the article.
     """
-    held: dict[int, int] = {}
-    by: dict[int, _Element] = {}
-    above: dict[int, tuple[_Element, ...]] = {}
-    for path, n in zip(paths, texts, strict=True):
-        for k, e in enumerate(path):
-            held[e.number] = held.get(e.number, 0) + n
-            if e.number not in by:
-                by[e.number], above[e.number] = e, path[:k + 1]
-    half = sum(texts) / 2
+    half = total / 2
 
     def own(e: _Element) -> bool:                    # boilerplate by its own names, "has-comments" aside
         first = e.first - STATES
         return not first & CONTENT_WORDS and (bool(first & BOILERPLATE_WORDS) or _stemmed(first))
 
     def longest(es: list[_Element]) -> list[_Element]:
-        return [max(es, key=lambda e: (held[e.number], -e.number))] if es else []
+        return [max(es, key=lambda e: (e.held, -e.number))] if es else []
 
-    out = {e.number for e in by.values() if e.name in ("html", "body")
+    out = {e.number for e in elements if e.name in ("html", "body")
            or e.name == "article" and not (e.first & BOILERPLATE_WORDS or _stemmed(e.first))}
-    mains = longest([e for e in by.values() if e.name == "main"])
-    articles = [e for e in by.values() if e.name == "article" and (not own(e) or held[e.number] > half)]
-    inside = [e for e in articles if mains and mains[0] in above[e.number]]
-    certain = mains + longest(inside or articles)
+    mains = longest([e for e in elements if e.name == "main"])
+    for e in elements:
+        e.in_main = bool(mains) and (e is mains[0] or e.parent is not None and e.parent.in_main)
+    articles = [e for e in elements if e.name == "article" and (not own(e) or e.held > half)]
+    certain = mains + longest([e for e in articles if e.in_main] or articles)
     for e in certain:
-        out.update(x.number for x in above[e.number])
+        out.update(x.number for x in e.above())
     if not certain:
-        named = [e for e in by.values() if e.first & CONTENT_WORDS and not own(e)] or \
-            [e for e in by.values() if e.name == "h1"]
+        named = [e for e in elements if e.first & CONTENT_WORDS and not own(e)] or [e for e in elements if e.name == "h1"]
         for e in longest(named):
-            out.update(x.number for x in above[e.number] if held[x.number] > half)
+            out.update(x.number for x in e.above() if x.held > half)
     return out
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order, white space collapsed, references decoded."""
+    """Text blocks in page order, white space collapsed, references decoded.
+
+    Linear in the page: an end tag or an implied end looks at the open elements only if counters of
+    open names say that there is something to close.
+    """
     stack: list[_Element] = []
+    opened: dict[str, int] = {}                      # open elements by name
+    inline: list[dict[str, int]] = [{}]              # of each open block element: inline ones opened in it
+    scopes: list[dict[str, int]] = [{}]              # of each open scope: elements in it that may end by themselves
+    elements: list[_Element] = []
     out: list[Block] = []
-    paths: list[tuple[_Element, ...]] = []
     held: list[str] = []
-    linked = silent = links = number = 0
+    linked = silent = links = 0
 
     def flush() -> None:
         nonlocal linked
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
-                out.append(Block(tuple(e.number for e in stack if e.name in BLOCK),
-                                 frozenset(e.name for e in stack), frozenset(), text, linked))
-                paths.append(tuple(e for e in stack if e.marks or e.name in ARTICLE))
+                out.append(Block(stack[-1] if stack else _OUTSIDE, text, linked))
             held.clear()
         linked = 0
 
@@ -188,7 +216,15 @@ def blocks(page: str) -> list[Block]:
             e = stack[-1]
             if e.name in BLOCK:
                 flush()
+                inline.pop()
+            else:
+                inline[-1][e.name] -= 1
             stack.pop()
+            opened[e.name] -= 1
+            if e.name in SCOPE:
+                scopes.pop()
+            elif e.name in ENDING:
+                scopes[-1][e.name] -= 1
             silent -= e.name in SILENT
             links -= e.name == "a"
 
@@ -208,70 +244,115 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    close(k)
-                    break
-                # an inline end tag does not reach beyond the block it stands in
-                if name not in BLOCK and name not in SILENT and stack[k].name in BLOCK:
-                    break
+            # an inline end tag does not reach beyond the block it stands in
+            here = opened if name in BLOCK or name in SILENT else inline[-1]
+            if here.get(name):
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                close(k)
             continue
         if name in BLOCK:
             flush()
         if name in CLOSES_P or name in SIBLING_END:
             ends = SIBLING_END.get(name, ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == "p" and name in CLOSES_P or stack[k].name in ends:
-                    close(k)
-                    if stack and stack[-1].name not in ends:
-                        break
-                elif stack[k].name in SCOPE:
+            ending = (*ends, "p") if name in CLOSES_P else ends
+            while any(scopes[-1].get(x) for x in ending):
+                k = len(stack) - 1
+                while stack[k].name not in ending:
+                    k -= 1
+                close(k)
+                if stack and stack[-1].name not in ends:
                     break
         if name in VOID:
             if name == "br" and not silent:
                 held.append(" ")
             continue
-        number += 1
-        stack.append(_Element(name, number, *_marks(m[3])))
+        e = _Element(name, len(elements), *_marks(m[3]), stack[-1] if stack else None)
+        elements.append(e)
+        stack.append(e)
+        opened[name] = opened.get(name, 0) + 1
+        if name in BLOCK:
+            inline.append({})
+        else:
+            inline[-1][name] = inline[-1].get(name, 0) + 1
+        if name in SCOPE:
+            scopes.append({})
+        elif name in ENDING:
+            scopes[-1][name] = scopes[-1].get(name, 0) + 1
+        if name in HEADINGS and e.inner is not None:
+            e.inner.heading = True
         silent += name in SILENT
         links += name == "a"
         if name in RAW:                              # raw text up to its own end tag
-            stop = re.compile(rf"</{name}\s*(?:>|\Z)|</{name}[\s/][^>]*(?:>|\Z)", re.I).search(page, pos)
+            stop = _RAW_END[name].search(page, pos)
             pos = stop.end() if stop else end
             close(len(stack) - 1)
     close(0)
     flush()
-    bad = any(e.marks & BOILERPLATE_WORDS for path in paths for e in path)
-    spared = _around_article(paths, [max(0, len(b.text) - b.linked) for b in out]) if bad else ()
-    for b, path in zip(out, paths, strict=True):
-        b.marks = frozenset().union(*(e.marks - BOILERPLATE_WORDS if e.number in spared else e.marks for e in path))
+    _carry(elements, out)
     return out
 
 
+def _carry(elements: list[_Element], out: list[Block]) -> None:
+    """Sums up the elements' texts, carries their words down and marks the blocks after the article."""
+    total = 0
+    for b in out:
+        n = max(0, len(b.text) - b.linked)
+        b.at.held += n
+        b.at.blocks += 1
+        total += n
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.held += e.held
+            e.parent.blocks += e.blocks
+    elements = [e for e in elements if e.blocks]
+    spared = _around_article(elements, total) if any(e.marks & BOILERPLATE_WORDS for e in elements) else set()
+    for e in elements:
+        up = e.parent
+        e.bad = up is not None and up.bad or e.number not in spared and not e.marks.isdisjoint(BOILERPLATE_WORDS)
+        e.good = up is not None and up.good or not e.marks.isdisjoint(CONTENT_WORDS)
+    ends = [i for i, b in enumerate(out) if not b.at.kinds.isdisjoint(("article", "main"))]
+    if ends:
+        for b in out[ends[-1] + 1:]:
+            b.after = True
+
+
 def log_odds(b: Block) -> float:
     """Log odds that a block is content."""
+    e = b.at
     z = BIAS
     for kind in ("article", "main", "p", "li", "nav", "header", "footer", "aside", "menu", "dialog"):
-        if kind in b.kinds:
+        if kind in e.kinds:
             z += WEIGHTS[kind]
-    if b.kinds & {"h1", "h2", "h3", "h4", "h5", "h6"}:
+    if e.inner is not None and not e.inner.heading and "header" not in e.kinds:
+        z += WEIGHTS["header"]
+    if not e.kinds.isdisjoint(HEADINGS):
         z += WEIGHTS["heading"]
-    if b.marks & BOILERPLATE_WORDS:
+    if e.bad:
         z += WEIGHTS["boilerplate_word"]
-    elif b.marks & CONTENT_WORDS:
+    elif e.good:
         z += WEIGHTS["content_word"]
+    if b.after:
+        z += WEIGHTS["after"]
+    if e.kinds.isdisjoint(("article", "main")):
+        if len(b.text) < NOTE and _NOTICE.match(b.text):
+            z += WEIGHTS["notice"]
+        if _REMARK.match(b.text):
+            z += WEIGHTS["remark"]
     z += WEIGHTS["links"] * min(1.0, b.linked / len(b.text))
     return z + WEIGHTS["length"] * (math.log1p(len(b.text)) - 4.0)
 
 
 def _smoothness(a: Block, b: Block) -> float:
     """Higher for blocks whose nearest common ancestor is near."""
-    common = 0
-    for x, y in zip(a.path, b.path, strict=False):
-        if x != y:
-            break
-        common += 1
-    away = (len(a.path) - common) + (len(b.path) - common)
+    x, y, away = a.at.block, b.at.block, 0
+    while x is not y:
+        dx, dy = x.depth if x else 0, y.depth if y else 0
+        if dx >= dy:
+            x, away = x.parent.block if x.parent else None, away + 1
+        if dy >= dx:
+            y, away = y.parent.block if y.parent else None, away + 1
     return ADJACENT / (1 + max(0, away - 2))
 
 
@@ -355,7 +436,8 @@ def extract(page: str | None) -> str:
     edges = [(i, i + 1, round(SCALE * _smoothness(bs[i], bs[i + 1]))) for i in range(len(bs) - 1)]
     last: dict[int, int] = {}                        # DOM proximity beyond neighbours: next block of the same parent
     for i, b in enumerate(bs):
-        parent = b.path[-2] if len(b.path) > 1 else -1
+        up = b.at.block.parent.block if b.at.block and b.at.block.parent else None
+        parent = up.number if up else -1
         if parent in last and last[parent] < i - 1:
             edges.append((last[parent], i, round(SCALE * _smoothness(bs[last[parent]], b))))
         last[parent] = i
