@@ -21,9 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import let
+from basketflow.llm.common import let, packed
 
 SAMPLE_ROWS = 1000         # documented bound of the sample that orders the rules
+SAMPLE_BYTES = 1 << 16     # longer texts are not in that sample
 
 # The words' separators and the symbols counted.
 BLANKS = " \t\n\x0b\f\r"
@@ -133,14 +134,18 @@ def plan(df: DataFrame, text: str = "text", todo: list[Rule] | None = None) -> l
     """The rules by rejections per second on a sample (most first).
 
     The sample only decides the order.  Rules that reject nothing there go
-    last, cheapest first.
+    last, cheapest first.  It is taken from the first partitions that fill it, not from all,
+    and texts of more than ``SAMPLE_BYTES`` are not timed.
     """
     todo = todo or rules()
-    sample = df.select(F.col(f"`{text}`").cast("string").alias("text")).limit(SAMPLE_ROWS).persist()
+    t = F.col(f"`{text}`").cast("string")
+    taken = df.select(t.alias("text")).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).take(SAMPLE_ROWS)
+    if not taken:
+        return todo
+    rows = len(taken)
+    sample = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(r["text"]).cast("string") for r in taken])).alias("text")).persist()
     try:
-        rows = sample.count()
-        if not rows:
-            return todo
+        sample.count()
         scored = []
         for r in todo:
             t = time.monotonic()
@@ -163,18 +168,18 @@ def annotate(df: DataFrame, text: str = "text", order: list[Rule] | None = None)
     """
     new = (*MEASURES, "base_failed", "kept")
     t = F.col(f"`{text}`").cast("string")
-    base = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in new], t.alias("__text"), words(t).alias("__words"))
-    x = F.col("__text")
-    out = base.select(
-        *[F.col(f"`{c}`") for c in base.columns if c != "__words"], F.size("__words").cast("long").alias("n_words"),
+    x = F.col("text")
+    out = df.select(packed(df).alias("row"), t.alias("text"), words(t).alias("words")).select(
+        "row", "text", F.size("words").cast("long").alias("n_words"),
         word_chars(x).alias("word_chars"), n_symbols(x).alias("n_symbols"),
-        let(worded_lines(x), dup_lines).alias("n_dup_lines"), repeat_words(F.col("__words")).alias("n_repeat_words"))
+        let(worded_lines(x), dup_lines).alias("n_dup_lines"), repeat_words(F.col("words")).alias("n_repeat_words"))
     few, repeated = base_rejects(F.col("n_words"), F.col("n_repeat_words"))
     rejected = few | repeated
     for r in order or plan(df, text):
         if r.name not in ("few_words", "repeated_words"):
             rejected = rejected | r.rejects(x)              # OR leaves at the first rejection
-    return out.withColumns({"base_failed": few | repeated, "kept": ~rejected}).drop("__text")
+    out = out.withColumns({"base_failed": few | repeated, "kept": ~rejected})
+    return out.select(*[F.col(f"row.`{c}`") for c in df.columns if c not in new], *new)
 
 
 def keep(df: DataFrame, text: str = "text", order: list[Rule] | None = None) -> DataFrame:
