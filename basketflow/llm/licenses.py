@@ -285,15 +285,21 @@ def scan(text: str | None, templates: list[Template]) -> list[tuple[str, float,
     for t in todo:
         n = len(t.words)
         slack = max(2, int(SLACK * n))
-        for s in t.windows(places):
-            lo = max(0, s - slack)
-            part = words[lo:s + n + 3 * slack]
-            pairs = align(part, t.words)
-            if len(pairs) < COVERAGE * n or not t.named(part, pairs):
-                continue
-            first, last = lo + pairs[0][0], lo + pairs[-1][0]
-            if len(pairs) >= DENSITY * (last - first + 1):
-                found.append((t.name, len(pairs) / n, len(pairs), first, last))
+        starts = t.windows(places)
+        past = 0                                     # first word beyond this template's last match
+        for s, following in zip(starts, [*starts[1:], len(words)], strict=True):
+            lo, hi = max(0, s - slack), s + n + 3 * slack
+            # up to its neighbours first: a window that holds two copies has no words that occur once
+            for a, b in dict.fromkeys(((max(lo, past), min(hi, following)), (max(lo, past), hi), (lo, hi))):
+                part = words[a:b]
+                pairs = align(part, t.words)
+                if len(pairs) < COVERAGE * n or not t.named(part, pairs):
+                    continue
+                first, last = a + pairs[0][0], a + pairs[-1][0]
+                if len(pairs) >= DENSITY * (last - first + 1):
+                    found.append((t.name, len(pairs) / n, len(pairs), first, last))
+                    past = max(past, last + 1)
+                    break
     kept: list[tuple[str, float, int, int, int]] = []
     for f in sorted(found, key=lambda f: (-f[2], -f[1], f[3], f[0])):     # longer matches first
         if not any(k[3] <= f[3] and f[4] <= k[4] or f[0] == k[0] and f[3] <= k[4] and k[3] <= f[4] for k in kept):
