@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import fresh, stage, with_fields
+from basketflow.llm.common import fresh, packed, stage, with_fields
 from basketflow.llm.components import Forest, components
 
 SHINGLE = 4
@@ -174,15 +174,14 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     content = [F.col(f"`{c}`").cast("string") for c in df.columns]
     marked = [F.coalesce(c, F.lit("")) for c in content] + [c.isNull() for c in content]
-    keyed = df.withColumns({"__k1": F.xxhash64(*marked), "__k2": F.xxhash64(F.lit(1), *marked)})
-    rows = stage(fingerprints(
-        keyed.select(F.col(f"`{id_col}`").alias("id"), "__k1", "__k2", F.col(f"`{text_col}`").alias("text")),
-        shingle=shingle, keep_text=False), "fingerprints")
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "__k1", "__k2")
+    keyed = df.select(packed(df).alias("row"), F.xxhash64(*marked).alias("k1"), F.xxhash64(F.lit(1), *marked).alias("k2"),
+                      F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = stage(fingerprints(keyed.select("id", "k1", "k2", "text"), shingle=shingle, keep_text=False), "fingerprints")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
     classes = stage(rows.groupBy("fp").agg(F.min(rank).alias("first")), "classes")
-    kept = _labelled(classes, radius).select("label.*").select("__k1", "__k2").distinct()
-    times = rows.groupBy("__k1", "__k2").agg(F.count(F.lit(1)).alias("n"))
-    kept = stage(kept.join(times, ["__k1", "__k2"]), "kept")
-    once = keyed.join(kept.filter("n = 1"), ["__k1", "__k2"], "left_semi")
-    repeated = keyed.join(kept.filter("n > 1"), ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in df.columns])
+    kept = _labelled(classes, radius).select("label.*").select("k1", "k2").distinct()
+    times = rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    kept = stage(kept.join(times, ["k1", "k2"]), "kept")
+    once = keyed.join(kept.filter("n = 1"), ["k1", "k2"], "left_semi")
+    repeated = keyed.join(kept.filter("n > 1"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return once.unionByName(repeated).select("row.*")

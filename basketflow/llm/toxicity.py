@@ -251,12 +251,13 @@ def _features(df: DataFrame, model: Model, text_col: str, out: str = "f", keep_t
 def score(df: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
     rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("score", "predicted") or c == text_col])
-    f = _features(rest, model, text_col, out="__f", keep_text=keep_text)
+    name = fresh(rest, "features")
+    f = _features(rest, model, text_col, out=name, keep_text=keep_text)
     z = F.lit(float(model.coef[0]))
     for k, c in enumerate(model.coef[1:]):
-        z = z + F.log1p(F.col("__f")[k]) * float(c)
+        z = z + F.log1p(F.col(name)[k]) * float(c)
     s = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
-    return f.withColumn("score", s).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__f")
+    return f.withColumn("score", s).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop(name)
 
 
 def keep(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
