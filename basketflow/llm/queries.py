@@ -161,15 +161,75 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.summary(*prefix_trie.share_openings(turns))
 
 
+_CRC_BYTE = ("list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: "
+             "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)")
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda y: ascii(y)::BIGINT)), "
+        f"lambda a, b: {_CRC_BYTE}), 4294967295)")
+
+SQL_OP12 = f"""
+WITH d AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+     k AS (SELECT c, c - c % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT c FROM d)),
+     o AS (SELECT k.c, 0 AS part, pos, r, t FROM k JOIN d ON d.c = k.base WHERE pos <= h
+           UNION ALL SELECT k.c, 1, pos, r, t FROM k JOIN d ON d.c = k.c WHERE pos > h),
+     q AS (SELECT c, list(md5(length(r) || ':' || r || t) ORDER BY part, pos) AS a, list(length(t) ORDER BY part, pos) AS n
+           FROM o GROUP BY c),
+     s AS (SELECT k.c, coalesce(a, []) AS a, coalesce(n, []) AS n FROM k LEFT JOIN q ON q.c = k.c),
+     m AS (SELECT c, u AS depth, a[1:u] AS path, array_to_string(a[1:u], ',') AS p, array_to_string(a[1:u - 1], ',') AS up,
+                  CASE WHEN u > 0 THEN n[u] ELSE 0 END AS chars, len(a) = u AS ends
+           FROM (SELECT *, unnest(range(0, len(a) + 1)) AS u FROM s)),
+     g AS (SELECT depth, p, any_value(up) AS up, any_value(path) AS path, min(c) AS conv_id, count(*) AS n_convs,
+                  any_value(chars) AS chars, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS e
+           FROM m GROUP BY depth, p),
+     b AS (SELECT depth - 1 AS depth, up AS p, count(*) AS n FROM g WHERE depth > 0 GROUP BY depth, up),
+     w AS (SELECT g.*, coalesce(b.n, 0) AS n_children, CASE WHEN b.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                  (n_convs - 1) * chars AS saved FROM g LEFT JOIN b ON b.depth = g.depth AND b.p = g.p),
+     z AS (SELECT v AS depth, array_to_string(path[1:v], ',') AS p, sum(leaf) AS n_leaves, sum(saved) AS saved
+           FROM (SELECT *, unnest(range(0, depth + 1)) AS v FROM w) GROUP BY 1, 2)
+SELECT w.conv_id, w.depth, f.conv_id AS parent_conv_id, w.n_convs, w.n_children, z.n_leaves::BIGINT AS n_leaves,
+       z.saved::BIGINT AS saved_tokens, sha256(w.e) AS ends_sha256
+FROM w JOIN z ON z.depth = w.depth AND z.p = w.p LEFT JOIN w f ON f.depth = w.depth - 1 AND f.p = w.up
+"""
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, forms and roots of all words of the corpus (with its planted deletions)."""
     return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), drop_every=97))
 
 
+_CRC_WORD = ("xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda y: "
+             f"('0x' || substr(x, 2 * y + 1, 2))::BIGINT)), lambda a, b: {_CRC_BYTE}), 4294967295)")
+
+SQL_OP13 = f"""
+WITH RECURSIVE
+     r AS (SELECT doc_id, w, count(*) AS k, hex(encode(doc_id || ':' || w)) AS x FROM (
+             SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS w FROM documents) GROUP BY doc_id, w),
+     h AS (SELECT w, k, {_CRC_WORD} AS h FROM r),
+     e AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w, k FROM h),
+     v AS (SELECT w, sum(k)::BIGINT AS n FROM e WHERE length(w) >= 5 GROUP BY w HAVING sum(k) >= 3),
+     d AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS s
+           FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v)),
+     p AS (SELECT a.w, b.w AS o, b.n AS m FROM d a JOIN d b ON a.s = b.s AND a.i = b.i AND a.w <> b.w
+           UNION SELECT d.w, v.w, v.n FROM d JOIN v ON v.w = d.s
+           UNION SELECT v.w, d.w, d.n FROM d JOIN v ON v.w = d.s),
+     f AS (SELECT w, o, m, count(*) OVER (PARTITION BY w) AS n_near,
+                  row_number() OVER (PARTITION BY w ORDER BY m DESC, encode(o)) AS nth FROM p),
+     g AS (SELECT v.w, v.n, coalesce(f.n_near, 0) AS n_near, CASE WHEN f.m >= 2 * v.n THEN f.o END AS form,
+                  CASE WHEN f.m >= 2 * v.n THEN f.m END AS form_n FROM v LEFT JOIN f ON f.w = v.w AND f.nth = 1),
+     t AS (SELECT w, w AS root, form AS next FROM g
+           UNION ALL SELECT t.w, t.next, g.form FROM t JOIN g ON g.w = t.next)
+SELECT g.w AS word, g.form, t.root, g.n, g.n_near::BIGINT AS n_near, g.form_n
+FROM g JOIN t ON t.w = g.w AND t.next IS NULL
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_embeddings, op3_sharding, op4_mixing, op5_html, op6_quality, op7_urls, op8_licenses, op9_simhash, op10_toxicity,
                                   op11_token_ids, op12_prefix_trie, op13_spelling)}
 
-SQL: dict[str, str] = {"op2_embeddings": SQL_OP2, "op6_quality": SQL_OP6, "op7_urls": SQL_OP7}
+SQL: dict[str, str] = {"op2_embeddings": SQL_OP2, "op6_quality": SQL_OP6, "op7_urls": SQL_OP7,
+                       "op12_prefix_trie": SQL_OP12, "op13_spelling": SQL_OP13}
 
 
 def queries() -> dict:
