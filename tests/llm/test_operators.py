@@ -4,8 +4,9 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -53,7 +54,9 @@ def empty(spark):
 
 def clashing(df, *names):
     """With extra columns named like outputs (they are replaced) and like internal ones (they stay)."""
-    inner = ("text_in", "html_in", "url_in", "ids_in", "full", "cut", "h", "fp_", "label_", "pattern_")
+    inner = ("text_in", "html_in", "url_in", "ids_in", "full", "cut", "h", "fp_", "label_", "pattern_", "__h", "__k1",
+             "__text", "__f", "__words", "__copy", "__members", "__full", "__cut", "row", "copy", "k1", "words", "features",
+             "id", "miss", "one", "small")
     return df.withColumns({n: F.lit("old") for n in (*names, *inner)})
 
 
@@ -194,6 +197,69 @@ def test_mix_meets_targets_and_repeats(docs, empty, rows):
     assert mixing.mix(empty).count() == 0
 
 
+def test_rows_keep_the_callers_columns(docs, spark):
+    """Columns called like outputs or like internal ones leave a filtering or repeating stage as they came."""
+    names = ("size", "target", "source_size", "pattern", "copies", "n_words", "kept", "score", "predicted", "fp", "label")
+    own = clashing(docs.drop("n_chars"), *names)
+    model = toxicity.Model({"zz$": 4.0}, [-2.0, 2.0, 1.0, 2.0])
+    for rows in (mixing.mix(own), quality.keep(own), simhash.keep_first(own), toxicity.keep(own, model)):
+        assert rows.columns == own.columns
+        assert {tuple(r[c] for c in own.columns[3:] if c != "source") for r in rows.collect()} <= {
+            ("old",) * (len(own.columns) - 4)}
+    assert toxicity.score(own, model).filter("__f <> 'old'").count() == 0
+    assert quality.annotate(own).filter("__words <> 'old' or row <> 'old'").count() == 0
+    assert mixing.copies(own).filter("__h <> 'old' or one <> 'old'").count() == 0
+
+
+def test_closing_takes_a_fixed_number_of_jobs(spark, monkeypatch):
+    """Many one-word documents beside a long one: quotas are met to the word, in as many jobs as for few documents."""
+    jobs, collect = [], type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: (jobs.append(1), collect(self))[1])
+    counts = []
+    for n in (24, 960):
+        rows = [(i, "w%d" % i, "a") for i in range(n)] + [(10 ** 6, "x " * 400, "a"), (10 ** 6 + 1, "y " * 300, "b")]
+        jobs.clear()
+        c = mixing.copies(spark.createDataFrame(rows, "doc_id long, text string, source string"),
+                          quotas={"a": float(n // 2), "b": 300.0}).collect()
+        counts.append(len(jobs))
+        assert sum(r["copies"] * r["size"] for r in c if r["doc_id"] <= 10 ** 6) == n // 2
+    assert max(counts) <= 22
+
+
+def test_mix_takes_what_brute_force_allows(spark):
+    """Each source's words come as near to its quota as one document, the smallest left, allows."""
+    rng = random.Random(14)
+    for seed in (3, 4):
+        rows = [(i, " ".join(["w"] * rng.choice((1, 2, 3, 5, 30))) + f" {i}", rng.choice("abc")) for i in range(50)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = mixing.copies(df, seed=seed).collect()
+        for s in "abc":
+            mine = [r for r in got if r["source"] == s]
+            taken = sum(r["copies"] * r["size"] for r in mine)
+            left = [r["size"] for r in mine if r["copies"] == min(x["copies"] for x in mine)]
+            assert abs(taken - mine[0]["target"]) <= min(left)
+
+
+def test_flow_is_of_least_cost():
+    """Against all ways to take whole units of every pattern."""
+    rng = random.Random(2)
+    for _ in range(25):
+        size = [rng.randint(1, 3) for _ in range(3)]
+        member = [set(rng.sample(range(2), rng.randint(1, 2))) for _ in range(3)]
+        quota = [rng.randint(0, 8), rng.randint(0, 8)]
+        got = mixing.min_cost_flow(size, member, quota)
+
+        def cost(f, n):
+            return sum(k * (k + 1) // 2 * min(n, max(0, f - k * n)) for k in range(3))
+
+        def fits(f):
+            return sum(f) <= sum(quota) and all(sum(x for x, m in zip(f, member, strict=True) if m <= {s}) <= quota[s] for s in (0, 1))
+        ways = [f for f in itertools.product(*(range(3 * n + 1) for n in size)) if fits(f)]
+        most = max(map(sum, ways))
+        assert fits(got) and sum(got) == most
+        assert sum(map(cost, got, size)) == min(sum(map(cost, f, size)) for f in ways if sum(f) == most)
+
+
 def test_mix_overlapping_sources(spark):
     rng = random.Random(11)
     data = [(i, sentence(rng, 20), rng.choice([["x"], ["y"], ["x", "y"]])) for i in range(90)]
@@ -227,6 +293,29 @@ def test_pages(spark):
     assert html_cut.extract_pages(df.limit(0)).count() == 0
 
 
+def test_pages_are_taken_in_linear_time():
+    for page in ("<p>x" + "<span>y" * 100_000, "<div>t" * 100_000, "<div>" + "<b>" * 50_000 + "</i>" * 50_000,
+                 "<ul>" + "<span>" * 50_000 + "<p>a" * 50_000, "".join(f"<div class='k{i}'>t" for i in range(30_000))):
+        began = time.process_time()
+        html_cut.blocks(page)
+        assert time.process_time() - began < 15
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><header><h1>Title</h1></header><p>{t}</p></article>", ["Title", "{t}"]),
+    ("<header><h1>Site</h1></header><article><p>{t}</p></article><footer>{t}</footer>", ["{t}"]),
+    ("<article><header><p>Filed under news</p></header><p>{t}</p></article>", ["{t}"]),
+    ("<article><p>{t}</p></article><section id='responses'><p>Nice. {t}</p></section>", ["{t}"]),
+    ("<article><p>{t}</p></article><div class='adbox'>Buy. {t}</div>", ["{t}"]),
+    ("<article><p>{t}</p></article><div><p>Jo Doe, 3 days ago</p></div>", ["{t}"]),
+    ("<div><h1>T</h1><p>{t}</p><p>{t}</p></div><p>Copyright 2020 Some Firm</p>", ["T", "{t}", "{t}"]),
+    ("<div><p>{t}</p><p>Copyright law is old. {t}</p></div>", ["{t}", "Copyright law is old. {t}"]),
+])
+def test_headings_remarks_and_notices(page, want):
+    t = ("A paragraph of the article with quite some words in it. " * 6).strip()
+    assert html_cut.extract(f"<body>{page.format(t=t)}</body>").split("\n\n") == [w.format(t=t) for w in want]
+
+
 # --- 6 quality -------------------------------------------------------------------------
 def slow_quality(t):
     t = t or ""
@@ -255,6 +344,13 @@ def test_quality_measures(docs, empty, rows, spark):
     assert quality.annotate(empty).count() == 0 and quality.keep(empty).columns == empty.columns
 
 
+def test_the_sample_is_taken_from_few_rows(spark, monkeypatch):
+    """The order of the rules is timed on the first rows, however many partitions there are."""
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 20)
+    rows = spark.sparkContext.parallelize(range(4000), 200).map(lambda i: (i // (i < 2000), "word " * 60))   # later rows fail
+    assert len(quality.plan(spark.createDataFrame(rows, "doc_id long, text string"))) == 5
+
+
 # --- 7 urls ----------------------------------------------------------------------------
 def test_repeats_are_exact_whatever_the_hash(spark, monkeypatch):
     rng = random.Random(9)
@@ -285,6 +381,20 @@ def test_licenses(spark, docs):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("k", [2, 3, 5, 50])
+def test_adjacent_licenses_are_all_found(k):
+    """Against a scan of every window of the text."""
+    todo = licenses.load_templates()
+    for name, gap in itertools.product(("MIT-line", "Apache-2.0-line"), ("", "and some more ")):
+        line = licenses.TEMPLATES.get(name) or "Released under the MIT License."
+        text = (line + " " + gap) * k
+        words, mine = licenses.split_words(text), next(t for t in todo if t.words == licenses.split_words(line))
+        n = len(mine.words)
+        whole = [i for i in range(len(words) - n + 1) if words[i:i + n] == mine.words]
+        got = [(m[3], m[4]) for m in licenses.scan(text, todo) if m[0] == mine.name]
+        assert got == [(i, i + n - 1) for i in whole]
+
+
 # --- 9 simhash -------------------------------------------------------------------------
 def test_simhash_components(docs, empty, rows, monkeypatch):
     fps = [simhash.fingerprint((t or "").encode()) for _, t, *_ in rows]
@@ -361,7 +471,7 @@ def test_stray_bytes_do_not_stop_a_job(spark):
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return c
 
@@ -387,9 +497,12 @@ def test_op1_equals_reference_library(spark, sf, con):
                           hashlib.sha256((t or "").encode()).hexdigest())
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
+    # no SQL: learned models, seeded choices, libraries' vocabularies
+    assert set(queries.QUERIES) - set(queries.SQL) == {
+        "op1_bpe", "op3_sharding", "op4_mixing", "op5_html", "op8_licenses", "op9_simhash", "op10_toxicity", "op11_token_ids"}
 
 
 def test_pipeline_stages(spark, docs, sf, tmp_path):
@@ -410,8 +523,24 @@ def test_pipeline_stages(spark, docs, sf, tmp_path):
             left = [fps[r["doc_id"]] for r in after]
             assert len(set(left)) == len(left) and len(after) <= len(before)
             assert all(bin(a ^ b).count("1") > 4 for i, a in enumerate(left) for b in left[:i])
+        if name == "toxicity":
+            model = toxicity.learn(spark.createDataFrame(before), spark.read.parquet(f"{sf}/labels.parquet"))
+            f = {r["doc_id"]: model.features(r["text"] or "") for r in before}
+            odds = {d: model.coef[0] + sum(c * np.log1p(v) for c, v in zip(model.coef[1:], x, strict=True)) for d, x in f.items()}
+            assert sorted(r["doc_id"] for r in after) == sorted(d for d, z in odds.items() if z < 0)
         if name == "mix_sources":
-            assert {r["doc_id"] for r in after} <= {r["doc_id"] for r in before}
+            size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in before}
+            source = {r["doc_id"]: r["source"] for r in before}
+            sizes = defaultdict(int)
+            for i, s in source.items():
+                sizes[s] += size[i]
+            goal, taken, least = mixing.targets(sizes), defaultdict(int), {}
+            for r in after:
+                taken[r["source"]] += size[r["doc_id"]]
+            for i, s in source.items():
+                least[s] = max(least.get(s, 0), size[i])
+            assert all(abs(taken[s] - goal[s]) <= least[s] for s in goal)
+            assert max(Counter(r["doc_id"] for r in after).values()) <= 3
         if k < len(corpus_pipeline.STAGES) - 1:
             assert d.columns == names
         else:
