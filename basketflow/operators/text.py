@@ -157,16 +157,18 @@ def tfidf_hashed(sent: DataFrame) -> DataFrame:
         F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, e: s + e * e)).alias("l2"))
 
 
-def doc_neighbours(long_form: DataFrame, k: int = 10, hot: dict | None = None) -> DataFrame:
-    """the k most similar documents by cosine of their weight vectors --
-    the user-CF pair machinery with word = item and weight = rating, so a
-    word found in many documents is salted like a popular item.
-    ``doc_id, doc_v, sim``."""
-    from basketflow.operators import cf
+#: Words in more documents than this are dense: their pairs are formed only where bounds allow.
+DENSE_WORD = 200
+
+
+def doc_neighbours(long_form: DataFrame, k: int = 10, dense: int = DENSE_WORD) -> DataFrame:
+    """the k most similar documents by cosine of their weight vectors,
+    pruned by bounds (:mod:`basketflow.operators.topk`) with word = item and
+    weight = rating.  ``doc_id, doc_v, sim``."""
+    from basketflow.operators.topk import top_cosine
     r = long_form.select(F.col("doc_id").alias("user_id"), F.col("word").alias("item_id"),
                          F.col("weight").alias("rating"))
-    nb = cf.neighbours(r, k=k, hot=hot)
-    return nb.select(F.col("user_id").alias("doc_id"), F.col("user_v").alias("doc_v"), "sim")
+    return top_cosine(r, k, dense).select(F.col("user_id").alias("doc_id"), F.col("user_v").alias("doc_v"), "sim")
 
 
 def lcs_pairs(conv: DataFrame) -> DataFrame:

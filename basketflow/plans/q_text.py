@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import exact_sum_sql, with_views
-from basketflow.session import cut_lineage
 from basketflow.sources.tables import sentences, table
 
 # DuckDB spellings of the token rules in ``functions.text``.
@@ -139,12 +138,7 @@ select doc_id, doc_v, round(sim, 6) as sim from (
 where rn <= 10""", "v_sentences", extra=[SENT_TOKS, DOCFREQ, TERMFREQ, _WEIGHTS, _DOCNORM, _DOCDOT]))
 def q_doc_cosine(spark, sf):
     """ten most similar documents per document (TF-IDF cosine)."""
-    from basketflow.operators.skew import DEFAULT_HOT_THRESHOLD, hot_from_counts
-    sent = sentences(spark, sf)
-    w = cut_lineage(X.tfidf_exact(sent).select("doc_id", "word", "weight", "df"))
-    # rows per word in the long form = its document frequency: an exact hot list from the written weights
-    hot = hot_from_counts(w.select("word", "df").distinct(), "word", "df", DEFAULT_HOT_THRESHOLD)
-    nb = X.doc_neighbours(w, 10, hot=hot)
+    nb = X.doc_neighbours(X.tfidf_exact(sentences(spark, sf)).select("doc_id", "word", "weight"), 10)
     # ranked on the full value; reported to 6 places (products of large
     # weights are not rounded identically by every engine at 9 places)
     return nb.withColumn("sim", F.round("sim", 6))
