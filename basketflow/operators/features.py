@@ -68,6 +68,13 @@ def user_product_set(orders: DataFrame, priors: DataFrame, with_set: bool = True
     return up.groupBy("user_id").agg(*aggs)
 
 
+def user_product_list(orders: DataFrame, priors: DataFrame) -> DataFrame:
+    """The distinct products as a sorted array column ``u_prod_list``, with its size."""
+    return user_products(orders, priors).groupBy("user_id").agg(
+        F.sort_array(F.collect_list("product_id")).alias("u_prod_list")) \
+        .withColumn("u_prod_dist_cnt", F.size("u_prod_list").cast("long"))
+
+
 def user_basket_size(orders: DataFrame, priors: DataFrame) -> DataFrame:
     """Items per order, then the mean per user.  Counted on the same
     order-lines join as the product set, so the shuffles under that join are

@@ -75,8 +75,9 @@ def segment_index_terms(df: DataFrame, col: str, id_col: str) -> DataFrame:
     left-semi join, broadcast by the planner only when its size allows.  Tokens
     are counted per document first and cut into substrings once per distinct
     token, so no substring of a token's every occurrence is shuffled."""
-    seg = df.select(id_col, F.explode(T.segments(F.col(col))).alias("tok")) \
-        .groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("c"))
+    # read three times below, so written once: pruning would make the readers differ and tokenise again
+    seg = cut_lineage(df.select(id_col, F.explode(T.segments(F.col(col))).alias("tok"))
+                      .groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("c")))
     distinct = seg.select("tok").distinct()
     vocab = distinct.filter(F.length("tok").between(2, 3)).select(F.col("tok").alias("term"))
     subs = distinct.filter(F.length("tok") > 2).select("tok", F.explode(T.inner_terms(F.col("tok"))).alias("term")) \
@@ -90,8 +91,15 @@ def doc_words(sent: DataFrame) -> DataFrame:
 
 
 def doc_freq(sent: DataFrame) -> DataFrame:
-    """``word, df`` = number of documents containing the word."""
-    return term_freq(sent).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    """``word, df`` = number of documents containing the word.
+
+    Words are made distinct inside a row first, so with one row per document (a look at the
+    ids alone tells) only partial counts per word are shuffled; repeated ids count once."""
+    toks = F.array_distinct(T.tokens(T.sentence_body(F.col("sentence"))))
+    rows = sent.select("doc_id", F.explode(toks).alias("word"))
+    if not sent.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        rows = rows.distinct()
+    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
 def term_freq(sent: DataFrame) -> DataFrame:
@@ -107,13 +115,17 @@ def vocab_index(dfreq: DataFrame) -> DataFrame:
     return v.withColumn("word_index", F.col("_pos") - 1).drop("_pos")
 
 
+def _counted_terms(sent: DataFrame) -> tuple[DataFrame, int]:
+    """Term frequencies, written once to the shared folder (they are read by join, DF and numbering), and the
+    number of documents.  The count reads no text (column pruning leaves row counts or ids); an observed
+    metric would save even that, but counts rows again when a lost executor's tasks are repeated."""
+    return cut_lineage(term_freq(sent)), sent.count()
+
+
 def tfidf_exact(sent: DataFrame, with_size: bool = False) -> DataFrame:
     """F14 (D13, D14): ``tf * log10(N / (df + 1))`` per (doc, word), with the
     word's dictionary index; N is the corpus size (one scalar)."""
-    n_docs = sent.count()
-    # term frequencies are read three times (join, DF, numbering); tokenising
-    # is the expensive part, so they are written once to the shared folder
-    tf = cut_lineage(term_freq(sent))
+    tf, n_docs = _counted_terms(sent)
     # document frequency = number of (doc, word) rows per word
     vocab = vocab_index(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     return tf.join(vocab, "word").select(
@@ -123,8 +135,7 @@ def tfidf_exact(sent: DataFrame, with_size: bool = False) -> DataFrame:
 
 def tfidf_smoothed(sent: DataFrame) -> DataFrame:
     """F12 long form: ``tf * ln((N + 1) / (df + 1))``, 0 when df < 2."""
-    n_docs = sent.count()
-    tf = cut_lineage(term_freq(sent))
+    tf, n_docs = _counted_terms(sent)
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     return tf.join(dfreq, "word").select(
         "doc_id", "word", "tf", "df",

@@ -84,6 +84,17 @@ def q_user_product_set(spark, sf):
     return feat.user_product_set(*_ov(spark, sf))
 
 
+@query("user_product_list", sql("""
+select o.user_id, count(distinct p.product_id) as u_prod_dist_cnt, min(p.product_id) as first_product,
+       max(p.product_id) as last_product
+from v_orders o join v_prior p on o.order_id = p.order_id group by o.user_id"""))
+def q_user_product_list(spark, sf):
+    """The set as an array column, read by its size and ends."""
+    x = feat.user_product_list(*_ov(spark, sf))
+    return x.select("user_id", "u_prod_dist_cnt", F.element_at("u_prod_list", 1).alias("first_product"),
+                    F.element_at("u_prod_list", -1).alias("last_product"))
+
+
 @query("user_basket_size", sql("select * from v_basket", BASKET))
 def q_user_basket_size(spark, sf):
     return feat.user_basket_size(*_ov(spark, sf))

@@ -8,7 +8,8 @@ from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
 from basketflow.plans.q_text import _SEGS, _TOKS
-from basketflow.session import scratch_path
+from basketflow.session import cut_lineage, scratch_path
+from basketflow.sinks.keyed import KeyedTable
 from basketflow.sinks import writers as W
 from basketflow.sources.tables import orders_view, table
 
@@ -86,3 +87,30 @@ def q_keyed_upsert(spark, sf):
                           f"{base}/v1")
     return W.keyed_upsert(snap, o.filter(F.col("eval_set") != "prior"), "rowkey", "order_number", cols,
                           f"{base}/v2")
+
+
+@query("bucket_upsert", with_views("""
+select cast(user_id as varchar) as rowkey, arg_max(order_id, order_number) as id_order_id,
+       arg_max(order_dow, order_number) as num_order_dow, max(order_number) as order_number
+from v_orders group by user_id""", "v_orders"))
+def q_bucket_upsert(spark, sf):
+    """K6: the same snapshot as a keyed table: prior orders, a compaction, then two small deltas merged on read."""
+    o = orders_view(spark, sf).select(F.col("user_id").cast("string").alias("rowkey"), "order_number",
+                                      F.col("order_id").alias("id_order_id"),
+                                      F.col("order_dow").alias("num_order_dow"), "eval_set")
+    o = cut_lineage(o)
+    t = KeyedTable(spark, scratch_path(spark, "keyed"), o.schema, "rowkey", "order_number", ["id_order_id", "num_order_dow"], 16)
+    t.put(o.filter(F.col("eval_set") == "prior"))
+    t.compact()
+    for part in ("train", "test"):
+        t.put(o.filter(F.col("eval_set") == part))
+    return t.read().select("rowkey", "id_order_id", "num_order_dow", "order_number")
+
+
+@query("compact_packed", "select event_id, user_id, event_type, value from events")
+def q_compact_packed(spark, sf):
+    """K8: many small files packed into few by the scan itself, without a shuffle; rows unchanged."""
+    path = scratch_path(spark, "packed")
+    table(spark, sf, "events").select("event_id", "user_id", "event_type", "value").repartition(24).write.parquet(f"{path}/small")
+    W.compact_files(spark, f"{path}/small", f"{path}/large")
+    return spark.read.parquet(f"{path}/large")

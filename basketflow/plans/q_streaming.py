@@ -16,6 +16,7 @@ from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
 from basketflow.plans.q_text import _TOKS
 from basketflow.session import scratch_path
+from basketflow.sinks.keyed import KeyedTable
 from basketflow.sources.tables import event_json, table
 from basketflow.streaming import offsets as OFF
 from basketflow.streaming import sinks as SK
@@ -133,6 +134,140 @@ def q_stream_file_source(spark, sf):
     return spark.read.parquet(out)
 
 
+# --- windows that close, totals that are merged, batches that are committed ---------
+
+CLOSE_DELAY, CLOSE_WINDOW = "1 day", "2 hours"
+# every tenth event arrives one chunk late
+_ARRIVAL = f"""
+select e.*, least({_CHUNK} + case when e.event_id % 10 = 0 then 1 else 0 end, {N_FILES - 1}) as arrival,
+       epoch_us(e.ts) // {2 * HOUR_US} as b
+from events e join v_b on true"""
+_SEEN = f"""
+select c.k, max(epoch_us(a.ts)) - {24 * HOUR_US} as mark
+from (select unnest(range(1, {N_FILES + 1})) as k) c join v_a a on a.arrival < c.k group by c.k"""
+_LATE = f"""
+select a.*, coalesce((a.b + 1) * {2 * HOUR_US} <= s.mark // 1000 * 1000, false) as late
+from v_a a left join v_s s on s.k = a.arrival"""
+
+
+def _late_arrivals(spark, sf, label, start):
+    """Chunks in order of arrival, handed to ``start(stream, base)`` one by one."""
+    ev = _events(spark, sf, "event_id", "event_type", "ts")
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    chunk = F.expr(f"least(cast(((cast(event_id as decimal(20,0)) - {lo or 0}) * {N_FILES}) div {(hi or 0) - (lo or 0) + 1} as int)"
+                   f" + if(event_id % 10 = 0, 1, 0), {N_FILES - 1})")
+    return _by_chunks(spark, ev.withColumn("arrival", chunk), label, start, "arrival")
+
+
+def _closed_windows(spark, sf):
+    """Windowed counts that close (append) and the late rows beside them; returns the folder."""
+    marks = [None]
+
+    def start(s, base):
+        # rows that the counting query will drop: its watermark of the last run decides
+        SK.run(s, SK.late_rows(f"{base}/late", "ts", CLOSE_WINDOW, marks[-1]), f"{base}/ckpt-late", "late_" + base[-12:])
+        q = SK.run(WIN.tumbling_counts(s, "ts", "event_type", CLOSE_WINDOW, CLOSE_DELAY), None, f"{base}/ckpt",
+                   "closed_" + base[-12:], sink_path=f"{base}/out")
+        seen = [p["eventTime"]["watermark"] for p in q.recentProgress if "watermark" in (p["eventTime"] or {})]
+        marks.append(max(seen, default=marks[-1]))
+
+    return _late_arrivals(spark, sf, "closed", start)
+
+
+@query("stream_closed_windows", with_views(f"""
+select {_fmt(f'b * {2 * HOUR_US}')} as window_start, {_fmt(f'(b + 1) * {2 * HOUR_US}')} as window_end, event_type, count(*) as cnt
+from v_l where not late and (b + 1) * {2 * HOUR_US} <= (select mark // 1000 * 1000 from v_s where k = {N_FILES})
+group by b, event_type""", extra=[_CHUNK_CTE, ("v_a", _ARRIVAL), ("v_s", _SEEN), ("v_l", _LATE)]))
+def q_stream_closed_windows(spark, sf):
+    """A window's count is written once, when the watermark has passed its end, and its state is freed."""
+    return spark.read.schema("window_start string, window_end string, event_type string, cnt long") \
+        .parquet(_closed_windows(spark, sf) + "/out")
+
+
+@query("stream_late_rows", with_views("select event_id, event_type from v_l where late",
+                                      extra=[_CHUNK_CTE, ("v_a", _ARRIVAL), ("v_s", _SEEN), ("v_l", _LATE)]))
+def q_stream_late_rows(spark, sf):
+    """Rows that came after their window had closed."""
+    return spark.read.schema("event_id long, event_type string, batch_id int") \
+        .parquet(_closed_windows(spark, sf) + "/late").select("event_id", "event_type")
+
+
+@query("stream_total_merge", f"""
+select word, count(*) as cnt from (select unnest({_TOKS.format(c='text')}) as word from documents) t
+group by word""")
+def q_stream_total_merge(spark, sf):
+    """Each batch's changed totals go into a keyed table as a delta; nothing else is rewritten."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    box = {}
+
+    def start(s, base):
+        words = s.select(F.explode(tokens(F.col("text"))).alias("word"))
+        box["t"] = box.get("t") or KeyedTable(spark, f"{base}/table", "word string, batch long, cnt long", "word", "batch", ["cnt"])
+        SK.run(WIN.total_counts(words, "word"), SK.merge_totals(box["t"], "word", "cnt"), f"{base}/ckpt",
+               "merge_" + base[-12:], output_mode="update")
+
+    _by_chunks(spark, docs, "merge", start, "doc_id")
+    return box["t"].read().select("word", "cnt")
+
+
+@query("append_once", """
+select cast(event_id as varchar) as order_id, cast(user_id as varchar) as user_id, strftime(ts, '%Y%m%d') as dt
+from events""")
+def q_append_once(spark, sf):
+    """K5: every batch is run twice, and after each a batch breaks off before its commit; every row is there once."""
+    def start(s, base):
+        once = SK.append_once(f"{base}/table")
+
+        def twice(df, batch_id):
+            once(df, batch_id)
+            once(df, batch_id)
+            df.limit(5).write.parquet(f"{base}/table/rows/broken-{batch_id}")
+
+        SK.run(s.select("order_id", "user_id", "dt"), twice, f"{base}/ckpt", "once_" + base[-12:])
+
+    ev = _events(spark, sf, "event_id", "user_id", "ts").select(
+        "event_id", F.col("event_id").cast("string").alias("order_id"), F.col("user_id").cast("string").alias("user_id"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd").alias("dt"))
+    base = _by_chunks(spark, ev, "once", start)
+    return SK.committed(spark, f"{base}/table", "order_id string, user_id string, dt string")
+
+
+@query("stream_state_read", "select event_type, count(*) as cnt from events group by event_type")
+def q_stream_state_read(spark, sf):
+    """The state of a stopped stream, read from its checkpoint, is the count of all it has seen."""
+    base = _by_chunks(spark, _events(spark, sf, "event_id", "event_type"), "state", lambda s, base: SK.run(
+        WIN.total_counts(s, "event_type"), SK.per_batch_dirs(f"{base}/out"), f"{base}/ckpt", "state_" + base[-12:],
+        output_mode="update"))
+    return spark.read.format("statestore").load(f"{base}/ckpt").select("key.event_type", F.col("value.count").alias("cnt"))
+
+
+RATE_FILES, RATE_LIMIT = 8, 2
+
+
+@query("stream_rate_limit", with_views(f"""
+select nth, sum(n) as files_rows from (
+  select (row_number() over (order by f) - 1) // {RATE_LIMIT} as nth, n from (
+    select cast(((e.event_id - v_b.lo) * {RATE_FILES}) // v_b.span as integer) as f, count(*) as n
+    from events e join v_b on true group by 1) x) y group by nth""", extra=[_CHUNK_CTE]))
+def q_stream_rate_limit(spark, sf):
+    """A file stream takes at most two files a batch; the rows of every batch, from the query's own progress."""
+    base = scratch_path(spark, "rate")
+    ev = _events(spark, sf, "event_id", "event_type")
+    stage_chunks(ev, f"{base}/staged", RATE_FILES, "event_id")
+    one_file = spark.read.parquet(f"{base}/staged").repartition(1, "_chunk")
+    for k in range(RATE_FILES):                       # files come one after another, each complete
+        rows = one_file.filter(F.col("_chunk") == k).drop("_chunk").coalesce(1)
+        if not rows.isEmpty():
+            rows.write.parquet(f"{base}/in/{k:05d}")
+    q = SK.run(file_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=RATE_LIMIT), SK.per_batch_dirs(f"{base}/out"),
+               f"{base}/ckpt", "rate_" + base[-12:])
+    taken = [(p["batchId"], p["numInputRows"]) for p in q.recentProgress if p["numInputRows"]]
+    seen = spark.read.schema("event_id long, event_type string, batch_id long").parquet(f"{base}/out") \
+        .groupBy("batch_id").agg(F.count(F.lit(1)).alias("files_rows"))
+    return spark.createDataFrame(taken, "batch_id long, rows long").join(seen, "batch_id") \
+        .filter("rows = files_rows").select(F.col("batch_id").alias("nth"), "files_rows")
+
+
 # --- order-dependent state --------------------------------------------------------
 
 RUNNING_SQL = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import exact_sum_sql, with_views
-from basketflow.sources.tables import sentences, table
+from basketflow.sources.tables import sentences, spread, table
 
 # DuckDB spellings of the token rules in ``functions.text``.
 _TOKS = "list_filter(regexp_split_to_array({c}, '\\s+'), lambda x: x <> '')"
@@ -23,7 +23,7 @@ NDOCS = "(select cast(count(*) as double) from v_sentences)"
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query("word_count", f"""

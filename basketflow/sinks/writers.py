@@ -49,6 +49,29 @@ def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BY
     return max(1, -(-size // target_bytes))
 
 
+def compact_files(spark: SparkSession, path: str, out: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
+    """K8 without a shuffle: small files of the folder ``path`` are packed into tasks of about ``target_bytes`` by
+    the scan itself, and each task writes one file.  Folders of partition values are packed value by value, so
+    that no file mixes values."""
+    fs = hadoop_fs(spark, path)
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [f.getPath().getName() for f in fs.listStatus(p(path)) if f.isDirectory() and "=" in f.getPath().getName()]
+    if folders:
+        for name in folders:
+            compact_files(spark, f"{path}/{name}", f"{out}/{name}", target_bytes)
+        return
+    wanted = {"spark.sql.files.maxPartitionBytes": str(target_bytes), "spark.sql.files.openCostInBytes": "0",
+              "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        spark.read.parquet(path).write.parquet(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def latest_per_key(df: DataFrame, key: str, order_col: str, cols: list[str]) -> DataFrame:
     """The newest row per key by an explicit order column; rows of one
     order value are ranked by their other columns, a NULL order is oldest, so

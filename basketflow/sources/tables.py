@@ -76,19 +76,23 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     No window ever spans more than one (user, day) of orders, and nothing is
     checkpointed or sampled: the slices are a plain function of the row.
     """
-    o = (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-         .withColumn("_day", F.col("o_orderdate").cast("date")))
-    tot = o.groupBy("o_custkey", "_day").agg(F.count(F.lit(1)).alias("_c"), F.max("o_orderdate").alias("_last"))
-    by_user = Window.partitionBy("o_custkey").orderBy("_day")
+    day = F.col("o_orderdate").cast("date")
+    # orders without a customer or a date are one user's, one day's: the keys are made non-null
+    # once, so aggregate, join and windows share one partitioning
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.coalesce("o_custkey", F.lit(0)).alias("_k"),
+        F.col("o_custkey").isNull().alias("_nk"), F.coalesce(day, F.lit("0001-01-01").cast("date")).alias("_d"),
+        day.isNull().alias("_nd"))
+    keys = ["_k", "_nk", "_d", "_nd"]
+    tot = o.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.max("o_orderdate").alias("_last"))
+    by_user = Window.partitionBy("_k", "_nk").orderBy(F.col("_nd").desc(), "_d")
     off = tot.select(
-        "o_custkey", "_day",
+        *keys,
         F.coalesce(F.sum("_c").over(by_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"),
-        F.sum("_c").over(Window.partitionBy("o_custkey")).alias("cnt"),
+        F.sum("_c").over(Window.partitionBy("_k", "_nk")).alias("cnt"),
         F.lag("_last").over(by_user).alias("_prev_last"))
-    in_day = Window.partitionBy("o_custkey", "_day").orderBy("o_orderdate", "o_orderkey")
-    off = off.withColumnsRenamed({"o_custkey": "_k", "_day": "_d"})
-    # null-safe: orders without a customer or a date are one user's, one day's
-    s = (o.join(off, F.col("o_custkey").eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d"))).drop("_k", "_d")
+    in_day = Window.partitionBy(*keys).orderBy("o_orderdate", "o_orderkey")
+    s = (o.join(off, keys)
           .withColumn("n", F.row_number().over(in_day) + F.col("_o"))
           .withColumn("p", F.coalesce(F.lag("o_orderdate").over(in_day), F.col("_prev_last"))))
     return s.select(
@@ -132,6 +136,13 @@ def split_products(op: DataFrame, eval_set: str) -> DataFrame:
     return op.filter(F.col("eval_set") == eval_set).drop("eval_set")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by ``key`` if the scan has fewer splits than the cluster has cores (a table in one row group);
+    any larger table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def clean_text(c: Column) -> Column:
     """Whitespace-normalised text: the words split on runs of white space,
     empties dropped, joined by one blank -- written as two codegen'd regex
@@ -141,7 +152,7 @@ def clean_text(c: Column) -> Column:
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, sentence (= words by blank + separator + label), label."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
     return d.select("doc_id",
                     F.concat(clean_text(F.col("text")), F.lit(LABEL_SEPARATOR), F.col("lang")).alias("sentence"),
                     F.col("lang").alias("label"))

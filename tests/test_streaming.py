@@ -288,3 +288,110 @@ def test_stream_counts_of_one_hot_and_one_null_key(spark):
                       (spark.read.parquet(f"{base}/o2"), ST.count_window(df, "event_type", "event_id", "value"))):
         pick = lambda d, c=want.columns: sorted(map(repr, (tuple(r) for r in d.select(*c).collect())))
         assert pick(got) == pick(want)
+
+
+def test_append_once_counts_committed_batches_only(spark):
+    base = scratch_path(spark, "t-once")
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    once = SK.append_once(f"{base}/t")
+    assert SK.committed(spark, f"{base}/t", df.schema).count() == 0
+    once(df, 0)
+    once(df, 0)                                              # a repeated batch
+    df.write.parquet(f"{base}/t/rows/0000000001-broken")     # a batch that broke off before its commit
+    once(df, 1)
+    assert SK.committed(spark, f"{base}/t", df.schema).count() == 4
+
+
+def _files(spark, path):
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    it, out = fs.listFiles(spark._jvm.org.apache.hadoop.fs.Path(path), True), {}
+    while it.hasNext():
+        f = it.next()
+        if f.getPath().getName().startswith("part-"):
+            out[f.getPath().toString()] = f.getModificationTime()
+    return out
+
+
+def test_keyed_table_updates_rewrite_nothing(spark):
+    from basketflow.sinks.keyed import KeyedTable
+    t = KeyedTable(spark, scratch_path(spark, "t-keyed"), "k string, o long, v string", "k", "o", ["v"], 8)
+    assert t.read().count() == 0 and t.compact() == []
+    rows = {f"k{i}": (0, f"v{i}") for i in range(500)}
+    frame = lambda d: spark.createDataFrame([(k, o, v) for k, (o, v) in d.items()], "k string, o long, v string")
+    t.put(frame(rows))
+    assert t.compact() == list(range(8))
+    before = _files(spark, t.path)
+    news = {"k1": (5, "new"), "k2": (-1, "older"), "none": (1, "x")}
+    t.put(frame(news))
+    after = _files(spark, t.path)
+    assert before.items() <= after.items() and 0 < len(after) - len(before) <= 3     # only the deltas are new
+    want = {**rows, "k1": (5, "new"), "none": (1, "x")}
+    read = lambda: {r["k"]: (r["o"], r["v"]) for r in t.read().collect()}
+    assert read() == want
+    frame({"k3": (9, "lost")}).withColumn("bucket", F.lit(0)).write.parquet(f"{t.path}/gen=99/kind=delta/bucket=0")
+    assert read() == want                                    # a generation that was never committed
+    t.put(frame({k: (7, "many") for k in rows}))
+    touched = t.compact(0.5)
+    assert touched and read() == {**{k: (7, "many") for k in rows}, "none": (1, "x")}
+    assert t.compact(0.5) == []
+
+
+def test_keyed_table_takes_a_batch_once(spark):
+    from basketflow.sinks.keyed import KeyedTable
+    t = KeyedTable(spark, scratch_path(spark, "t-keyed"), "k string, o long, v string", "k", "o", ["v"], 2)
+    df = spark.createDataFrame([("a", 1, "x")], "k string, o long, v string")
+    t.put(df, 3)
+    n = len(_files(spark, t.path))
+    t.put(df, 3)
+    assert len(_files(spark, t.path)) == n
+
+
+def test_closed_windows_free_their_state(spark, sf):
+    """Every row is counted once or late, and the state holds only windows that are still open."""
+    from basketflow.plans import q_streaming as Q
+    base = Q._closed_windows(spark, sf)
+    out = spark.read.parquet(f"{base}/out")
+    late = spark.read.schema("event_id long, batch_id int").parquet(f"{base}/late").count()
+    state = spark.read.format("statestore").load(f"{base}/ckpt")
+    held = state.select("key.window.end", F.col("value.count").alias("n"))
+    counted = out.agg(F.sum("cnt")).first()[0]
+    assert late > 0 and counted + late + held.agg(F.sum("n")).first()[0] == table(spark, sf, "events").count()
+    last_closed = out.agg(F.max("window_end")).first()[0]
+    assert held.filter(F.date_format("end", "yyyy-MM-dd HH:mm:ss") <= last_closed).count() == 0
+    assert held.count() < out.count() / 5
+
+
+def test_packed_compaction_has_no_exchange(spark):
+    from basketflow.sinks import writers as W
+    base = scratch_path(spark, "t-pack")
+    df = spark.range(60_000).withColumn("p", F.col("id") % 2)
+    df.repartition(30).write.parquet(f"{base}/flat")
+    df.repartition(10).write.partitionBy("p").parquet(f"{base}/parts")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    size = W.files_for(spark, f"{base}/flat", 1)
+    W.compact_files(spark, f"{base}/flat", f"{base}/flat2", size // 3)
+    W.compact_files(spark, f"{base}/parts", f"{base}/parts2")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert 3 <= len(_files(spark, f"{base}/flat2")) <= 6 and len(_files(spark, f"{base}/parts2")) == 2
+    for name in ("flat2", "parts2"):
+        assert spark.read.parquet(f"{base}/{name}").select("id", "p").exceptAll(df.select("id", "p")).count() == 0
+        assert spark.read.parquet(f"{base}/{name}").count() == 60_000
+    plan = spark.read.parquet(f"{base}/flat")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_rebalanced_append_spreads_a_hot_value(spark):
+    """A value of many rows is written by as many tasks as its size fills, a small one by one."""
+    base = scratch_path(spark, "t-hot")
+    df = spark.range(400_000).select(F.md5(F.col("id").cast("string")).alias("v"),
+                                     F.when(F.col("id") < 100, "small").otherwise("hot").alias("dt")).repartition(16)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        SK.partitioned_append(f"{base}/t", ["dt"])(df, 0)
+    finally:
+        spark.conf.set(key, before)
+    files = list(_files(spark, f"{base}/t"))
+    assert sum("dt=hot" in f for f in files) > 8 and sum("dt=small" in f for f in files) == 1
+    assert spark.read.parquet(f"{base}/t").count() == 400_000
