@@ -37,18 +37,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm.bpe import _ramp
-from basketflow.llm.common import fresh, strings
+from basketflow.llm.common import strings
 from basketflow.llm.dac import Codes, len_padded
 from basketflow.operators.prefix import running_totals
 from basketflow.operators.ranges import range_join
 
 MAGIC = b"DACTOK1\n"
-#: A file is closed when it holds this many ids (about 6 MB).
-FILE_IDS = 1 << 22
+#: A file is closed when it holds this many ids (about 3 MB).
+FILE_IDS = 1 << 21
 #: Pieces of text a worker keeps.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 600_000
 #: Characters encoded at a time.
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 20
 #: Positions of one file that are fetched together.
 FETCH = 1 << 16
 
@@ -276,11 +276,10 @@ def write(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text
         if docs:
             yield flush()
 
-    mark = fresh(df, "text_hash")
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
-        .withColumn(mark, F.xxhash64("text"))
-    rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), mark) \
-        .sortWithinPartitions(F.col("id").asc_nulls_first(), mark, "text").select("id", "text")
+        .withColumn("mark", F.xxhash64("text"))
+    rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), "mark") \
+        .sortWithinPartitions(F.col("id").asc_nulls_first(), "mark", "text").select("id", "text")
     # the text writer stores the bytes of a string as they are
     rows.mapInArrow(run, "data binary").select(F.col("data").cast("string").alias("value")) \
         .write.option("maxRecordsPerFile", 1).text(path)
