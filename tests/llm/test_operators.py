@@ -120,6 +120,24 @@ def test_pivots_blocks_of_a_hot_list(spark, monkeypatch):
     assert {r["vec_id"]: r["n_links"] for r in pivots.near_duplicates(df).collect()} == want
 
 
+@pytest.mark.parametrize("common,per_link", [(0.0, 20), (3.0, 20), (5.0, 60)])     # at 5, all pairs have 0.96
+def test_pivots_stay_selective_beside_a_common_direction(common, per_link):
+    """Text embeddings often share a direction: the index neither takes all pairs for candidates nor loses links."""
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(common * unit(rng.standard_normal((1, 64))) + unit(rng.standard_normal((1500, 64))))
+    y = unit(x[:500] + rng.uniform(0, 0.2, (500, 1)) * unit(rng.standard_normal((500, 64))))
+    x = np.concatenate((x, y))[rng.permutation(2000)]
+    near = pivots.fit(x[:pivots.SAMPLE], 64).describe(x)
+    hot = np.zeros((len(x), pivots.PIVOTS), np.float32)
+    np.put_along_axis(hot, near, 1, axis=1)
+    candidate, link = hot @ hot.T >= pivots.SHARED, x @ x.T >= 0.98
+    np.fill_diagonal(candidate, False)
+    np.fill_diagonal(link, False)
+    assert (candidate & link).sum() >= 0.9 * link.sum()
+    assert candidate.sum() <= per_link * link.sum()
+
+
 # --- 3 sharding ----------------------------------------------------------------------
 def test_shards_are_minimax(docs, empty, rows):
     got = sharding.shard(clashing(docs, "size", "shard"), 4).collect()
