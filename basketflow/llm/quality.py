@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from basketflow.llm.common import let, packed
 
-SAMPLE_ROWS = 1000         # documented bound of the sample that orders the rules
-SAMPLE_BYTES = 1 << 16     # longer texts are not in that sample
+SAMPLE_ROWS = 200          # documented bound of the sample that orders the rules
+SAMPLE_BYTES = 1 << 13     # longer texts are not in that sample: it is held in a plan, on the driver
 
 # The words' separators and the symbols counted.
 BLANKS = " \t\n\x0b\f\r"
