@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketflow.operators import lattice as L
 from basketflow.operators import text as X
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import exact_sum_sql, with_views
@@ -158,3 +159,27 @@ def q_tfidf_vectors(spark, sf):
     entry = lambda e: F.concat(e["word_index"].cast("string"), F.lit(":"),
                                F.round(e["weight"] * 1000000).cast("long").cast("string"))
     return v.select("doc_id", "dict_size", F.array_join(F.transform("entries", entry), ",").alias("entries"))
+
+
+@query("segment_lattice")
+def q_segment_lattice(spark, sf):
+    """every distinct token cut by the best path through its word lattice (rows only: the dynamic
+    programme has no SQL form; the tests compare it with a plain one)."""
+    tokens_ = L.token_counts(_docs(spark, sf), "text")
+    words, single = L.dictionary(tokens_)
+    return L.segment(tokens_.select("tok"), words, single)
+
+
+@query("segment_lattice_index", f"""
+with seg as (select unnest({_SEGS.format(c="text")}) as tok from documents),
+cnt as (select tok, count(*) as n from seg group by tok),
+words as (select tok as term from cnt where length(tok) <= 6 and n >= 2),
+spans as (select tok, s, unnest(range(2, least(6, length(tok) - s + 1) + 1)) as k
+          from (select tok, unnest(range(1, length(tok))) as s from cnt) a)
+select distinct tok, term from (select tok, substr(tok, s, k) as term from spans) x
+where term <> tok and term in (select term from words)""")
+def q_segment_lattice_index(spark, sf):
+    """the lattice's inner words as index terms."""
+    tokens_ = L.token_counts(_docs(spark, sf), "text")
+    words, _ = L.dictionary(tokens_)
+    return L.index_terms(tokens_.select("tok"), words)

@@ -84,3 +84,45 @@ def test_pluggable_segmenter(spark):
     df = spark.createDataFrame([("ab-c-def",)], "t string")
     assert X.segment(df, "t", segmenter=split_on_dash).first().seg == "ab/def"
     assert X.segment(df, "t").first().seg == "ab/def"
+
+
+def test_lattice_segmentation_against_a_plain_programme(spark):
+    import math
+    import random
+    from collections import Counter
+
+    from basketflow.operators import lattice
+
+    rng = random.Random(6)
+    parts = ["ab", "abc", "cde", "de", "éß", "xyz", "yz", "qqqqqq", "cd"]
+    corpus = [rng.choice(parts) for _ in range(200)] + ["".join(rng.choice(parts) for _ in range(rng.randint(2, 5))) for _ in range(80)]
+    corpus += ["w", "zzzzzzz", "v" * 400, "aa"]
+    df = spark.createDataFrame([(" ".join(corpus[i::7]),) for i in range(7)] + [(None,), ("",)], "text string")
+    counts = Counter(w for w in corpus if len(w) >= 2)
+    words = {w: n for w, n in counts.items() if len(w) <= 6 and n >= 2}
+    total = sum(words.values())
+    cost = {w: math.floor(math.log(total / n) * 1000 + 0.5) for w, n in words.items()}
+    single = math.floor(math.log(total) * 1000 + 0.5) + 1000
+
+    def plain(tok):
+        best = [(0, 0, 0)]
+        for j in range(1, len(tok) + 1):
+            best.append(min((best[i][0] + (single if j - i == 1 else cost[tok[i:j]]), best[i][1] + 1, i)
+                            for i in range(max(0, j - 6), j) if j - i == 1 or tok[i:j] in cost))
+        out, j = [], len(tok)
+        while j:
+            out.insert(0, tok[best[j][2]:j])
+            j = best[j][2]
+        return "/".join(out), best[-1][1], best[-1][0]
+
+    tokens = lattice.token_counts(df, "text")
+    terms, one = lattice.dictionary(tokens)
+    assert one == single
+    got = {r["tok"]: (r["seg"], r["pieces"], r["cost"]) for r in lattice.segment(tokens.select("tok"), terms, one).collect()}
+    assert got == {w: plain(w) for w in counts}
+    inner = {(r["tok"], r["term"]) for r in lattice.index_terms(tokens.select("tok"), terms).collect()}
+    assert inner == {(w, w[i:j]) for w in counts for i in range(len(w)) for j in range(i + 2, min(i + 6, len(w)) + 1)
+                     if w[i:j] in words and w[i:j] != w}
+    none = lattice.token_counts(df.limit(0), "text")
+    terms, one = lattice.dictionary(none)
+    assert lattice.segment(none.select("tok"), terms, one).count() == 0
