@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -197,6 +198,46 @@ def test_cuts_are_even(spark):
         assert sum(got ** 2) == min(sum(r ** 2) for r in runs if max(r) == cap)
 
 
+def greedy(ends, shards):
+    """Smallest capacity by a plain search with a plain greedy check."""
+    ends, low, high = np.concatenate(([0], ends)), 1, int(ends[-1])
+    while low < high:
+        mid, at = (low + high) // 2, 0
+        for _ in range(shards):
+            at = ends[np.searchsorted(ends, at + mid, "right") - 1]
+        low, high = (low, mid) if at == ends[-1] else (mid + 1, high)
+    return low
+
+
+def test_capacity_is_exact_with_any_summary(spark, monkeypatch):
+    """Few cells: several rounds, and the lookups where the summary cannot tell (40 shards in 64 cells)."""
+    rng = np.random.default_rng(5)
+    for cells, shards, n in ((4, 1, 50), (4, 3, 400), (64, 9, 3000), (64, 40, 3000)):
+        monkeypatch.setattr(sharding, "CELLS", cells)
+        monkeypatch.setattr(sharding, "CELLS_MAX", cells)
+        sizes = rng.integers(1, 1000, n)
+        sizes[n // 2] *= 20
+        ends = np.cumsum(sizes)
+        frame = spark.createDataFrame([(int(e),) for e in ends], "e long").repartition(3)
+        cap, cuts = sharding.minimax_cuts(frame, int(ends[-1]), int(sizes.max()), shards)
+        assert cap == greedy(ends, shards) and len(cuts) == shards and cuts[-1] == ends[-1]
+        assert np.diff([0, *cuts]).max() <= cap and set(cuts) <= set(ends.tolist())
+
+
+def test_a_thousand_shards_need_no_more_jobs_than_eight(spark, monkeypatch):
+    sizes = np.random.default_rng(6).integers(1, 5000, 60000)
+    ends = np.cumsum(sizes)
+    frame = spark.createDataFrame(pd.DataFrame({"e": ends})).repartition(4)
+    jobs = Counter()
+    for name in ("_summary", "_last_within"):
+        own = getattr(sharding, name)
+        monkeypatch.setattr(sharding, name, lambda *a, own=own, name=name: (jobs.update([shards]), own(*a))[1])
+    for shards in (8, 1000):
+        cap, cuts = sharding.balanced_cuts(frame, int(ends[-1]), int(sizes.max()), shards)
+        assert cap == greedy(ends, shards) and np.diff([0, *cuts]).max() == cap and min(np.diff([0, *cuts])) > 0
+    assert jobs[1000] <= jobs[8] + 2 and jobs[8] <= 8
+
+
 # --- 4 mixing --------------------------------------------------------------------------
 def test_mix_meets_targets_and_repeats(docs, empty, rows):
     c = mixing.copies(clashing(docs, "target")).collect()
