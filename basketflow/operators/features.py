@@ -53,10 +53,19 @@ def user_order_count(orders: DataFrame) -> DataFrame:
     return orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_ord_cnt"))
 
 
+def lines_with(orders: DataFrame, priors: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` of the order lines.  Columns that ``priors`` lacks come from ``orders``; lines that carry them
+    already (``order_products(..., users=True)``) are not joined a second time."""
+    missing = [c for c in cols if c not in priors.columns]
+    if not missing:
+        return priors.select(*cols)
+    own = [c for c in cols if c in priors.columns and c != "order_id"]
+    return order_lines(orders.select("order_id", *missing), priors.select("order_id", *own)).select(*cols)
+
+
 def user_products(orders: DataFrame, priors: DataFrame) -> DataFrame:
     """Distinct (user_id, product_id) of the prior lines."""
-    return order_lines(orders.select("order_id", "user_id"), priors.select("order_id", "product_id")) \
-        .select("user_id", "product_id").distinct()
+    return lines_with(orders, priors, "user_id", "product_id").distinct()
 
 
 def user_product_set(orders: DataFrame, priors: DataFrame, with_set: bool = True) -> DataFrame:
@@ -79,7 +88,7 @@ def user_basket_size(orders: DataFrame, priors: DataFrame) -> DataFrame:
     """Items per order, then the mean per user.  Counted on the same
     order-lines join as the product set, so the shuffles under that join are
     shared when both are in one plan."""
-    lines = order_lines(orders.select("order_id", "user_id"), priors.select("order_id", "product_id"))
+    lines = lines_with(orders, priors, "order_id", "user_id")
     per_order = lines.groupBy("user_id", "order_id").agg(F.count(F.lit(1)).alias("n_items"))
     return per_order.groupBy("user_id").agg(F.avg("n_items").alias("u_avg_ord_prods"))
 
@@ -92,20 +101,23 @@ def user_order_stats(orders: DataFrame) -> DataFrame:
 
 
 def user_features(orders: DataFrame, priors: DataFrame, with_set: bool = True) -> DataFrame:
-    """The user parts, inner-joined by user (D7).  Day gap and order
-    count share one aggregate; set size and basket size share the lines join."""
-    return (user_order_stats(orders)
-            .join(user_product_set(orders, priors, with_set), "user_id")
-            .join(user_basket_size(orders, priors), "user_id")
-            .select("user_id", "u_avg_day_gap", "user_ord_cnt", "u_prod_dist_cnt",
-                    *(["u_prod_records"] if with_set else []), "u_avg_ord_prods"))
+    """The user parts, inner-joined by user (D7).  Day gap, order count and
+    basket size are one aggregate over the orders with their number of prior
+    lines; users without prior lines fall out with the product set."""
+    o = orders if "dspo" in orders.columns else clean_orders(orders)
+    per_order = priors.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
+    users = o.select("order_id", "user_id", "dspo").join(per_order, "order_id", "left").groupBy("user_id").agg(
+        F.avg("dspo").alias("u_avg_day_gap"), F.count(F.lit(1)).alias("user_ord_cnt"),
+        F.avg("n_items").alias("u_avg_ord_prods"))
+    return users.join(user_product_set(orders, priors, with_set), "user_id").select(
+        "user_id", "u_avg_day_gap", "user_ord_cnt", "u_prod_dist_cnt",
+        *(["u_prod_records"] if with_set else []), "u_avg_ord_prods")
 
 
 def user_product_features(orders: DataFrame, priors: DataFrame) -> DataFrame:
     """Per (user, product): distinct orders, mean cart position, last
     order id, and the pair's share of the user's purchased lines."""
-    lines = order_lines(orders.select("order_id", "user_id", "order_number"),
-                        priors.select("order_id", "product_id", "add_to_cart_order"))
+    lines = lines_with(orders, priors, "order_id", "user_id", "order_number", "product_id", "add_to_cart_order")
     per_order = lines.groupBy("user_id", "product_id", "order_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("add_to_cart_order").alias("cart"),
         F.max("order_number").alias("order_number"))
@@ -136,6 +148,6 @@ def first_orders_by_hour(orders: DataFrame, k: int = 3) -> DataFrame:
 
 def top_products(orders: DataFrame, priors: DataFrame, k: int = 3) -> DataFrame:
     """Each user's k most bought products (lines), ties by product id."""
-    cnt = order_lines(orders.select("order_id", "user_id"), priors.select("order_id", "product_id")) \
+    cnt = lines_with(orders, priors, "user_id", "product_id") \
         .groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("cnt"))
     return top_k(cnt, "user_id", [F.col("cnt").desc(), F.col("product_id").asc()], k, rank_col="rank")

@@ -44,18 +44,14 @@ def split_coverage(orders: DataFrame) -> DataFrame:
 
 def split_pairs(orders: DataFrame, op: DataFrame, eval_set: str) -> DataFrame:
     """Distinct (user_id, product_id) bought in orders of one split."""
-    lines = op.filter(F.col("eval_set") == eval_set).select("order_id", "product_id")
-    return orders.select("order_id", "user_id").join(lines, "order_id") \
-        .select("user_id", "product_id").distinct()
+    return feat.lines_with(orders, op.filter(F.col("eval_set") == eval_set), "user_id", "product_id").distinct()
 
 
 def prior_train_intersect(orders: DataFrame, op: DataFrame) -> DataFrame:
     """Pairs bought both in prior and in train orders."""
-    a = orders.select("order_id", "user_id").join(
-        op.filter(F.col("eval_set") == "prior").select("order_id", "product_id"), "order_id")
-    b = orders.select("order_id", "user_id").join(
-        op.filter(F.col("eval_set") == "train").select("order_id", "product_id"), "order_id")
-    return a.select("user_id", "product_id").intersect(b.select("user_id", "product_id"))
+    a, b = (feat.lines_with(orders, op.filter(F.col("eval_set") == s), "user_id", "product_id")
+            for s in ("prior", "train"))
+    return a.intersect(b)
 
 
 def label_pairs(orders: DataFrame, op: DataFrame) -> DataFrame:
@@ -73,9 +69,9 @@ def training_set(orders: DataFrame, op: DataFrame) -> DataFrame:
     aggregate by (user, product) holds everything else: the label (bought in a
     train order), the prior lines and their reorders.  User and product
     features are sums over that small frame."""
-    lines = cut_lineage(orders.select("order_id", "user_id").join(
-        op.filter(F.col("eval_set").isin("prior", "train"))
-          .select("order_id", "product_id", "eval_set", F.col("reordered").cast("int").alias("rod")), "order_id"))
+    wanted = op.filter(F.col("eval_set").isin("prior", "train")).withColumn("rod", F.col("reordered").cast("int"))
+    lines = cut_lineage(feat.lines_with(
+        orders.select("order_id", "user_id"), wanted, "order_id", "user_id", "product_id", "eval_set", "rod"))
     prior = F.col("eval_set") == "prior"
     pairs = lines.groupBy("user_id", "product_id").agg(
         F.max(F.when(prior, 0).otherwise(1)).alias("label"), F.count_if(prior).alias("n"),

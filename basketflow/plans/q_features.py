@@ -18,6 +18,12 @@ def _ov(spark, sf):
     return o, split_products(order_products(spark, sf, o), "prior")
 
 
+def _lines(spark, sf):
+    """Orders, and the prior lines with their order's user and number."""
+    o = cut_lineage(orders_view(spark, sf))
+    return o, split_products(order_products(spark, sf, o, users=True, reordered=False), "prior")
+
+
 CLEAN = ("v_clean", """
 select order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
        coalesce(cast(trunc(try_cast(nullif(days_since_prior_order, '') as double)) as integer), 0) as dspo
@@ -81,7 +87,7 @@ def q_user_order_count(spark, sf):
 
 @query("user_product_set", sql("select * from v_pset", PSET))
 def q_user_product_set(spark, sf):
-    return feat.user_product_set(*_ov(spark, sf))
+    return feat.user_product_set(*_lines(spark, sf))
 
 
 @query("user_product_list", sql("""
@@ -90,19 +96,19 @@ select o.user_id, count(distinct p.product_id) as u_prod_dist_cnt, min(p.product
 from v_orders o join v_prior p on o.order_id = p.order_id group by o.user_id"""))
 def q_user_product_list(spark, sf):
     """The set as an array column, read by its size and ends."""
-    x = feat.user_product_list(*_ov(spark, sf))
+    x = feat.user_product_list(*_lines(spark, sf))
     return x.select("user_id", "u_prod_dist_cnt", F.element_at("u_prod_list", 1).alias("first_product"),
                     F.element_at("u_prod_list", -1).alias("last_product"))
 
 
 @query("user_basket_size", sql("select * from v_basket", BASKET))
 def q_user_basket_size(spark, sf):
-    return feat.user_basket_size(*_ov(spark, sf))
+    return feat.user_basket_size(*_lines(spark, sf))
 
 
 @query("user_features", sql("select * from v_userf", *USER_PARTS))
 def q_user_features(spark, sf):
-    return feat.user_features(*_ov(spark, sf))
+    return feat.user_features(*_lines(spark, sf))
 
 
 @query("user_product_features", sql("""
@@ -115,7 +121,7 @@ from (select o.user_id, p.product_id, count(distinct o.order_id) as up_orders,
       from v_orders o join v_prior p on o.order_id = p.order_id
       group by o.user_id, p.product_id) t"""))
 def q_user_product_features(spark, sf):
-    return feat.user_product_features(*_ov(spark, sf))
+    return feat.user_product_features(*_lines(spark, sf))
 
 
 @query("dow_pivot", sql(
@@ -144,7 +150,7 @@ select user_id, product_id, cnt, rank from (
         from v_orders o join v_prior p on o.order_id = p.order_id group by o.user_id, p.product_id) c
 ) t where rank <= 3"""))
 def q_user_top3_products(spark, sf):
-    return feat.top_products(*_ov(spark, sf), 3)
+    return feat.top_products(*_lines(spark, sf), 3)
 
 
 @query("plus_columns", sql("select order_id, order_number + order_dow as plus from v_orders",

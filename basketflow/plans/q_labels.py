@@ -29,9 +29,9 @@ TRAINSET_CTES = [*PAIRS, LABELS, CLEAN, GAP, ORDCNT, BASKET, UF7, PRODUCT, TRAIN
 VIEWS3 = ("v_orders", "v_prior", "v_train")
 
 
-def _o(spark, sf):
+def _o(spark, sf, reordered=True):
     o = cut_lineage(orders_view(spark, sf))      # numbered once, read by every branch
-    return o, order_products(spark, sf, o)
+    return o, order_products(spark, sf, o, users=True, reordered=reordered)
 
 
 @query("users_by_split", sql("select distinct eval_set, user_id from v_orders", views=("v_orders",)))
@@ -57,12 +57,12 @@ select o.user_id, p.product_id from v_orders o join v_prior p on o.order_id = p.
 intersect
 select o.user_id, p.product_id from v_orders o join v_train p on o.order_id = p.order_id""", views=VIEWS3))
 def q_prior_train_intersect(spark, sf):
-    return lab.prior_train_intersect(*_o(spark, sf))
+    return lab.prior_train_intersect(*_o(spark, sf, reordered=False))
 
 
 @query("label_pairs", sql("select * from v_labels", *PAIRS, LABELS, views=VIEWS3))
 def q_label_pairs(spark, sf):
-    return lab.label_pairs(*_o(spark, sf))
+    return lab.label_pairs(*_o(spark, sf, reordered=False))
 
 
 @query("training_set", sql("select * from v_trainset", *TRAINSET_CTES, views=VIEWS3))

@@ -110,9 +110,13 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_products(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+def order_products(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, users: bool = False,
+                   reordered: bool = True) -> DataFrame:
     """order_id, product_id, add_to_cart_order, eval_set, reordered ('0'/'1').
 
+    ``users``: the lines keep their order's user_id and order_number, so features
+    need no second join; ``reordered=False`` spares that column and its join.
+
     reordered = the product was bought by the same user in an earlier order.
     ``min(order_number)`` per (user, product) is an aggregate joined back
     rather than a window, so a user or product holding a large share of the
@@ -124,11 +128,13 @@ def order_products(spark: SparkSession, sf_dir: str, orders: DataFrame | None =
                      li.l_orderkey == F.col("order_id"))
              .select("order_id", "user_id", F.col("l_partkey").alias("product_id"),
                      F.col("l_linenumber").alias("add_to_cart_order"), "eval_set", "order_number"))
+    cols = ["order_id", "product_id", "add_to_cart_order", "eval_set", *(["user_id", "order_number"] if users else [])]
+    if not reordered:
+        return lines.select(*cols)
     first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_no"))
     return (lines.join(first, ["user_id", "product_id"])
-            .select("order_id", "product_id", "add_to_cart_order", "eval_set",
-                    F.when(F.col("order_number") > F.col("first_no"), F.lit("1"))
-                     .otherwise(F.lit("0")).alias("reordered")))
+            .select(*cols, F.when(F.col("order_number") > F.col("first_no"), F.lit("1"))
+                            .otherwise(F.lit("0")).alias("reordered")))
 
 
 def split_products(op: DataFrame, eval_set: str) -> DataFrame:

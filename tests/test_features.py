@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from basketflow.operators import features as feat
 from basketflow.operators import labels as lab
+from basketflow.session import cut_lineage
 from basketflow.sources.tables import order_products, orders_view
 
 
@@ -46,6 +47,21 @@ def test_label_pairs_cover_both_sets(spark, sf):
     assert lp.filter(F.col("label") == 1).count() == good
 
 
+def test_lines_that_carry_their_user_are_not_joined_again(spark, sf):
+    """Features are the same from lines with and without the order's columns; the plan joins lines and orders once
+    in each branch (Spark reuses the repeated exchanges when it runs)."""
+    o = cut_lineage(orders_view(spark, sf))
+    plain = order_products(spark, sf, o).filter("eval_set = 'prior'")
+    rich = order_products(spark, sf, o, users=True, reordered=False).filter("eval_set = 'prior'")
+    for f in (feat.user_features, feat.user_product_features, feat.user_product_set, feat.user_basket_size,
+              feat.top_products):
+        a, b = f(o, plain), f(o, rich)
+        assert a.columns == b.columns and a.count() == b.count() and a.exceptAll(b).isEmpty(), f.__name__
+    plan = feat.user_features(o, rich)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 8
+    assert "reordered" not in rich.columns
+
+
 class _FileWriter:
     """Test double for an external store: one JSON-lines file per task."""
 
