@@ -126,3 +126,26 @@ def test_lattice_segmentation_against_a_plain_programme(spark):
     none = lattice.token_counts(df.limit(0), "text")
     terms, one = lattice.dictionary(none)
     assert lattice.segment(none.select("tok"), terms, one).count() == 0
+
+
+def test_terms_of_unique_ids_are_counted_where_the_texts_arrive(spark):
+    """No row per token is shuffled; repeated and missing ids are summed all the same."""
+    from basketflow.operators import text as X
+    one = spark.createDataFrame([(1, "a b a##@@##x"), (2, "b##@@##x"), (None, "a##@@##x")], "doc_id long, sentence string")
+    tf = X.term_freq(one)
+    plan = tf._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Generate explode")]
+    assert {(r.doc_id, r.word): r.tf for r in tf.collect()} == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 1, (None, "a"): 1}
+    two = X.term_freq(one.unionByName(one))
+    assert {(r.doc_id, r.word): r.tf for r in two.collect()} == {(1, "a"): 4, (1, "b"): 2, (2, "b"): 2, (None, "a"): 2}
+
+
+def test_index_terms_multiply_only_where_their_document_is_summed(spark):
+    from basketflow.operators import text as X
+    df = spark.createDataFrame([(1, "abcd abcd ab bc"), (2, "bcd"), (None, "abc"), (3, None)], "id long, t string")
+    out = X.segment_index_terms(df, "t", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Generate inline")]
+    # bcd is no inner term of itself; abc and bcd are words of the corpus inside abcd
+    assert {(r.id, r.term): r.n for r in out.collect()} == {
+        (1, "ab"): 2, (1, "bc"): 2, (1, "abc"): 2, (1, "bcd"): 2, (2, "bc"): 1, (None, "ab"): 1, (None, "bc"): 1}
