@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are processed in chunks of a few megabytes per Arrow batch: boundary
+Texts are processed in chunks of half a megabyte per Arrow batch: boundary
 arrays come from :mod:`pretokens` (class arrays and a transition-function
 scan), the slices are dictionary-encoded so that every distinct pre-token is
 looked up once, and pre-tokens that the per-worker cache lacks are merged
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from basketflow.llm import pretokens
 from basketflow.llm.common import fresh, with_fields
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 CACHE_PIECES = 300_000
 MATRIX_BYTES = 48          # longer pre-tokens are merged one by one
 NONE = np.int32(2**31 - 1)

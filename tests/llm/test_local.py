@@ -331,3 +331,13 @@ def test_grammar_weighs_clauses():
     assert m.features("I will kill you.")[2] > 0 == m.features("They kill time.")[0]
     s = m.score(np.array([plain, (0, 0, 0)]))
     assert s[0] > 0.5 > s[1]
+
+
+def test_bpe_chunks_are_small():
+    """A worker holds the arrays of one chunk at a time: many times the chunk's bytes."""
+    import pyarrow as pa
+    from basketflow.llm import bpe
+    texts = pa.array(["word " * 2000] * 300 + [None])
+    parts = list(bpe._text_chunks(texts))
+    assert sum(n for _, n, _, _ in parts) == 301 and b"".join(d for _, _, d, _ in parts) == b"word " * 600_000
+    assert max(len(d) for _, _, d, _ in parts) <= 1 << 19
