@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.operators import features as feat
-from basketflow.session import cut_lineage
+from basketflow.session import cut_lineage, partitions_of
 
 MODEL_FEATURES = ("u_avg_day_gap", "user_ord_cnt", "u_prod_dist_cnt", "u_avg_ord_prods",
                   "prod_sum_rod", "prod_rod_rate", "prod_cnt")
@@ -62,16 +62,17 @@ def label_pairs(orders: DataFrame, op: DataFrame) -> DataFrame:
     return good.join(bad, ["user_id", "product_id"], "full_outer").na.fill(0, ["label"])
 
 
-def training_set(orders: DataFrame, op: DataFrame) -> DataFrame:
+def training_set(orders: DataFrame, op: DataFrame, rows: int = 0) -> DataFrame:
     """M3 (D22): labels joined with user and product features (inner).
 
     The order lines are joined with their users once and written; one
     aggregate by (user, product) holds everything else: the label (bought in a
     train order), the prior lines and their reorders.  User and product
-    features are sums over that small frame."""
+    features are sums over that small frame.  ``rows`` as in :func:`score_candidates`."""
     wanted = op.filter(F.col("eval_set").isin("prior", "train")).withColumn("rod", F.col("reordered").cast("int"))
     lines = cut_lineage(feat.lines_with(
-        orders.select("order_id", "user_id"), wanted, "order_id", "user_id", "product_id", "eval_set", "rod"))
+        orders.select("order_id", "user_id"), wanted, "order_id", "user_id", "product_id", "eval_set", "rod"),
+        free=True, partitions=partitions_of(op.sparkSession, rows))
     prior = F.col("eval_set") == "prior"
     pairs = lines.groupBy("user_id", "product_id").agg(
         F.max(F.when(prior, 0).otherwise(1)).alias("label"), F.count_if(prior).alias("n"),
@@ -99,11 +100,16 @@ def train_test_split(df: DataFrame) -> DataFrame:
                          .otherwise(F.lit("test")))
 
 
-def score_candidates(orders: DataFrame, op: DataFrame) -> DataFrame:
-    """J10 + M8 input: prior pairs of the test users with their features."""
-    priors = op.filter(F.col("eval_set") == "prior")
+def score_candidates(orders: DataFrame, op: DataFrame, rows: int = 0) -> DataFrame:
+    """J10 + M8 input: prior pairs of the test users with their features.
+
+    The prior lines are written once and read by pairs, user and product features; ``rows``: about how many lines
+    there are, for the partitions of that write."""
+    own = [c for c in ("order_id", "user_id", "product_id", "reordered") if c in op.columns]
+    priors = cut_lineage(op.filter(F.col("eval_set") == "prior").select(*own), free=True,
+                         partitions=partitions_of(op.sparkSession, rows))
     test_users = users_of(orders, "test")
-    pairs = split_pairs(orders, op, "prior").join(test_users, "user_id", "left_semi")
+    pairs = feat.user_products(orders, priors).join(test_users, "user_id", "left_semi")
     uf = feat.user_features(orders, priors, with_set=False)
     pf = feat.product_features(priors)
     return pairs.join(uf, "user_id").join(pf, "product_id") \

@@ -9,18 +9,18 @@ from basketflow.functions.columns import int_sum
 from basketflow.operators import features as feat
 from basketflow.plans.catalog import query
 from basketflow.plans.oracle_views import with_views
-from basketflow.session import cut_lineage
-from basketflow.sources.tables import order_products, orders_base, orders_view, split_products
+from basketflow.session import cut_by_rows
+from basketflow.sources.tables import numbered_orders, order_products, orders_base, orders_view, split_products, table
 
 
 def _ov(spark, sf):
-    o = cut_lineage(orders_view(spark, sf))      # numbered once, read by every branch
+    o = numbered_orders(spark, sf)
     return o, split_products(order_products(spark, sf, o), "prior")
 
 
 def _lines(spark, sf):
     """Orders, and the prior lines with their order's user and number."""
-    o = cut_lineage(orders_view(spark, sf))
+    o = numbered_orders(spark, sf)
     return o, split_products(order_products(spark, sf, o, users=True, reordered=False), "prior")
 
 
@@ -121,7 +121,7 @@ from (select o.user_id, p.product_id, count(distinct o.order_id) as up_orders,
       from v_orders o join v_prior p on o.order_id = p.order_id
       group by o.user_id, p.product_id) t"""))
 def q_user_product_features(spark, sf):
-    return feat.user_product_features(*_lines(spark, sf))
+    return cut_by_rows(feat.user_product_features(*_lines(spark, sf)), table(spark, sf, "lineitem").count())
 
 
 @query("dow_pivot", sql(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from basketflow.operators import labels as lab
 from basketflow.plans.catalog import query
 from basketflow.plans.q_features import BASKET, CLEAN, GAP, ORDCNT, PRODUCT, sql
-from basketflow.session import cut_lineage
-from basketflow.sources.tables import order_products, orders_view
+from basketflow.sources.tables import numbered_orders, order_products, orders_view
 
 PAIRS = [("v_good", """
 select distinct o.user_id, p.product_id from v_orders o join v_train p on o.order_id = p.order_id"""),
@@ -30,7 +29,7 @@ VIEWS3 = ("v_orders", "v_prior", "v_train")
 
 
 def _o(spark, sf, reordered=True):
-    o = cut_lineage(orders_view(spark, sf))      # numbered once, read by every branch
+    o = numbered_orders(spark, sf)
     return o, order_products(spark, sf, o, users=True, reordered=reordered)
 
 

@@ -9,7 +9,8 @@ from basketflow.operators import model as M
 from basketflow.plans.catalog import query
 from basketflow.plans.q_features import sql
 from basketflow.plans.q_labels import TRAINSET_CTES, VIEWS3, _o
-from basketflow.session import cut_lineage
+from basketflow.session import cut_by_rows, cut_lineage, partitions_of
+from basketflow.sources.tables import table
 
 _Z = " + ".join([f"cast({M.FIXED_INTERCEPT!r} as double)"]
                 + [f"cast({w!r} as double) * cast({f} as double)" for f, w in zip(lab.MODEL_FEATURES,
@@ -25,11 +26,17 @@ select threshold, pos, neg,
 from v_per""")
 
 
-def _split(spark, sf):
+def _rows(spark, sf) -> int:
+    return table(spark, sf, "lineitem").count()
+
+
+def _split(spark, sf, tables=None):
     """The split training set, written once to the shared folder: the fit's
     iterations, its summary and the hold-out scoring all read that copy
     instead of recomputing the feature joins."""
-    return cut_lineage(lab.train_test_split(lab.training_set(*_o(spark, sf))))
+    rows = _rows(spark, sf)
+    split = lab.train_test_split(lab.training_set(*(tables or _o(spark, sf)), rows))
+    return cut_lineage(split, free=True, partitions=partitions_of(spark, rows))
 
 
 @query("score_candidates", sql(f"""
@@ -40,7 +47,9 @@ join v_uf u on p.user_id = u.user_id join v_prod pr on p.product_id = pr.product
                                 *TRAINSET_CTES, views=VIEWS3))
 def q_score_candidates(spark, sf):
     """J10 + M8: test users' prior pairs scored with the fixed model."""
-    return M.logistic_score(lab.score_candidates(*_o(spark, sf))).select("user_id", "product_id", "score")
+    rows = _rows(spark, sf)
+    scored = M.logistic_score(lab.score_candidates(*_o(spark, sf), rows)).select("user_id", "product_id", "score")
+    return cut_by_rows(scored, rows)
 
 
 @query("roc_points", sql("""
@@ -84,9 +93,11 @@ def q_lr_holdout(spark, sf):
 @query("lr_score_test_users")
 def q_lr_score_test_users(spark, sf):
     """Rows-only: the test users' prior pairs scored by the fitted model."""
-    d = _split(spark, sf)
+    tables = _o(spark, sf)                       # orders are numbered once for both frames
+    d = _split(spark, sf, tables)
     fitted = M.fit(d.filter(F.col("split") == "train"))
-    return M.predict(fitted, lab.score_candidates(*_o(spark, sf)))
+    rows = _rows(spark, sf)
+    return M.predict(fitted, cut_by_rows(lab.score_candidates(*tables, rows), rows))
 
 
 @query("lr_auc")

@@ -8,6 +8,7 @@ tests) do we create one of our own.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -103,23 +104,43 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 
 #: Spark's setting that removes a statement's shuffle files when the statement ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+SHUFFLE_PARTITIONS, MERGING = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+#: Rows of the largest shuffle in one task.
+PARTITION_ROWS = 500_000
 
 
-def cut_lineage(df, free: bool = False):
+def cut_lineage(df, free: bool = False, partitions: int | None = None):
     """Write ``df`` as parquet below the shared folder and read it back
     (never ``localCheckpoint``): later reads keep column pruning and file
     statistics, and a lost executor re-reads instead of recomputing.
 
     ``free``: the write's shuffle files go when it ends, not when the driver
-    happens to collect garbage, so steps one after another need the disk of one."""
+    happens to collect garbage, so steps one after another need the disk of one.
+    ``partitions``: shuffles of this write have that many partitions and are not
+    merged; the plan keeps its map-side sums and split joins."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex[:12]}"
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    if free:
-        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    wanted = {SHUFFLE_CLEANUP: "true"} if free else {}
+    if partitions:
+        wanted |= {SHUFFLE_PARTITIONS: str(partitions), MERGING: "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        if free:
-            spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def partitions_of(spark: SparkSession, rows: int) -> int | None:
+    """Shuffle partitions that keep ``rows`` rows at ``PARTITION_ROWS`` a task; None if the session's are enough."""
+    n = math.ceil(rows / PARTITION_ROWS)
+    return n if n > int(spark.conf.get(SHUFFLE_PARTITIONS)) else None
+
+
+def cut_by_rows(df, rows: int):
+    """``df`` whose largest shuffle holds ``rows`` rows: as it is, while the session's partitions are enough, else written with more."""
+    n = partitions_of(df.sparkSession, rows)
+    return cut_lineage(df, free=True, partitions=n) if n else df

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketflow.session import cut_lineage, partitions_of
+
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
 
@@ -110,6 +112,13 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders view, written: numbered once, read by every branch.  Its windows hold several copies of the orders, so
+    a task takes a quarter of the usual rows."""
+    n = partitions_of(spark, 4 * table(spark, sf_dir, "orders").count())
+    return cut_lineage(orders_view(spark, sf_dir), free=True, partitions=n)
+
+
 def order_products(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, users: bool = False,
                    reordered: bool = True) -> DataFrame:
     """order_id, product_id, add_to_cart_order, eval_set, reordered ('0'/'1').

@@ -137,3 +137,26 @@ def test_compaction_writes_the_requested_number_of_files(spark, sf):
     files = [f for f in glob.glob(f"{path}/*.parquet")]
     assert len(files) == 2
     assert spark.read.parquet(path).count() == ev.count()
+
+
+def test_more_rows_get_more_partitions(spark, sf, monkeypatch):
+    """Shuffles follow the table's size, results stay; the session's own settings are left as they were."""
+    import __spark_entry__ as E
+    from basketflow import session
+    before = {k: spark.conf.get(k) for k in (session.SHUFFLE_PARTITIONS, session.MERGING)}
+    names = ("user_product_features", "score_candidates", "lr_score_test_users")
+    plain = {n: sorted(map(str, E.queries()[n](spark, sf).drop("p1").collect())) for n in names}
+    monkeypatch.setattr(session, "PARTITION_ROWS", 500)
+    for n in names:
+        df = E.queries()[n](spark, sf)
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()    # the last step is written, too
+        assert sorted(map(str, df.drop("p1").collect())) == plain[n]
+    assert session.partitions_of(spark, 6000) == 12 and session.partitions_of(spark, 3000) is None
+    assert {k: spark.conf.get(k) for k in before} == before
+
+
+def test_prior_lines_of_candidates_are_joined_once(spark, sf):
+    from basketflow.operators import labels as lab
+    from basketflow.plans.q_labels import _o
+    plan = lab.score_candidates(*_o(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
