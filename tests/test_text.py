@@ -1,3 +1,4 @@
+import math
 import random
 
 from hypothesis import given, settings
@@ -149,3 +150,28 @@ def test_index_terms_multiply_only_where_their_document_is_summed(spark):
     # bcd is no inner term of itself; abc and bcd are words of the corpus inside abcd
     assert {(r.id, r.term): r.n for r in out.collect()} == {
         (1, "ab"): 2, (1, "bc"): 2, (1, "abc"): 2, (1, "bcd"): 2, (2, "bc"): 1, (None, "ab"): 1, (None, "bc"): 1}
+
+
+def test_texts_are_counted_where_they_are(spark):
+    rnd = random.Random(11)
+    texts = [(i, " ".join(rnd.choice("a b bb c ä".split()) for _ in range(rnd.randint(0, 30))) or rnd.choice(["", " ", None])) for i in range(40)]
+    df = spark.createDataFrame([(i, t and f"{t}##@@##en") for i, t in texts], "doc_id long, sentence string")
+    counted = X.term_freq(df)
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    want = {(i, w): t.split().count(w) for i, t in texts if t for w in t.split()}
+    assert {(r.doc_id, r.word): r.tf for r in counted.collect()} == want and counted.count() == len(want)
+    twice = {(r.doc_id, r.word): r.tf for r in X.term_freq(df.unionAll(df)).collect()}
+    assert twice == {k: 2 * n for k, n in want.items()}
+
+
+def test_smoothed_weights_by_hash_table_and_by_sort(spark, monkeypatch):
+    texts = {1: "a a b", 2: "a c", 3: "a b b b"}
+    df = spark.createDataFrame([(i, f"{t}##@@##en") for i, t in texts.items()], "doc_id long, sentence string")
+    n_with = {w: sum(w in t.split() for t in texts.values()) for w in "abc"}
+    want = {(i, w): (t.split().count(w), n_with[w], round(t.split().count(w) * math.log(4 / (n_with[w] + 1)), 9) if n_with[w] > 1 else 0.0)
+            for i, t in texts.items() for w in set(t.split())}
+    for words, join in ((X.HELD_WORDS, "ShuffledHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(X, "HELD_WORDS", words)
+        out = X.tfidf_smoothed(df)
+        assert join in out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.doc_id, r.word): (r.tf, r.df, r.weight) for r in out.collect()} == want
