@@ -127,6 +127,15 @@ def reference_points(classes: DataFrame, threshold: float = THRESHOLD) -> dict[i
     return {dim: fit(_unit_rows(np.array(vs, np.float64)), dim, threshold) for dim, vs in by_dim.items()}
 
 
+def index_of(known: dict[int, Index], dim: int) -> Index:
+    """The sampled index of vectors of length ``dim``, else one of random directions."""
+    return known.get(dim) or fit(np.empty((0, dim)), dim)
+
+
+def pivots_of(known: dict[int, Index], dim: int) -> np.ndarray:
+    return index_of(known, dim).pivots
+
+
 def describe(classes: DataFrame, known: dict[int, Index]) -> DataFrame:
     """Add ``near``: the nearest pivots, nearest first."""
     schema = with_fields(classes.schema, [T.StructField("near", T.ArrayType(T.IntegerType()))])
@@ -138,7 +147,7 @@ def describe(classes: DataFrame, known: dict[int, Index]) -> DataFrame:
             near: list = [None] * len(dims)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                index = known.get(int(dim)) or fit(np.empty((0, int(dim))), int(dim))
+                index = index_of(known, int(dim))
                 for k, row in zip(at, index.describe(_unit(batch.column("vec").take(pa.array(at)), int(dim))), strict=True):
                     near[k] = row
             flat = pa.array(near, pa.list_(pa.int32()))
