@@ -175,3 +175,20 @@ def test_smoothed_weights_by_hash_table_and_by_sort(spark, monkeypatch):
         out = X.tfidf_smoothed(df)
         assert join in out._jdf.queryExecution().executedPlan().toString()
         assert {(r.doc_id, r.word): (r.tf, r.df, r.weight) for r in out.collect()} == want
+
+
+def test_sentence_tokens_of_texts_without_a_token(spark, tmp_path):
+    import duckdb
+
+    from basketflow.plans import q_text  # noqa: F401  (registers the query)
+    from basketflow.plans.catalog import oracle_sql, queries
+
+    rows = [(1, "a bb a", "en"), (2, "", "en"), (3, "  \n ", "de"), (4, "##@@##z", "en"), (5, " one ##@@## two", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["sentence_tokens"](spark, str(tmp_path))
+    found = {r[0]: tuple(r[1:]) for r in got.collect()}
+    assert found == {1: ("en", 3, 2, 1, "a", "a"), 2: ("en", 0, 0, 0, None, None), 3: ("de", 0, 0, 0, None, None),
+                     4: ("en", 0, 0, 0, None, None), 5: ("en", 1, 1, 1, "one", "one")}
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert found == {r[0]: r[1:] for r in con.execute(oracle_sql()["sentence_tokens"]).fetchall()}
